@@ -71,8 +71,8 @@ def byar_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(
         counts.select(
             "*",
-            (byar_lower(F.col("cases")) / F.col("persons")).alias("lower"),
-            (byar_upper(F.col("cases")) / F.col("persons")).alias("upper"),
+            (byar_lower("cases") / F.col("persons")).alias("lower"),
+            (byar_upper("cases") / F.col("persons")).alias("upper"),
         )
     )
 

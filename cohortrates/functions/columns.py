@@ -17,9 +17,18 @@ NO_STRATUM = "null"
 SPARK_DATE_PARTS = {"%d": "d", "%m": "M", "%Y": "yyyy", "%y": "yy", "%b": "MMM", "%B": "MMMM"}
 
 
+def quoted(name: str) -> str:
+    """A column name for use in SQL text, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def named(name: str) -> Column:
-    """The column called ``name``, whatever characters the name holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def text_columns(df: DataFrame) -> list[str]:

@@ -49,27 +49,27 @@ def normal_quantile(alpha: float) -> float:
     return NormalDist().inv_cdf(1 - alpha / 2)
 
 
-def _chosen(count: Column, exact: list[float | None], approximate: Column) -> Column:
-    limit = None
-    for value, bound in enumerate(exact):
-        literal = F.lit(bound).cast("double")
-        limit = F.when(count == value, literal) if limit is None else limit.when(count == value, literal)
-    return limit.when(count >= EXACT_BELOW, approximate)
+def _literal(value: float | None) -> str:
+    return "double(null)" if value is None else f"{value!r}D"
 
 
-def _cube(col: Column) -> Column:
-    return col * col * col
+def _chosen(count: str, exact: list[float | None], approximate: str) -> Column:
+    values = ", ".join(map(_literal, exact))
+    return F.expr(
+        f"CASE WHEN {count} < {EXACT_BELOW} THEN get(array({values}), int({count})) ELSE {approximate} END"
+    )
 
 
-def byar_lower(count: Column, alpha: float = 0.05) -> Column:
-    size = count.cast("double")
-    z = F.lit(normal_quantile(alpha))
-    core = F.lit(1.0) - F.try_divide(F.lit(1.0), 9 * size) - F.try_divide(z, 3 * F.sqrt(size))
-    return _chosen(count, [low for low, _ in exact_limits(alpha)], size * _cube(core))
+def byar_lower(count: str, alpha: float = 0.05) -> Column:
+    """Lower limit of a count, given as a column name or SQL expression."""
+    z = _literal(normal_quantile(alpha))
+    core = f"(1D - 1D / (9D * {count}) - {z} / (3D * sqrt({count})))"
+    return _chosen(count, [low for low, _ in exact_limits(alpha)], f"{count} * {core} * {core} * {core}")
 
 
-def byar_upper(count: Column, alpha: float = 0.05) -> Column:
-    size = count.cast("double") + 1
-    z = F.lit(normal_quantile(alpha))
-    core = F.lit(1.0) - 1 / (9 * size) + z / (3 * F.sqrt(size))
-    return _chosen(count, [high for _, high in exact_limits(alpha)], size * _cube(core))
+def byar_upper(count: str, alpha: float = 0.05) -> Column:
+    """Upper limit of a count, given as a column name or SQL expression."""
+    z = _literal(normal_quantile(alpha))
+    size = f"({count} + 1)"
+    core = f"(1D - 1D / (9D * {size}) + {z} / (3D * sqrt({size})))"
+    return _chosen(count, [high for _, high in exact_limits(alpha)], f"{size} * {core} * {core} * {core}")

@@ -1,4 +1,8 @@
-"""The study grid: the dates at which prevalence is taken, or between which incidence is counted."""
+"""The study grid: the dates at which prevalence is taken, or between which incidence is counted.
+
+The grid itself is a short list on the driver. It enters a plan as SQL text, which costs one call to
+build however long the grid is.
+"""
 
 from __future__ import annotations
 
@@ -6,9 +10,6 @@ import calendar
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 INCIDENCE = "Incidence"
 PREVALENCE = "Prevalence"
 
@@ -48,19 +49,19 @@ class StudyGrid:
     def offsets(self) -> list[int]:
         return [(d - self.dates[0]).days for d in self.dates]
 
-    def day(self, dated: Column) -> Column:
-        """Days from the start of the study to a date."""
-        return F.datediff(dated, F.lit(self.dates[0]))
+    def day(self, dated: str) -> str:
+        """SQL for the days from the start of the study to a date."""
+        return f"datediff({dated}, date'{self.dates[0]}')"
 
-    def offset_of(self, position: Column) -> Column:
-        """Day of the grid date at ``position``; null outside the grid."""
-        return F.get(F.expr("array(" + ",".join(map(str, self.offsets)) + ")"), position)
+    def offset_of(self, position: str) -> str:
+        """SQL for the day of the grid date at ``position``; null outside the grid."""
+        return f"get(array({','.join(map(str, self.offsets))}), {position})"
 
-    def date_of(self, position: Column) -> Column:
-        return F.date_add(F.lit(self.dates[0]), self.offset_of(position))
+    def date_of(self, position: str) -> str:
+        return f"date_add(date'{self.dates[0]}', {self.offset_of(position)})"
 
-    def position(self, day: Column) -> Column:
-        """Position of the last grid date not after ``day``: -1 before the first.
+    def position(self, day: str) -> str:
+        """SQL for the position of the last grid date not after ``day``: -1 before the first.
 
         Grid dates are nearly evenly spaced, so a proportional guess is corrected by comparing it
         with its neighbours. The number of corrections is the largest error of the guess, found
@@ -69,21 +70,20 @@ class StudyGrid:
         offsets = self.offsets
         last = len(offsets) - 1
         if last == 0:
-            return F.when(day < 0, -1).when(day >= 0, 0)
+            return f"CASE WHEN {day} < 0 THEN -1 WHEN {day} >= 0 THEN 0 END"
         span = offsets[-1]
         errors = [
             abs(d * last // span - at)
             for at in range(last)
             for d in (offsets[at], offsets[at + 1] - 1)
         ]
-        guess = F.floor(day.cast("bigint") * last / span).cast("int")
+        guess = f"int({day} * {last}L div {span}L)"
         for _ in range(max(errors)):
             guess = (
-                F.when(day < self.offset_of(guess), guess - 1)
-                .when(day >= self.offset_of(guess + 1), guess + 1)
-                .otherwise(guess)
+                f"({guess} + CASE WHEN {day} < {self.offset_of(guess)} THEN -1 "
+                f"WHEN {day} >= {self.offset_of(f'{guess} + 1')} THEN 1 ELSE 0 END)"
             )
-        return F.when(day < 0, -1).when(day >= span, last).otherwise(guess)
+        return f"CASE WHEN {day} < 0 THEN -1 WHEN {day} >= {span} THEN {last} ELSE {guess} END"
 
 
 @dataclass(frozen=True)

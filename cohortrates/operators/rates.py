@@ -22,11 +22,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import NO_STRATUM, named, ratio, strata_label
+from ..functions.columns import NO_STRATUM, named, quoted, strata_label, text
 from ..functions.limits import byar_lower, byar_upper
 from .grid import INCIDENCE, Study
 
@@ -55,11 +54,8 @@ def strata_columns(strata: StrataSpec) -> list[str]:
 
 def fill_strata(cohort: DataFrame, names: Sequence[str]) -> DataFrame:
     """Strata as text, with absent values shown as ``null``."""
-    if not names:
-        return cohort
-    return cohort.withColumns(
-        {n: F.coalesce(named(n).cast("string"), F.lit(NO_STRATUM)) for n in names}
-    )
+    filled = {n: F.expr(f"coalesce(string({quoted(n)}), '{NO_STRATUM}')") for n in names}
+    return cohort.withColumns(filled) if filled else cohort
 
 
 def cohort_long(
@@ -85,119 +81,94 @@ def cohort_long(
     )
 
 
-def _change(study: Study, at: Column, when: Column | None = None, **amounts) -> Column:
-    """A struct of changes at a period, or null where ``when`` does not hold."""
+def _change(study: Study, at: str, when: str = "true", **amounts: int | str) -> str:
+    """SQL for one change at a period, or null where ``when`` does not hold."""
     unknown = set(amounts) - set(CHANGES)
     if unknown:
         raise ValueError(f"unknown changes {unknown}")
-    fields = [F.lit(study.measure).alias("Measure"), at.cast("int").alias("period")]
-    for name in CHANGES:
-        amount = amounts.get(name, 0)
-        amount = amount if isinstance(amount, Column) else F.lit(amount)
-        fields.append(amount.cast("bigint").alias(name))
-    change = F.struct(*fields)
-    held = at.isNotNull() if when is None else at.isNotNull() & when
-    return F.when(held, change)
-
-
-class _Spells:
-    """Person-level columns of one study: the periods a person is in the population."""
-
-    def __init__(self, study: Study, tag: str, index_date: Column, end_date: Column):
-        self.study, self.grid, self.tag = study, study.grid, tag
-        self.index_date, self.end_date = index_date, end_date
-
-    def col(self, name: str) -> Column:
-        return F.col(f"{self.tag}_{name}")
-
-    def columns(self) -> list[dict[str, Column]]:
-        """Columns to add, in steps that may use those of the step before."""
-        grid, last = self.grid, self.study.n_periods - 1
-        entry, exit_ = self.col("entry"), self.col("exit")
-        first, final = self.col("first"), self.col("final")
+    fields = ", ".join(f"'{name}', bigint({amounts.get(name, 0)})" for name in CHANGES)
+    return (
+        f"CASE WHEN {at} IS NOT NULL AND {when} THEN "
+        f"named_struct('Measure', '{study.measure}', 'period', int({at}), {fields}) END"
+    )
+
+
+class _Spell:
+    """SQL for the periods a person is in the population of one study, and for an event in them.
+
+    Columns are given as ``name -> SQL`` in an order in which each may use those before it.
+    """
+
+    def __init__(self, study: Study, tag: str):
+        self.study, self.tag = study, tag
+        self.last = study.n_periods - 1
+
+    def _tagged(self, columns: dict[str, str]) -> list[str]:
+        return [f"{sql.replace('@', self.tag)} AS {self.tag}{name}" for name, sql in columns.items()]
+
+    def person_columns(self) -> list[str]:
+        grid = self.study.grid
+        present = "@start <= @stop AND @stop >= 0"
+        columns = {"entry": grid.day("index_date"), "exit": grid.day("end_date")}
         if self.study.measure == INCIDENCE:
             # the first period that ends after entry
-            start = F.greatest(grid.position(entry), F.lit(0))
-            spare = {
-                "lead": F.greatest(entry - grid.offset_of(first), F.lit(0)),
-                "tail": F.greatest(grid.offset_of(final + 1) - exit_, F.lit(0)),
-            }
+            columns["start"] = f"greatest({grid.position('@entry')}, 0)"
         else:
             # the first grid date on or after entry
-            start = grid.position(entry - 1) + 1
-            spare = {"lead": F.lit(0), "tail": F.lit(0)}
-        stop = F.least(grid.position(exit_), F.lit(last))
-        steps = [
-            {"entry": grid.day(self.index_date), "exit": grid.day(self.end_date)},
-            {"start": start, "stop": stop},
-            {
-                "first": F.when((self.col("start") <= self.col("stop")) & (self.col("stop") >= 0), self.col("start")),
-                "final": F.when((self.col("start") <= self.col("stop")) & (self.col("stop") >= 0), self.col("stop")),
-            },
-            spare,
-        ]
-        return [{f"{self.tag}_{k}": v for k, v in step.items()} for step in steps]
-
-    def event_columns(self) -> list[dict[str, Column]]:
-        """Columns of one event: its period and the last period at risk because of it."""
-        grid, last = self.grid, self.study.n_periods - 1
-        event = self.col("event")
+            columns["start"] = f"{grid.position('(@entry - 1)')} + 1"
+        columns["stop"] = f"least({grid.position('@exit')}, {self.last})"
+        columns["first"] = f"CASE WHEN @entry IS NOT NULL AND @exit IS NOT NULL AND {present} THEN @start END"
+        columns["final"] = "CASE WHEN @first IS NOT NULL THEN @stop END"
+        if self.study.measure == INCIDENCE:
+            columns["lead"] = f"greatest(@entry - {grid.offset_of('@first')}, 0)"
+            columns["tail"] = f"greatest({grid.offset_of('@final + 1')} - @exit, 0)"
+        return self._tagged(columns)
+
+    def event_columns(self) -> list[str]:
+        grid = self.study.grid
         if self.study.measure == INCIDENCE:
-            steps = [
-                {"event": grid.day(F.col("event_date"))},
-                {"at": grid.position(event)},
-                {"cut": F.least(self.col("at"), F.lit(last))},
-            ]
+            columns = {"event": grid.day("event_date"), "at": grid.position("@event"), "cut": f"least(@at, {self.last})"}
         else:
-            steps = [
-                {"event": F.greatest(grid.day(F.col("event_date")), self.col("entry"))},
-                {"at": grid.position(event - 1) + 1},
-            ]
-        return [{f"{self.tag}_{k}": v for k, v in step.items()} for step in steps]
+            columns = {
+                "event": f"greatest({grid.day('event_date')}, @entry)",
+                "at": f"{grid.position('(@event - 1)')} + 1",
+            }
+        return self._tagged(columns)
 
-    def population(self) -> list[Column]:
+    def population(self) -> list[str]:
         """Changes of a person as if no event ever happened."""
-        first, final = self.col("first"), self.col("final")
-        return [
-            _change(self.study, F.lit(0), persons=1),
-            _change(self.study, first, enter=1, idle_days=self.col("lead")),
-            _change(self.study, final, leave=1, idle_days=self.col("tail")),
-        ]
-
-    def event(self) -> list[Column]:
+        lead, tail = ("@lead", "@tail") if self.study.measure == INCIDENCE else (0, 0)
+        return self._filled(
+            _change(self.study, "0", persons=1),
+            _change(self.study, "@first", enter=1, idle_days=lead),
+            _change(self.study, "@final", leave=1, idle_days=tail),
+        )
+
+    def event(self) -> list[str]:
         """Changes that one event adds to those of the population."""
         if self.study.measure == INCIDENCE:
             return self._incident()
-        return self._prevalent()
-
-    def _prevalent(self) -> list[Column]:
-        at, final = self.col("at"), self.col("final")
-        seen = self.col("first").isNotNull() & (at <= final)
-        return [
-            _change(self.study, at, seen, case_on=1),
-            _change(self.study, final, seen, case_off=1),
-        ]
-
-    def _incident(self) -> list[Column]:
-        entry, exit_, event = self.col("entry"), self.col("exit"), self.col("event")
-        first, final, at, cut = (self.col(n) for n in ("first", "final", "at", "cut"))
-        new = event > entry
-        case = (
-            new
-            & (at >= 0)
-            & (at < self.study.n_periods)
-            & (exit_ >= self.grid.offset_of(at))
+        seen = "@at <= @final"
+        return self._filled(
+            _change(self.study, "@at", seen, case_on=1),
+            _change(self.study, "@final", seen, case_off=1),
         )
-        present = first.isNotNull()
-        never = present & (~new | ((event < exit_) & (cut < first)))
-        shorter = present & new & (event < exit_) & (cut >= first)
-        rest = F.greatest(self.grid.offset_of(cut + 1) - event, F.lit(0))
-        return [
-            _change(self.study, at, case, case_on=1, case_off=1),
-            _change(self.study, first, never, enter=-1, idle_days=-self.col("lead")),
-            _change(self.study, final, never | shorter, leave=-1, idle_days=-self.col("tail")),
-            _change(self.study, cut, shorter, leave=1, idle_days=rest),
-        ]
+
+    def _incident(self) -> list[str]:
+        at_start = self.study.grid.offset_of("@at")
+        next_start = self.study.grid.offset_of("(@cut + 1)")
+        case = f"@event > @entry AND @at BETWEEN 0 AND {self.last} AND @exit >= {at_start}"
+        never = "(@event <= @entry OR (@event < @exit AND @cut < @first))"
+        shorter = "(@event > @entry AND @event < @exit AND @cut >= @first)"
+        return self._filled(
+            _change(self.study, "@at", case, case_on=1, case_off=1),
+            _change(self.study, "@first", never, enter=-1, idle_days="-@lead"),
+            _change(self.study, "@final", f"({never} OR {shorter})", leave=-1, idle_days="-@tail"),
+            _change(self.study, "@cut", shorter, leave=1, idle_days=f"greatest({next_start} - @event, 0)"),
+        )
+
+    def _filled(self, *changes: str) -> list[str]:
+        return [c.replace("@", self.tag) for c in changes]
 
 
 def rate_cells(
@@ -216,35 +187,29 @@ def rate_cells(
     if not conditions:
         raise ValueError("no conditions given")
     names = strata_columns(strata)
-    spells = [
-        _Spells(study, f"s{i}", F.col("index_date"), F.col("end_date"))
-        for i, study in enumerate(studies)
-    ]
-    events = [F.struct(F.lit(None).cast("string").alias("Condition"), F.lit(None).cast("date").alias("event_date"))]
-    events += [F.struct(F.lit(c).alias("Condition"), named(c).alias("event_date")) for c in conditions]
-
-    persons = fill_strata(cohort, names).select(
-        *[named(n).alias(f"stratum_{i}") for i, n in enumerate(names)],
-        named(index_date).alias("index_date"),
-        named(end_date).alias("end_date"),
-        F.array(*events).alias("events"),
-    )
-    for step in zip(*[s.columns() for s in spells], strict=True):
-        persons = persons.withColumns({k: v for part in step for k, v in part.items()})
-
-    rows = persons.select("*", F.inline("events")).drop("events")
-    rows = rows.where(F.col("Condition").isNull() | F.col("event_date").isNotNull())
-    for s in spells:
-        for step in s.event_columns():
-            rows = rows.withColumns(step)
-    population = F.array(*[c for s in spells for c in s.population()])
-    corrections = F.array(*[c for s in spells for c in s.event()])
     keys = [f"stratum_{i}" for i in range(len(names))]
-    changes = rows.select(
-        *keys, "Condition", F.inline(F.when(F.col("Condition").isNull(), population).otherwise(corrections))
-    ).where(F.col("period").isNotNull())
+    spells = [_Spell(study, f"s{i}_") for i, study in enumerate(studies)]
+    events = ["named_struct('Condition', string(null), 'event_date', date(null))"] + [
+        f"named_struct('Condition', {text(c)}, 'event_date', date({quoted(c)}))" for c in conditions
+    ]
+    # names of this plan only, so that later expressions cannot meet a column of the cohort
+    persons = cohort.selectExpr(
+        *[f"coalesce(string({quoted(n)}), '{NO_STRATUM}') AS {k}" for n, k in zip(names, keys, strict=True)],
+        f"date({quoted(index_date)}) AS index_date",
+        f"date({quoted(end_date)}) AS end_date",
+        f"array({', '.join(events)}) AS events",
+    ).selectExpr("*", *[c for s in spells for c in s.person_columns()])
+    rows = persons.selectExpr("*", "inline(events)").where("Condition IS NULL OR event_date IS NOT NULL")
+    rows = rows.selectExpr("*", *[c for s in spells for c in s.event_columns()])
+    population = ", ".join(c for s in spells for c in s.population())
+    corrections = ", ".join(c for s in spells for c in s.event())
+    changes = rows.selectExpr(
+        *keys,
+        "Condition",
+        f"inline(CASE WHEN Condition IS NULL THEN array({population}) ELSE array({corrections}) END)",
+    ).where("period IS NOT NULL")
     cells = changes.groupBy("Measure", "Condition", *keys, "period").agg(
-        *[F.sum(c).alias(c) for c in CHANGES]
+        *[F.expr(f"sum({c}) AS {c}") for c in CHANGES]
     )
     return cells.withColumnsRenamed(dict(zip(keys, names, strict=True)))
 
@@ -267,101 +232,100 @@ def crude_rates(
     lists = strata_lists(strata)
     names = strata_columns(strata)
     keys = [f"stratum_{i}" for i in range(len(names))]
-    mine = (
-        cells.where(F.col("Measure") == study.measure)
-        .withColumnsRenamed(dict(zip(names, keys, strict=True)))
-        .withColumn(
-            "Condition",
-            F.explode(
-                F.when(F.col("Condition").isNull(), F.array(*[F.lit(c) for c in conditions]))
-                .otherwise(F.array("Condition"))
-            ),
-        )
-    )
     key_of = dict(zip(names, keys, strict=True))
-    sets = list(dict.fromkeys(frozenset(item) for item in lists))
+    sets = list(dict.fromkeys(tuple(key_of[n] for n in names if n in item) for item in lists))
     if overall:
-        sets.insert(0, frozenset())
+        sets.insert(0, ())
+    everyone = ", ".join(map(text, conditions))
+    mine = cells.where(F.col("Measure") == study.measure).selectExpr(
+        f"explode(CASE WHEN Condition IS NULL THEN array({everyone}) ELSE array(Condition) END) AS Condition",
+        "period",
+        *[f"{quoted(n)} AS {k}" for n, k in key_of.items()],
+        *CHANGES,
+    )
+    sums = [F.expr(f"sum({c}) AS {c}") for c in CHANGES]
     fixed = ["Condition", "period"]
-    sums = [F.sum(c).alias(c) for c in CHANGES]
     if names:
-        flags = [F.grouping(k).alias(f"left_out_{i}") for i, k in enumerate(keys)]
-        grouped = mine.groupingSets(
-            [[F.col(k) for k in fixed + [key_of[n] for n in names if n in chosen]] for chosen in sets],
-            *[F.col(k) for k in fixed + keys],
-        ).agg(*sums, *flags)
-        number = F.lit(None).cast("int")
-        for i, chosen in enumerate(sets):
-            match = F.lit(True)
-            for j, n in enumerate(names):
-                match = match & (F.col(f"left_out_{j}") == (0 if n in chosen else 1))
-            number = F.when(match, i).otherwise(number)
-        grouped = grouped.withColumn("breakdown", number)
+        flags = [F.expr(f"grouping({k}) AS left_out_{k}") for k in keys]
+        grouped = mine.groupingSets([[*fixed, *chosen] for chosen in sets], *fixed, *keys).agg(*sums, *flags)
+        branches = " ".join(
+            "WHEN " + " AND ".join(f"left_out_{k} = {int(k not in chosen)}" for k in keys) + f" THEN {i}"
+            for i, chosen in enumerate(sets)
+        )
+        number = f"CASE {branches} END"
     else:
-        grouped = mine.groupBy(*fixed).agg(*sums).withColumn("breakdown", F.lit(0))
+        grouped = mine.groupBy(*fixed).agg(*sums)
+        number = "0"
 
     # every stratum has a row for period 0, so filling forward from each row restores all periods
-    stratum = W.partitionBy("Condition", "breakdown", *keys).orderBy("period")
-    running = stratum.rowsBetween(W.unboundedPreceding, W.currentRow)
-    totals = {f"sum_{c}": F.sum(c).over(running) for c in CHANGES if c != "idle_days"}
-    nxt = F.coalesce(F.lead("period").over(stratum), F.lit(study.n_periods))
+    window = "OVER (PARTITION BY " + ", ".join(["Condition", "breakdown", *keys]) + " ORDER BY period"
+    running = f"{window} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     dense = (
-        grouped.withColumns({**totals, "next": nxt})
-        .withColumnRenamed("period", "changed")
-        .withColumn("period", F.explode(F.sequence("changed", F.col("next") - 1)))
+        grouped.selectExpr(*fixed, *keys, *CHANGES, f"{number} AS breakdown")
+        .selectExpr(
+            "Condition",
+            "breakdown",
+            *keys,
+            "period AS changed",
+            "leave",
+            "idle_days",
+            "case_off",
+            *[f"sum({c}) {running} AS sum_{c}" for c in CHANGES if c != "idle_days"],
+            f"coalesce(lead(period) {window}), {study.n_periods}) AS until",
+        )
+        .selectExpr("*", "explode(sequence(changed, until - 1)) AS period")
     )
-    here = F.col("period") == F.col("changed")
 
-    def standing(on: str, off: str) -> Column:
-        gone = F.col(f"sum_{off}") - F.when(here, F.col(off)).otherwise(F.lit(0))
-        return F.col(f"sum_{on}") - gone
+    def standing(on: str, off: str) -> str:
+        return f"sum_{on} - sum_{off} + CASE WHEN period = changed THEN {off} ELSE 0 END"
 
-    active = standing("enter", "leave")
+    grid = study.grid
     if study.measure == INCIDENCE:
-        length = study.grid.offset_of(F.col("period") + 1) - study.grid.offset_of(F.col("period"))
-        days = length * active - F.when(here, F.col("idle_days")).otherwise(F.lit(0))
-        denominator = days / length.cast("double") + F.lit(IDLE_SHARE) * (F.col("sum_persons") - active)
+        length = f"({grid.offset_of('(period + 1)')} - {grid.offset_of('period')})"
+        idle = "CASE WHEN period = changed THEN idle_days ELSE 0 END"
+        denominator = (
+            f"({length} * active - {idle}) / double({length}) + {IDLE_SHARE!r}D * (sum_persons - active)"
+        )
     else:
-        denominator = active
-    labels = _breakdown_labels(sets, lists, key_of, overall)
-    measured = dense.select(
+        denominator = "active"
+    measured = dense.selectExpr(
+        "*",
+        f"inline({_breakdown_labels(sets, lists, key_of)})",
+    ).selectExpr(
         "Condition",
-        F.inline(labels),
-        *[F.col(key_of[n]).alias(n) for n in names if keep_strata],
-        study.grid.date_of(F.col("period")).alias("Date"),
-        standing("case_on", "case_off").alias("Numerator"),
-        denominator.alias("Denominator"),
+        "`Group`",
+        "Subgroup",
+        *[f"{k} AS {quoted(n)}" for n, k in key_of.items() if keep_strata],
+        f"{grid.date_of('period')} AS `Date`",
+        f"{standing('case_on', 'case_off')} AS Numerator",
+        f"{standing('enter', 'leave')} AS active",
+        f"{denominator} AS Denominator",
     )
-    return with_limits(measured, study.measure, per, alpha)
+    return with_limits(measured.drop("active"), study.measure, per, alpha)
 
 
-def _breakdown_labels(sets, lists, key_of, overall: bool) -> Column:
-    """``Group`` and ``Subgroup`` of a row: one pair, or more if lists differ only in order."""
-    labels = F.lit(None)
+def _breakdown_labels(sets, lists, key_of) -> str:
+    """SQL for ``Group`` and ``Subgroup``: one pair, or more if lists differ only in their order."""
+    branches = []
     for i, chosen in enumerate(sets):
-        if overall and i == 0:
-            pairs = [F.struct(F.lit(OVERALL).alias("Group"), F.lit("").alias("Subgroup"))]
-        else:
-            pairs = [
-                F.struct(
-                    F.lit(", ".join(item)).alias("Group"),
-                    F.concat_ws(", ", *[F.col(key_of[n]) for n in item]).alias("Subgroup"),
-                )
-                for item in lists
-                if frozenset(item) == chosen
-            ]
-        labels = F.when(F.col("breakdown") == i, F.array(*pairs)).otherwise(labels)
-    return labels
+        pairs = [
+            f"named_struct('Group', {text(', '.join(item))}, "
+            f"'Subgroup', concat_ws(', ', {', '.join(key_of[n] for n in item)}))"
+            for item in lists
+            if chosen and {key_of[n] for n in item} == set(chosen)
+        ] or [f"named_struct('Group', '{OVERALL}', 'Subgroup', '')"]
+        branches.append(f"WHEN {i} THEN array({', '.join(pairs)})")
+    return f"CASE breakdown {' '.join(branches)} END"
 
 
 def with_limits(counted: DataFrame, measure: str, per: float = PER_PERSONS, alpha: float = 0.05) -> DataFrame:
     """Rate and Byar limits per ``per`` persons; all null where the denominator is zero."""
-    count, base = F.col("Numerator"), F.col("Denominator")
+    bottom = "nullif(double(Denominator), 0D)"
     return counted.withColumns(
         {
-            measure: ratio(count, base) * per,
-            "Lower_CI": ratio(byar_lower(count, alpha), base) * per,
-            "Upper_CI": ratio(byar_upper(count, alpha), base) * per,
+            measure: F.expr(f"double(Numerator) / {bottom}") * per,
+            "Lower_CI": byar_lower("Numerator", alpha) / F.expr(bottom) * per,
+            "Upper_CI": byar_upper("Numerator", alpha) / F.expr(bottom) * per,
         }
     )
 
