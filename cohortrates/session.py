@@ -45,12 +45,18 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a lookup table for broadcast if it has at most ``max_rows`` rows.
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a table has at most ``max_rows`` rows; reads no more than that.
+
+    Give it only tables that are cheap to count: files of their own, or settled results.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
+    """``df`` marked for broadcast if its size was found to be small.
 
     A larger one is returned as it is and joined by shuffle, where adaptive execution splits the
-    partitions of hot keys. Give it only tables that are cheap to count: files of their own, or
-    settled results.
+    partitions of hot keys.
     """
-    fits = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if fits else df
+    return F.broadcast(df) if small else df
