@@ -22,22 +22,31 @@ def typed_crude(spark: SparkSession, sf_dir: str, study: Study, strata=GROUP_LIS
     return rates.analyse(views.cohort(spark, sf_dir), CONDITIONS, strata, study, overall, keep_strata=True)
 
 
-def standardised(spark: SparkSession, sf_dir: str, study: Study, names=tuple(BREAKDOWNS)) -> DataFrame:
+def weights_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return population_weights(views.reference_population(spark, sf_dir), AGE_BINS, AGE_LABELS)
+
+
+def standardised_from(crude: DataFrame, weights: DataFrame, study: Study, breakdowns=BREAKDOWNS) -> DataFrame:
+    parts = standardise.std_parts(crude, standardise.breakdown_groups(breakdowns))
+    return standardise.standardise(parts, weights, breakdowns, study.measure)
+
+
+def standardised(spark: SparkSession, sf_dir: str, study: Study, names) -> DataFrame:
     chosen = {n: BREAKDOWNS[n] for n in names}
-    groups = standardise.breakdown_groups(chosen)
-    crude = typed_crude(spark, sf_dir, study, [g.split(", ") for g in groups], overall=False)
-    weights = population_weights(views.reference_population(spark, sf_dir), AGE_BINS, AGE_LABELS)
-    return standardise.standardise(standardise.std_parts(crude, groups), weights, chosen, study.measure)
+    strata = [g.split(", ") for g in standardise.breakdown_groups(chosen)]
+    crude = typed_crude(spark, sf_dir, study, strata, overall=False)
+    return standardised_from(crude, weights_of(spark, sf_dir), study, chosen)
 
 
 def dsr_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both measures, every condition and breakdown, from one pass of the cohort per measure."""
-    parts = [
-        standardised(spark, sf_dir, study)
-        .withColumnRenamed(study.measure, "Rate")
-        .withColumn("Measure", F.lit(study.measure))
-        for study in (INC, PREV)
-    ]
+    """Both measures, every condition and breakdown, from one pass of the cohort."""
+    cells = rates.rate_cells(views.cohort(spark, sf_dir), CONDITIONS, GROUP_LISTS, [INC, PREV])
+    weights = weights_of(spark, sf_dir)
+    parts = []
+    for study in (INC, PREV):
+        crude = rates.crude_rates(cells, study, CONDITIONS, GROUP_LISTS, overall=False, keep_strata=True)
+        rate = standardised_from(crude, weights, study).withColumnRenamed(study.measure, "Rate")
+        parts.append(rate.withColumn("Measure", F.lit(study.measure)))
     return rounded(parts[0].unionByName(parts[1]))
 
 
@@ -46,13 +55,16 @@ def numerators(spark: SparkSession, sf_dir: str, study: Study) -> DataFrame:
 
 
 def counted(spark: SparkSession, sf_dir: str, study: Study) -> DataFrame:
-    found = numerators(spark, sf_dir, study)
-    return rounded(disclosure.attach_numerators(standardised(spark, sf_dir, study), found, BREAKDOWNS))
+    crude = typed_crude(spark, sf_dir, study)
+    dsr = standardised_from(crude, weights_of(spark, sf_dir), study)
+    return rounded(disclosure.attach_numerators(dsr, disclosure.crude_numerators(crude, BREAKDOWNS), BREAKDOWNS))
 
 
 def censored_dsr(spark: SparkSession, sf_dir: str, study: Study) -> DataFrame:
-    crude, found = standardised(spark, sf_dir, study), numerators(spark, sf_dir, study)
-    return rounded(disclosure.suppress_standardised(crude, found, BREAKDOWNS, SMALL_COUNT, study.measure))
+    crude = typed_crude(spark, sf_dir, study)
+    dsr = standardised_from(crude, weights_of(spark, sf_dir), study)
+    found = disclosure.crude_numerators(crude, BREAKDOWNS)
+    return rounded(disclosure.suppress_standardised(dsr, found, BREAKDOWNS, SMALL_COUNT, study.measure))
 
 
 def labelled(spark: SparkSession, sf_dir: str, study: Study) -> DataFrame:
