@@ -22,6 +22,8 @@ def build_session(app: str = "cohortrates", master: str | None = None, **conf: s
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # call-site capture costs more than building the plans does
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
