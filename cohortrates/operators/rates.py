@@ -15,7 +15,8 @@ Steps::
                 --crude_rates--> grouping sets, running totals, rate and limits
 
 Only the first step reads person rows. Its shuffle is preceded by map-side sums, so a stratum that
-holds a large part of all persons sends no more rows than any other.
+holds a large part of all persons sends no more rows than any other. Its columns are added in short
+projections, each of which compiles to a method small enough for the JVM to optimise.
 """
 
 from __future__ import annotations
@@ -36,7 +37,13 @@ IDLE_SHARE = 1e-8
 
 OVERALL = "Overall"
 
-#: What one change does to the running totals of a stratum.
+#: Kinds of change at a period: counted there, from there on, up to and including it.
+COUNT, ON, OFF = "count", "on", "off"
+
+#: Label of the row that stands for a person, beside those of the person's events.
+PERSON = "person"
+
+#: What a change does to the running totals of a stratum, once its kind has been told apart.
 CHANGES = ("persons", "enter", "leave", "idle_days", "case_on", "case_off")
 
 StrataSpec = Sequence["str | Sequence[str]"]
@@ -81,22 +88,11 @@ def cohort_long(
     )
 
 
-def _change(study: Study, at: str, when: str = "true", **amounts: int | str) -> str:
-    """SQL for one change at a period, or null where ``when`` does not hold."""
-    unknown = set(amounts) - set(CHANGES)
-    if unknown:
-        raise ValueError(f"unknown changes {unknown}")
-    fields = ", ".join(f"'{name}', bigint({amounts.get(name, 0)})" for name in CHANGES)
-    return (
-        f"CASE WHEN {at} IS NOT NULL AND {when} THEN "
-        f"named_struct('Measure', '{study.measure}', 'period', int({at}), {fields}) END"
-    )
-
-
 class _Spell:
     """SQL for the periods a person is in the population of one study, and for an event in them.
 
-    Columns are given as ``name -> SQL`` in an order in which each may use those before it.
+    Columns are given as ``name -> SQL`` in an order in which each may use those before it; ``@``
+    stands for the prefix of the study.
     """
 
     def __init__(self, study: Study, tag: str):
@@ -104,11 +100,11 @@ class _Spell:
         self.last = study.n_periods - 1
 
     def _tagged(self, columns: dict[str, str]) -> list[str]:
-        return [f"{sql.replace('@', self.tag)} AS {self.tag}{name}" for name, sql in columns.items()]
+        return [f"{sql} AS @{name}".replace("@", self.tag) for name, sql in columns.items()]
 
     def person_columns(self) -> list[str]:
+        """First and last period at risk, null if there is none, and the days idle in them."""
         grid = self.study.grid
-        present = "@start <= @stop AND @stop >= 0"
         columns = {"entry": grid.day("index_date"), "exit": grid.day("end_date")}
         if self.study.measure == INCIDENCE:
             # the first period that ends after entry
@@ -117,7 +113,8 @@ class _Spell:
             # the first grid date on or after entry
             columns["start"] = f"{grid.position('(@entry - 1)')} + 1"
         columns["stop"] = f"least({grid.position('@exit')}, {self.last})"
-        columns["first"] = f"CASE WHEN @entry IS NOT NULL AND @exit IS NOT NULL AND {present} THEN @start END"
+        known = "@entry IS NOT NULL AND @exit IS NOT NULL"
+        columns["first"] = f"CASE WHEN {known} AND @start <= @stop AND @stop >= 0 THEN @start END"
         columns["final"] = "CASE WHEN @first IS NOT NULL THEN @stop END"
         if self.study.measure == INCIDENCE:
             columns["lead"] = f"greatest(@entry - {grid.offset_of('@first')}, 0)"
@@ -125,50 +122,49 @@ class _Spell:
         return self._tagged(columns)
 
     def event_columns(self) -> list[str]:
-        grid = self.study.grid
+        """Period of the event and, for incidence, the last period at risk because of it."""
+        grid, event = self.study.grid, f"Condition <> '{PERSON}'"
         if self.study.measure == INCIDENCE:
-            columns = {"event": grid.day("event_date"), "at": grid.position("@event"), "cut": f"least(@at, {self.last})"}
+            columns = {
+                "event": grid.day("event_date"),
+                "new": "@event > @entry",
+                "at": grid.position("@event"),
+                "early": "@event < @exit",
+                "never": f"{event} AND (NOT @new OR (@early AND @at < @first))",
+                "shorter": f"{event} AND @new AND @early AND @at >= @first",
+                "cut": f"CASE WHEN @shorter THEN least(@at, {self.last}) END",
+            }
         else:
             columns = {
                 "event": f"greatest({grid.day('event_date')}, @entry)",
-                "at": f"{grid.position('(@event - 1)')} + 1",
+                "at": f"CASE WHEN {event} THEN {grid.position('(@event - 1)')} + 1 END",
             }
         return self._tagged(columns)
 
-    def population(self) -> list[str]:
-        """Changes of a person as if no event ever happened."""
-        lead, tail = ("@lead", "@tail") if self.study.measure == INCIDENCE else (0, 0)
-        return self._filled(
-            _change(self.study, "0", persons=1),
-            _change(self.study, "@first", enter=1, idle_days=lead),
-            _change(self.study, "@final", leave=1, idle_days=tail),
-        )
+    def changes(self) -> list[tuple[str, str, str, str, str]]:
+        """The changes of one row: prefix, kind, and SQL for period, amount and idle days.
 
-    def event(self) -> list[str]:
-        """Changes that one event adds to those of the population."""
+        The row of a person says when the person is in the population; the row of an event corrects
+        that for its condition. A change whose period is null does not take place.
+        """
+        person = f"Condition = '{PERSON}'"
         if self.study.measure == INCIDENCE:
-            return self._incident()
-        seen = "@at <= @final"
-        return self._filled(
-            _change(self.study, "@at", seen, case_on=1),
-            _change(self.study, "@final", seen, case_off=1),
-        )
-
-    def _incident(self) -> list[str]:
-        at_start = self.study.grid.offset_of("@at")
-        next_start = self.study.grid.offset_of("(@cut + 1)")
-        case = f"@event > @entry AND @at BETWEEN 0 AND {self.last} AND @exit >= {at_start}"
-        never = "(@event <= @entry OR (@event < @exit AND @cut < @first))"
-        shorter = "(@event > @entry AND @event < @exit AND @cut >= @first)"
-        return self._filled(
-            _change(self.study, "@at", case, case_on=1, case_off=1),
-            _change(self.study, "@first", never, enter=-1, idle_days="-@lead"),
-            _change(self.study, "@final", f"({never} OR {shorter})", leave=-1, idle_days="-@tail"),
-            _change(self.study, "@cut", shorter, leave=1, idle_days=f"greatest({next_start} - @event, 0)"),
-        )
-
-    def _filled(self, *changes: str) -> list[str]:
-        return [c.replace("@", self.tag) for c in changes]
+            grid = self.study.grid
+            case = f"@new AND @at BETWEEN 0 AND {self.last} AND @exit >= {grid.offset_of('@at')}"
+            sign = f"CASE WHEN {person} THEN 1 ELSE -1 END"
+            changes = [
+                (COUNT, f"CASE WHEN {person} THEN 0 WHEN {case} THEN @at END", "1", "0"),
+                (ON, f"CASE WHEN {person} OR @never THEN @first END", sign, f"{sign} * @lead"),
+                (OFF, f"CASE WHEN {person} OR @never OR @shorter THEN @final END", sign, f"{sign} * @tail"),
+                (OFF, "@cut", "1", f"greatest({grid.offset_of('@cut + 1')} - @event, 0)"),
+            ]
+        else:
+            changes = [
+                (COUNT, f"CASE WHEN {person} THEN 0 END", "1", "0"),
+                (ON, f"CASE WHEN {person} THEN @first WHEN @at <= @final THEN @at END", "1", "0"),
+                (OFF, f"CASE WHEN {person} OR @at <= @final THEN @final END", "1", "0"),
+            ]
+        return [(self.tag, kind, *(part.replace("@", self.tag) for part in parts)) for kind, *parts in changes]
 
 
 def rate_cells(
@@ -179,39 +175,57 @@ def rate_cells(
     index_date: str = "INDEX_DATE",
     end_date: str = "END_DATE",
 ) -> DataFrame:
-    """Sums of changes by measure, condition, finest stratum and period, in one pass of the cohort.
+    """Sums of changes by measure, condition, finest stratum, kind and period, in one pass.
 
     ``cohort`` has one row per person with typed dates. The rows with a null ``Condition`` hold the
-    population that all conditions share.
+    population that all conditions share. Both unpivots are expansions inside generated code: they
+    build no arrays and no objects per row.
     """
     if not conditions:
         raise ValueError("no conditions given")
     names = strata_columns(strata)
     keys = [f"stratum_{i}" for i in range(len(names))]
     spells = [_Spell(study, f"s{i}_") for i, study in enumerate(studies)]
-    events = ["named_struct('Condition', string(null), 'event_date', date(null))"] + [
-        f"named_struct('Condition', {text(c)}, 'event_date', date({quoted(c)}))" for c in conditions
-    ]
     # names of this plan only, so that later expressions cannot meet a column of the cohort
+    events = {f"event_{i}": c for i, c in enumerate(conditions)}
     persons = cohort.selectExpr(
         *[f"coalesce(string({quoted(n)}), '{NO_STRATUM}') AS {k}" for n, k in zip(names, keys, strict=True)],
         f"date({quoted(index_date)}) AS index_date",
         f"date({quoted(end_date)}) AS end_date",
-        f"array({', '.join(events)}) AS events",
-    ).selectExpr("*", *[c for s in spells for c in s.person_columns()])
-    rows = persons.selectExpr("*", "inline(events)").where("Condition IS NULL OR event_date IS NOT NULL")
-    rows = rows.selectExpr("*", *[c for s in spells for c in s.event_columns()])
-    population = ", ".join(c for s in spells for c in s.population())
-    corrections = ", ".join(c for s in spells for c in s.event())
-    changes = rows.selectExpr(
+        f"date'1970-01-01' AS {PERSON}",
+        *[f"date({quoted(c)}) AS {e}" for e, c in events.items()],
+    ).selectExpr(*keys, PERSON, *events, *[c for s in spells for c in s.person_columns()])
+
+    kept = [c for c in persons.columns if c != PERSON and c not in events]
+    rows = persons.unpivot(kept, [PERSON, *events], "Condition", "event_date").where("event_date IS NOT NULL")
+    changes = [c for s in spells for c in s.changes()]
+    wide = rows.selectExpr("*", *[c for s in spells for c in s.event_columns()]).selectExpr(
         *keys,
         "Condition",
-        f"inline(CASE WHEN Condition IS NULL THEN array({population}) ELSE array({corrections}) END)",
+        *[
+            f"int({sql}) AS {what}_{i}"
+            for i, (_, _, *parts) in enumerate(changes)
+            for what, sql in zip(("period", "amount", "days"), parts, strict=True)
+        ],
+    )
+    slots = ", ".join(f"(period_{i}, amount_{i}, days_{i}) AS `{tag}{kind}`" for i, (tag, kind, *_) in enumerate(changes))
+    long = cohort.sparkSession.sql(
+        f"SELECT * FROM {{wide}} UNPIVOT INCLUDE NULLS ((period, amount, days) FOR change IN ({slots}))", wide=wide
     ).where("period IS NOT NULL")
-    cells = changes.groupBy("Measure", "Condition", *keys, "period").agg(
-        *[F.expr(f"sum({c}) AS {c}") for c in CHANGES]
+    sums = long.groupBy("Condition", *keys, "change", "period").agg(
+        F.sum("amount").alias("amount"), F.sum("days").alias("days")
+    )
+    condition = " ".join(f"WHEN '{e}' THEN {text(c)}" for e, c in events.items())
+    measure = " ".join(f"WHEN change LIKE '{s.tag}%' THEN '{s.study.measure}'" for s in spells)
+    return sums.selectExpr(
+        f"CASE {measure} END AS Measure",
+        f"CASE Condition {condition} END AS Condition",
+        *[f"{k} AS {quoted(n)}" for n, k in zip(names, keys, strict=True)],
+        "substring_index(change, '_', -1) AS kind",
+        "period",
+        "amount",
+        "days",
     )
-    return cells.withColumnsRenamed(dict(zip(keys, names, strict=True)))
 
 
 def crude_rates(
@@ -241,7 +255,7 @@ def crude_rates(
         f"explode(CASE WHEN Condition IS NULL THEN array({everyone}) ELSE array(Condition) END) AS Condition",
         "period",
         *[f"{quoted(n)} AS {k}" for n, k in key_of.items()],
-        *CHANGES,
+        *[f"CASE WHEN {when} THEN {what} ELSE 0 END AS {name}" for name, what, when in _roles(study)],
     )
     sums = [F.expr(f"sum({c}) AS {c}") for c in CHANGES]
     fixed = ["Condition", "period"]
@@ -304,6 +318,24 @@ def crude_rates(
     return with_limits(measured.drop("active"), study.measure, per, alpha)
 
 
+def _roles(study: Study) -> list[tuple[str, str, str]]:
+    """What each kind of change means: name of the total, column summed, condition on the cell."""
+    person, event = "Condition IS NULL", "Condition IS NOT NULL"
+    if study.measure == INCIDENCE:
+        # events shorten the time at risk, and each is a case in its own period
+        at_risk, on, off = "true", f"{event} AND kind = '{COUNT}'", f"{event} AND kind = '{COUNT}'"
+    else:
+        at_risk, on, off = person, f"{event} AND kind = '{ON}'", f"{event} AND kind = '{OFF}'"
+    return [
+        ("persons", "amount", f"{person} AND kind = '{COUNT}'"),
+        ("enter", "amount", f"{at_risk} AND kind = '{ON}'"),
+        ("leave", "amount", f"{at_risk} AND kind = '{OFF}'"),
+        ("idle_days", "days", "true"),
+        ("case_on", "amount", on),
+        ("case_off", "amount", off),
+    ]
+
+
 def _breakdown_labels(sets, lists, key_of) -> str:
     """SQL for ``Group`` and ``Subgroup``: one pair, or more if lists differ only in their order."""
     branches = []
