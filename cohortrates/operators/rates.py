@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import NO_STRATUM, named, quoted, strata_label, text
 from ..functions.limits import byar_lower, byar_upper
-from .grid import INCIDENCE, Study
+from .grid import INCIDENCE, PREVALENCE, Study
 
 PER_PERSONS = 100_000
 
@@ -46,6 +46,12 @@ PERSON = "person"
 #: What a change does to the running totals of a stratum, once its kind has been told apart.
 CHANGES = ("persons", "enter", "leave", "idle_days", "case_on", "case_off")
 
+#: Columns of cells and results, which no stratum may be called.
+RESERVED = {
+    "Measure", "Condition", "kind", "period", "amount", "days",
+    "Group", "Subgroup", "Date", "Numerator", "Denominator", "Lower_CI", "Upper_CI", INCIDENCE, PREVALENCE,
+}
+
 StrataSpec = Sequence["str | Sequence[str]"]
 
 
@@ -184,6 +190,8 @@ def rate_cells(
     if not conditions:
         raise ValueError("no conditions given")
     names = strata_columns(strata)
+    if RESERVED.intersection(names):
+        raise ValueError(f"strata must not be called {sorted(RESERVED.intersection(names))}")
     keys = [f"stratum_{i}" for i in range(len(names))]
     spells = [_Spell(study, f"s{i}_") for i, study in enumerate(studies)]
     # names of this plan only, so that later expressions cannot meet a column of the cohort

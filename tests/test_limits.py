@@ -1,0 +1,72 @@
+import math
+
+import pytest
+
+from cohortrates.functions import pvalues
+from cohortrates.functions.limits import byar_lower, byar_upper, exact_limits, normal_quantile
+
+# Exact Poisson limits of the counts 0 to 9 at the 95 % level.
+KNOWN = [
+    (None, 3.688879454113936),
+    (0.025317807984289842, 5.571643390938899),
+    (0.24220927854396518, 7.224687667723961),
+    (0.6186721228956005, 8.767273069742327),
+    (1.0898653736263255, 10.241588675403698),
+    (1.6234863901184204, 11.66833207932267),
+    (2.20189425349085, 13.059474022518685),
+    (2.814363051519866, 14.422675361702378),
+    (3.4538321767484996, 15.763189220193315),
+    (4.115373097378329, 17.08480345141917),
+]
+
+
+def test_exact_limits():
+    for (low, high), (known_low, known_high) in zip(exact_limits(0.05), KNOWN, strict=True):
+        assert (low is None) == (known_low is None)
+        assert (low or 0) == pytest.approx(known_low or 0, rel=1e-12)
+        assert high == pytest.approx(known_high, rel=1e-12)
+    assert normal_quantile(0.05) == pytest.approx(1.9599639845400536)
+
+
+def cube(count, upper):
+    z, c = 1.9599639845400536, count + upper
+    return c * (1 - 1 / (9 * c) + (z if upper else -z) / (3 * math.sqrt(c))) ** 3
+
+
+def test_byar_columns(spark):
+    counts = spark.createDataFrame([(c,) for c in [0, 1, 9, 10, 11, 1000, None]], "c bigint")
+    rows = counts.select("c", byar_lower("c").alias("low"), byar_upper("c").alias("high")).collect()
+    for row in rows:
+        if row["c"] is None:
+            assert row["low"] is None and row["high"] is None
+        elif row["c"] < 10:
+            assert row["low"] == pytest.approx(KNOWN[row["c"]][0])
+            assert row["high"] == pytest.approx(KNOWN[row["c"]][1])
+        else:
+            assert row["low"] == pytest.approx(cube(row["c"], 0))
+            assert row["high"] == pytest.approx(cube(row["c"], 1))
+
+
+def test_chi_square_tail():
+    assert pvalues.chi_square_tail(3.841458820694124, 1) == pytest.approx(0.05)
+    assert pvalues.chi_square_tail(10, 4) == pytest.approx(math.exp(-5) * 6)
+    assert pvalues.chi_square_tail(1, 1) == pytest.approx(math.erfc(math.sqrt(0.5)))
+    assert pvalues.chi_square_tail(0, 3) == 1
+    assert pvalues.chi_square_tail(5, 0) == 1
+    for x in (0.5, 3.0, 30.0):
+        assert pvalues.chi_square_tail(x, 2) == pytest.approx(math.exp(-x / 2))
+
+
+def test_student_tail():
+    assert pvalues.student_two_sided(2.0, 10) == pytest.approx(0.07338803477074043)
+    assert pvalues.student_two_sided(12.706204736432095, 1) == pytest.approx(0.05)
+    assert pvalues.student_two_sided(-1.0, 1) == pytest.approx(0.5)
+    assert pvalues.student_two_sided(0, 7) == 1
+    assert pvalues.student_two_sided(1.9599639845400536, 10**7) == pytest.approx(0.05, rel=1e-5)
+
+
+def test_pvalue_columns_keep_nulls(spark):
+    frame = spark.createDataFrame([(1.0, 1), (None, 1), (2.0, None)], "s double, f int")
+    found = [r[0] for r in frame.select(pvalues.chi_square_p("s", "f")).collect()]
+    assert found[0] == pytest.approx(0.31731050786291404)
+    assert found[1:] == [None, None]
