@@ -35,6 +35,8 @@ def exact_quantiles(
     Null and NaN values are left out of the quantiles; groups without any value get null. A rank
     outside its bracket, which the bound on the sketch rules out, is an error and not a wrong value.
     """
+    if not keys:
+        raise ValueError("quantiles need a grouping column")
     names = list(quantiles)
     margin = MARGIN / accuracy
     edges = [min(max(p + sign * margin, 0.0), 1.0) for p in quantiles.values() for sign in (-1, 1)]
@@ -58,7 +60,7 @@ def exact_quantiles(
         *[f"{quoted(k)} AS key_{i}" for i, k in enumerate(keys)], f"array({brackets}) AS brackets"
     )
     same = [f"key_{i} <=> {quoted(k)}" for i, k in enumerate(keys)]
-    condition = F.expr(" AND ".join(same)) if same else F.lit(True)
+    condition = F.expr(" AND ".join(same))
     rows = df.select(*[named(k) for k in keys], number.alias("number")).where("number IS NOT NULL")
     group = [f"key_{i}" for i in range(len(keys))] + ["which", "rank"]
     counted = (

@@ -224,7 +224,7 @@ def rate_cells(
         F.sum("amount").alias("amount"), F.sum("days").alias("days")
     )
     condition = " ".join(f"WHEN '{e}' THEN {text(c)}" for e, c in events.items())
-    measure = " ".join(f"WHEN change LIKE '{s.tag}%' THEN '{s.study.measure}'" for s in spells)
+    measure = " ".join(f"WHEN startswith(change, '{s.tag}') THEN '{s.study.measure}'" for s in spells)
     return sums.selectExpr(
         f"CASE {measure} END AS Measure",
         f"CASE Condition {condition} END AS Condition",
@@ -258,9 +258,8 @@ def crude_rates(
     sets = list(dict.fromkeys(tuple(key_of[n] for n in names if n in item) for item in lists))
     if overall:
         sets.insert(0, ())
-    everyone = ", ".join(map(text, conditions))
-    mine = cells.where(F.col("Measure") == study.measure).selectExpr(
-        f"explode(CASE WHEN Condition IS NULL THEN array({everyone}) ELSE array(Condition) END) AS Condition",
+    roles = cells.where(F.col("Measure") == study.measure).selectExpr(
+        "Condition",
         "period",
         *[f"{quoted(n)} AS {k}" for n, k in key_of.items()],
         *[f"CASE WHEN {when} THEN {what} ELSE 0 END AS {name}" for name, what, when in _roles(study)],
@@ -269,34 +268,44 @@ def crude_rates(
     fixed = ["Condition", "period"]
     if names:
         flags = [F.expr(f"grouping({k}) AS left_out_{k}") for k in keys]
-        grouped = mine.groupingSets([[*fixed, *chosen] for chosen in sets], *fixed, *keys).agg(*sums, *flags)
+        grouped = roles.groupingSets([[*fixed, *chosen] for chosen in sets], *fixed, *keys).agg(*sums, *flags)
         branches = " ".join(
             "WHEN " + " AND ".join(f"left_out_{k} = {int(k not in chosen)}" for k in keys) + f" THEN {i}"
             for i, chosen in enumerate(sets)
         )
         number = f"CASE {branches} END"
     else:
-        grouped = mine.groupBy(*fixed).agg(*sums)
+        grouped = roles.groupBy(*fixed).agg(*sums)
         number = "0"
 
-    # every stratum has a row for period 0, so filling forward from each row restores all periods
-    window = "OVER (PARTITION BY " + ", ".join(["Condition", "breakdown", *keys]) + " ORDER BY period"
-    running = f"{window} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    dense = (
-        grouped.selectExpr(*fixed, *keys, *CHANGES, f"{number} AS breakdown")
-        .selectExpr(
-            "Condition",
-            "breakdown",
+    # Only now, rolled up, is the population repeated for every condition. Rows of a stratum meet in
+    # one partition: at most two per period, so merging and running totals need no other shuffle.
+    everyone = ", ".join(map(text, conditions))
+    stratum = ["Condition", "breakdown", *keys]
+    merged = (
+        grouped.selectExpr(
+            f"explode(CASE WHEN Condition IS NULL THEN array({everyone}) ELSE array(Condition) END) AS Condition",
+            "period",
             *keys,
-            "period AS changed",
-            "leave",
-            "idle_days",
-            "case_off",
-            *[f"sum({c}) {running} AS sum_{c}" for c in CHANGES if c != "idle_days"],
-            f"coalesce(lead(period) {window}), {study.n_periods}) AS until",
+            *CHANGES,
+            f"{number} AS breakdown",
         )
-        .selectExpr("*", "explode(sequence(changed, until - 1)) AS period")
+        .repartition(*stratum)
+        .groupBy(*stratum, "period")
+        .agg(*sums)
     )
+    # every stratum has a row for period 0, so filling forward from each row restores all periods
+    window = f"OVER (PARTITION BY {', '.join(stratum)} ORDER BY period"
+    running = f"{window} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    dense = merged.selectExpr(
+        *stratum,
+        "period AS changed",
+        "leave",
+        "idle_days",
+        "case_off",
+        *[f"sum({c}) {running} AS sum_{c}" for c in CHANGES if c != "idle_days"],
+        f"coalesce(lead(period) {window}), {study.n_periods}) AS until",
+    ).selectExpr("*", "explode(sequence(changed, until - 1)) AS period")
 
     def standing(on: str, off: str) -> str:
         return f"sum_{on} - sum_{off} + CASE WHEN period = changed THEN {off} ELSE 0 END"

@@ -33,7 +33,13 @@ def _write(df: DataFrame, path: str, drop=()) -> None:
 
 
 def _cleaned(spark: SparkSession, path: str) -> DataFrame:
-    return cleaning.strip_codelist_suffix(cleaning.empty_to_null(tables.scan(spark, path)))
+    """The extract with formatted nulls and names; text files become columnar once, here."""
+    df = cleaning.strip_codelist_suffix(cleaning.empty_to_null(tables.scan(spark, path)))
+    if not path.endswith(".csv"):
+        return df
+    target = f"{path.removesuffix('.csv')}_formNulls.parquet"
+    tables.write_parquet(df, target)
+    return spark.read.parquet(target)
 
 
 def process(spark: SparkSession, config: Config) -> DataFrame:
