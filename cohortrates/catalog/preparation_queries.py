@@ -116,18 +116,13 @@ def _sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def practice_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The map with every practice given twice; the later row wins."""
-    rows = views.table(spark, sf_dir, "nation").where("n_regionkey <> 2")
-    pairs = rows.select(
-        F.col("n_nationkey").cast("string").alias("key"),
-        F.explode(
-            F.array(
-                F.struct(F.lit("old").alias("value"), F.lit(0).alias("place")),
-                F.struct(F.col("n_nationkey").cast("string").alias("value"), F.lit(1).alias("place")),
-            )
-        ).alias("pair"),
+    """One pair per supplier, in order of supplier: of the pairs of a nation the last one wins."""
+    pairs = views.table(spark, sf_dir, "supplier").select(
+        F.col("s_nationkey").cast("string").alias("key"),
+        F.col("s_suppkey").cast("string").alias("value"),
+        F.col("s_suppkey").alias("place"),
     )
-    return maps.practice_pairs(pairs.select("key", "pair.value", "pair.place"))
+    return maps.practice_pairs(pairs)
 
 
 def ref_population(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,7 +240,11 @@ QUERIES = {
             "else pat_catg_b end as pat_catg_b from v_cohort"
         ),
     ),
-    "practice_map": (practice_map, with_views("select id_a, id_b from v_practice_map")),
+    "practice_map": (
+        practice_map,
+        "select 'p' || cast(s_nationkey as varchar) as id_a, 'p' || cast(max(s_suppkey) as varchar) as id_b "
+        "from supplier group by s_nationkey",
+    ),
     "ref_population": (
         ref_population,
         with_views(

@@ -76,11 +76,11 @@ def error_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def histogram_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(series.histogram_bins(described(spark, sf_dir), "balance", "SEX", BINS))
+    return rounded(series.histogram_bins(described(spark, sf_dir), "balance", "pat_catg_a", BINS))
 
 
 def box_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(series.box_summary(described(spark, sf_dir), "balance", "AGE_CATEGORY", "SEX"))
+    return rounded(series.box_summary(described(spark, sf_dir), "balance", "AGE_CATEGORY", "pat_catg_a"))
 
 
 def level_panels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,15 +281,15 @@ ERROR_SQL = oracle.with_views(
 )
 
 HISTOGRAM_SQL = oracle.with_views(
-    f"select SEX as Subgroup, cast(least(floor((balance - low) * {BINS} / (high - low)) + 1, {BINS}) as int) as bin, "
+    f"select coalesce(pat_catg_a, 'Null') as Subgroup, cast(least(floor((balance - low) * {BINS} / (high - low)) + 1, {BINS}) as int) as bin, "
     f"round(low + (bin - 1) * (high - low) / {BINS}, 6) as lower, round(low + bin * (high - low) / {BINS}, 6) as upper, "
     "count(*) as n from d, (select min(balance) as low, max(balance) as high from d) "
-    "where balance is not null group by SEX, bin, low, high",
+    "where balance is not null group by 1, bin, low, high",
     d=DESCRIBED,
 )
 
 BOX_SQL = oracle.with_views(
-    "select SEX, AGE_CATEGORY, round(min(balance), 6) as low, round(max(balance), 6) as high, count(balance) as n, "
+    "select coalesce(pat_catg_a, 'Null') as Subgroup, AGE_CATEGORY, round(min(balance), 6) as low, round(max(balance), 6) as high, count(balance) as n, "
     "round(quantile_cont(balance, 0.25), 6) as q1, round(quantile_cont(balance, 0.5), 6) as median, "
     "round(quantile_cont(balance, 0.75), 6) as q3 from d where balance is not null group by all",
     d=DESCRIBED,

@@ -21,16 +21,37 @@ TICKS = 5
 TICK_PARTS = 10
 
 
+#: Subgroup of rows without one, and of everybody where no subgroup is asked for.
+NO_SUBGROUP = "Null"
+EVERYBODY = "Overall"
+
+
+def without(results: DataFrame, ignore: Sequence[str], column: str = "Subgroup") -> DataFrame:
+    """Rows whose label is none of ``ignore`` and does not quote one of them."""
+    label = named(column)
+    for word in ignore:
+        results = results.where(label.isNull() | ~((label == word) | label.contains(f"'{word}'")))
+    return results
+
+
+def _subgroup(column: str | None) -> Column:
+    if column is None:
+        return F.lit(EVERYBODY).alias("Subgroup")
+    return F.coalesce(named(column).cast("string"), F.lit(NO_SUBGROUP)).alias("Subgroup")
+
+
 def drop_missing(results: DataFrame, measure: str) -> DataFrame:
     return results.where(named(measure).isNotNull())
 
 
-def report_series(results: DataFrame, measure: str, groups: Sequence[str]) -> DataFrame:
+def report_series(
+    results: DataFrame, measure: str, groups: Sequence[str], ignore: Sequence[str] = ()
+) -> DataFrame:
     """Points of each panel in order of date; panels without any value are left out.
 
     The panels to keep are one row per condition and group.
     """
-    points = results.where(F.col("Group").isin(*groups)).select(
+    points = without(results, ignore).where(F.col("Group").isin(*groups)).select(
         *PANEL, "Subgroup", F.col("Date").cast("date").alias("Date"),
         *[named(c).cast("double").alias(c) for c in [measure, *LIMITS]],
     )
@@ -70,12 +91,12 @@ def error_bars(results: DataFrame, measure: str, panel: Sequence[str] = PANEL) -
     )
 
 
-def histogram_bins(df: DataFrame, x: str, subgroup: str, bins: int) -> DataFrame:
+def histogram_bins(df: DataFrame, x: str, subgroup: str | None, bins: int) -> DataFrame:
     """Rows per subgroup and equal-width bin of ``x``; the last bin includes the largest value.
 
     The range of ``x`` is read first, one row, so that the bins are literals of the plan.
     """
-    rows = df.select(named(subgroup).alias("Subgroup"), named(x).cast("double").alias("x")).where("x IS NOT NULL")
+    rows = df.select(_subgroup(subgroup), named(x).cast("double").alias("x")).where("x IS NOT NULL")
     low, high = rows.agg(F.min("x"), F.max("x")).first()
     if low is None:
         low = high = 0.0
@@ -90,25 +111,32 @@ def histogram_bins(df: DataFrame, x: str, subgroup: str, bins: int) -> DataFrame
     )
 
 
-def box_summary(df: DataFrame, y: str, x: str, subgroup: str) -> DataFrame:
+def box_summary(df: DataFrame, y: str, x: str, subgroup: str | None) -> DataFrame:
     """Quartiles and range of ``y`` per subgroup and ``x``."""
-    value = named(y).cast("double")
+    rows = df.select(_subgroup(subgroup), named(x), named(y).cast("double").alias("y")).where("y IS NOT NULL")
+    value = F.col("y")
     return exact_quantiles(
-        df.where(value.isNotNull()),
-        [subgroup, x],
-        y,
+        rows,
+        ["Subgroup", x],
+        "y",
         {"q1": 0.25, "median": 0.5, "q3": 0.75},
         {"low": F.min(value), "high": F.max(value), "n": F.count(value)},
     )
 
 
-def level_panels(results: DataFrame, max_levels: int, level: str = "Subgroup", panel: Sequence[str] = ("Group",)) -> DataFrame:
+def level_panels(
+    results: DataFrame,
+    max_levels: int,
+    level: str = "Subgroup",
+    panel: Sequence[str] = ("Group",),
+    ignore: Sequence[str] = (),
+) -> DataFrame:
     """Levels of each group in order, split into panels of at most ``max_levels``.
 
     Levels that all read as whole numbers, or else all as numbers, are ordered and shown as such.
     """
     keys = ", ".join(quoted(k) for k in panel)
-    levels = results.select(*[named(k) for k in panel], named(level).cast("string").alias("level")).distinct()
+    levels = without(results, ignore, level).select(*[named(k) for k in panel], named(level).cast("string").alias("level")).distinct()
     kinds = levels.groupBy(*[named(k) for k in panel]).agg(
         F.expr("bool_and(try_cast(level AS bigint) IS NOT NULL)").alias("whole"),
         F.expr("bool_and(try_cast(level AS double) IS NOT NULL)").alias("number"),

@@ -60,9 +60,18 @@ def test_histogram(spark):
     assert series.histogram_bins(flat.where("x > 5"), "x", "g", 5).count() == 0
 
 
+def test_ignored_and_missing_subgroups(spark, points):
+    assert series.report_series(points, "Prevalence", ["SEX"], ignore=["F"]).count() == 0
+    quoted = spark.createDataFrame([("a", "x, 'F'"), ("a", "F G"), ("a", None)], "`Group` string, Subgroup string")
+    assert [r[0] for r in series.without(quoted, ["F"]).select("Subgroup").collect()] == ["F G", None]
+    df = spark.createDataFrame([("a", 1.0), (None, 2.0)], "g string, x double")
+    assert {r["Subgroup"] for r in series.histogram_bins(df, "x", "g", 2).collect()} == {"a", "Null"}
+    assert {r["Subgroup"] for r in series.histogram_bins(df, "x", None, 2).collect()} == {"Overall"}
+
+
 def test_boxes(spark):
     df = spark.createDataFrame([("a", 1, float(v)) for v in (1, 2, 3, 4)] + [("b", 1, 7.0), ("b", 2, None)], "g string, x int, y double")
-    rows = {(r["g"], r["x"]): tuple(r)[2:] for r in series.box_summary(df, "y", "x", "g").collect()}
+    rows = {(r["Subgroup"], r["x"]): tuple(r)[2:] for r in series.box_summary(df, "y", "x", "g").collect()}
     assert rows == {("a", 1): (1.0, 4.0, 4, 1.75, 2.5, 3.25), ("b", 1): (7.0, 7.0, 1, 7.0, 7.0, 7.0)}
 
 
