@@ -29,16 +29,21 @@ def _prepared(df: DataFrame, columns: Sequence[str], group: str | None, words: S
     return sentinels_to_null(df.select(*[named(c) for c in columns], label.alias("group_label")), columns, words)
 
 
+def _stacked(
+    df: DataFrame, columns: Sequence[str], group: str | None, words: Sequence[str], kind: str, value: str
+) -> DataFrame:
+    """One row per row of ``df`` and variable: an expansion that stays inside generated code."""
+    typed = _prepared(df, columns, group, words).select("group_label", *[named(c).cast(kind).alias(c) for c in columns])
+    long = typed.unpivot("group_label", [named(c) for c in columns], "variable", value)
+    return long.withColumnRenamed("group_label", "group")
+
+
 def level_counts(
     df: DataFrame, columns: Sequence[str], group: str | None = None, words: Sequence[str] = MISSING_WORDS
 ) -> DataFrame:
     """Rows per variable, group and level in one pass; missing values are the null level."""
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("variable"), named(c).cast("string").alias("level")) for c in columns]
-    )
     return (
-        _prepared(df, columns, group, words)
-        .select(F.col("group_label").alias("group"), F.inline(pairs))
+        _stacked(df, columns, group, words, "string", "level")
         .groupBy("variable", "group", "level")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -112,10 +117,7 @@ def chi_square(counts: DataFrame, groups: Sequence[str]) -> DataFrame:
 
 
 def _numbers(df: DataFrame, columns: Sequence[str], group: str | None, words: Sequence[str]) -> DataFrame:
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("variable"), named(c).cast("double").alias("value")) for c in columns]
-    )
-    return _prepared(df, columns, group, words).select(F.col("group_label").alias("group"), F.inline(pairs))
+    return _stacked(df, columns, group, words, "double", "value")
 
 
 def numeric_summary(
