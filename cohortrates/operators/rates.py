@@ -40,8 +40,12 @@ OVERALL = "Overall"
 #: Kinds of change at a period: counted there, from there on, up to and including it.
 COUNT, ON, OFF = "count", "on", "off"
 
-#: Label of the row that stands for a person, beside those of the person's events.
-PERSON = "person"
+#: Conditions are numbered ``batch_slot`` while persons are read; the first number is the person.
+BATCH = 16
+PERSON = "0_0"
+
+#: Up to this many dates are listed in one expansion, more of them batch by batch.
+FLAT = 32
 
 #: What a change does to the running totals of a stratum, once its kind has been told apart.
 CHANGES = ("persons", "enter", "leave", "idle_days", "case_on", "case_off")
@@ -173,6 +177,31 @@ class _Spell:
         return [(self.tag, kind, *(part.replace("@", self.tag) for part in parts)) for kind, *parts in changes]
 
 
+def _dates_listed(persons: DataFrame, codes: list[str]) -> DataFrame:
+    """One row per date that is present, the other columns beside it.
+
+    An expansion over very many columns would compile to a method too large for the JVM to
+    optimise, so many dates are listed in two steps; a batch without any date ends after the first.
+    """
+    kept = [c for c in persons.columns if c not in codes]
+    if len(codes) <= FLAT:
+        rows = persons.unpivot(kept, [F.col(f"`{c}`") for c in codes], "Condition", "event_date")
+        return rows.where("event_date IS NOT NULL")
+    slots = [f"_{i}" for i in range(BATCH)]
+    batches = [codes[i : i + BATCH] for i in range(0, len(codes), BATCH)]
+    filled = [[f"`{c}`" for c in batch] + ["no_date"] * (BATCH - len(batch)) for batch in batches]
+    values = ", ".join(f"({', '.join(columns)}) AS `{i}`" for i, columns in enumerate(filled))
+    by_batch = persons.sparkSession.sql(
+        f"SELECT * FROM {{wide}} UNPIVOT INCLUDE NULLS (({', '.join(slots)}) FOR batch IN ({values}))",
+        wide=persons.selectExpr("*", "date(null) AS no_date"),
+    ).where(f"coalesce({', '.join(slots)}) IS NOT NULL")
+    return (
+        by_batch.unpivot([*kept, "batch"], [F.col(s) for s in slots], "slot", "event_date")
+        .where("event_date IS NOT NULL")
+        .selectExpr(*kept, "concat(batch, slot) AS Condition", "event_date")
+    )
+
+
 def rate_cells(
     cohort: DataFrame,
     conditions: Sequence[str],
@@ -194,18 +223,15 @@ def rate_cells(
         raise ValueError(f"strata must not be called {sorted(RESERVED.intersection(names))}")
     keys = [f"stratum_{i}" for i in range(len(names))]
     spells = [_Spell(study, f"s{i}_") for i, study in enumerate(studies)]
+    codes = {f"{i // BATCH}_{i % BATCH}": c for i, c in enumerate([PERSON, *conditions])}
     # names of this plan only, so that later expressions cannot meet a column of the cohort
-    events = {f"event_{i}": c for i, c in enumerate(conditions)}
     persons = cohort.selectExpr(
         *[f"coalesce(string({quoted(n)}), '{NO_STRATUM}') AS {k}" for n, k in zip(names, keys, strict=True)],
         f"date({quoted(index_date)}) AS index_date",
         f"date({quoted(end_date)}) AS end_date",
-        f"date'1970-01-01' AS {PERSON}",
-        *[f"date({quoted(c)}) AS {e}" for e, c in events.items()],
-    ).selectExpr(*keys, PERSON, *events, *[c for s in spells for c in s.person_columns()])
-
-    kept = [c for c in persons.columns if c != PERSON and c not in events]
-    rows = persons.unpivot(kept, [PERSON, *events], "Condition", "event_date").where("event_date IS NOT NULL")
+        *[("date'1970-01-01'" if code == PERSON else f"date({quoted(c)})") + f" AS `{code}`" for code, c in codes.items()],
+    ).selectExpr(*keys, *[f"`{code}`" for code in codes], *[c for s in spells for c in s.person_columns()])
+    rows = _dates_listed(persons, list(codes))
     changes = [c for s in spells for c in s.changes()]
     wide = rows.selectExpr("*", *[c for s in spells for c in s.event_columns()]).selectExpr(
         *keys,
@@ -223,7 +249,7 @@ def rate_cells(
     sums = long.groupBy("Condition", *keys, "change", "period").agg(
         F.sum("amount").alias("amount"), F.sum("days").alias("days")
     )
-    condition = " ".join(f"WHEN '{e}' THEN {text(c)}" for e, c in events.items())
+    condition = " ".join(f"WHEN '{code}' THEN {text(c)}" for code, c in codes.items() if code != PERSON)
     measure = " ".join(f"WHEN startswith(change, '{s.tag}') THEN '{s.study.measure}'" for s in spells)
     return sums.selectExpr(
         f"CASE {measure} END AS Measure",

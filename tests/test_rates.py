@@ -108,6 +108,22 @@ def test_random_people(spark, measure, grid):
     check(spark, people, ["sex", "band", ["sex", "band"], ["band", "sex"]], Study(measure, grid))
 
 
+@pytest.mark.parametrize("measure", [INCIDENCE, PREVALENCE])
+def test_many_conditions_are_listed_in_batches(spark, measure):
+    people = some_people(150, seed=11)
+    wide = [dict(p, **{f"c{n}": p["a"] if n % 3 else p["b"] for n in range(40)}) for p in people]
+    schema = SCHEMA + "".join(f", c{n} date" for n in range(40))
+    frame = spark.createDataFrame([tuple(p.values()) for p in wide], schema)
+    study, conditions = Study(measure, YEARLY), ["a", *[f"c{n}" for n in range(40)], "b"]
+    rows = analyse(frame, conditions, ["sex"], study).collect()
+    expected = brute(wide, conditions, ["sex"], study)
+    assert len(rows) == len(expected)
+    for r in rows:
+        numerator, denominator = expected[r["Condition"], r["Group"], r["Subgroup"], r["Date"]]
+        assert r["Numerator"] == numerator
+        assert r["Denominator"] == pytest.approx(denominator, abs=1e-12)
+
+
 def test_single_point_and_no_strata(spark):
     study = Study(PREVALENCE, StudyGrid.between(date(2002, 7, 1), date(2002, 8, 1)))
     assert len(check(spark, some_people(50, seed=2), [], study)) == 2
