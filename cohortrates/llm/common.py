@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,3 +53,8 @@ def text_of(column: str | Column) -> Column:
 def text_key(text: Column) -> Column:
     """A 128-bit key of a text, as a struct of two numbers."""
     return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit("second"), text).alias("b"))
+
+
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)``, with the value computed once although lambdas use it."""
+    return F.element_at(F.transform(F.array(value), then), 1)

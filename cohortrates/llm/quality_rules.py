@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, settled, text_of
+from .common import SPACE, let, settled, text_of
 
 SYMBOLS = "#*$%&|<>"
 
@@ -56,11 +56,6 @@ RULES = (
 )
 
 
-def _let(value: Column, then) -> Column:
-    """``then(value)``, with the value computed once although it is used in lambdas."""
-    return F.element_at(F.transform(F.array(value), then), 1)
-
-
 def repeated_words(words: Column) -> Column:
     """Words that lie in a window of three words found at least twice in the array.
 
@@ -80,7 +75,7 @@ def repeated_words(words: Column) -> Column:
                 lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)).bitwiseAND(high).bitwiseOR(i.cast("long")),
             )
 
-        return F.sort_array(_let(high, packed))
+        return F.sort_array(let(high, packed))
 
     def candidates(ordered: Column) -> Column:
         # equal hashes differ by their positions only; a few others pass too
@@ -91,7 +86,7 @@ def repeated_words(words: Column) -> Column:
             rest = F.filter(ordered, lambda x, i: x - F.get(ordered, i - 1) <= size)
             return F.when(F.size(found) == 0, found).otherwise(F.array_union(found, rest))
 
-        return _let(F.filter(ordered, follows), either)
+        return let(F.filter(ordered, follows), either)
 
     def named(chosen: Column, mask: Column) -> Column:
         def window(x: Column) -> Column:
@@ -113,12 +108,12 @@ def repeated_words(words: Column) -> Column:
 
     def counted(mask: Column) -> Column:
         def exact(chosen: Column) -> Column:
-            return F.when(F.size(chosen) == 0, F.lit(0).cast("long")).otherwise(_let(_let(named(chosen, mask), equal), covered))
+            return F.when(F.size(chosen) == 0, F.lit(0).cast("long")).otherwise(let(let(named(chosen, mask), equal), covered))
 
-        return _let(_let(windows(mask), candidates), exact)
+        return let(let(windows(mask), candidates), exact)
 
     mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.length(F.bin(size.cast("long")))) - 1
-    return F.when(size >= 4, _let(mask, counted)).otherwise(F.lit(0).cast("long"))
+    return F.when(size >= 4, let(mask, counted)).otherwise(F.lit(0).cast("long"))
 
 
 def _count(text: Column, characters: str) -> Column:
@@ -140,7 +135,7 @@ def text_statistics(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: st
         F.size("_w").cast("long").alias("n_words"),
         F.char_length(F.array_join("_w", "")).cast("long").alias("word_chars"),
         _count(F.col("_r"), SYMBOLS).alias("n_symbols"),
-        _let(worded, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+        let(worded, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("_w")).alias("n_repeat_words"),
         F.size("_l").cast("long").alias("n_lines"),
         F.octet_length(F.regexp_replace("_r", "[^A-Z]+", "")).cast("long").alias("n_capitals"),
