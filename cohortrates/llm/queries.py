@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, quality_rules, simhash
+from . import line_dedup, packing, quality_rules, simhash, token_files
 from .common import table
 
 
@@ -25,8 +25,18 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": (op1_quality_rules, quality_rules.oracle_sql()),
     "op2_line_dedup": (op2_line_dedup, line_dedup.ORACLE_SQL),
     "op5_simhash_dedup": (op5_simhash_dedup, None),
+    "op7_token_files": (op7_token_files, None),
+    "op8_packing": (op8_packing, None),
 }
