@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, quality_rules, simhash, token_files
+from . import line_dedup, packing, quality_classifier, quality_rules, simhash, token_files
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_digest(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -36,6 +40,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": (op1_quality_rules, quality_rules.oracle_sql()),
     "op2_line_dedup": (op2_line_dedup, line_dedup.ORACLE_SQL),
+    "op3_quality_classifier": (op3_quality_classifier, None),
     "op5_simhash_dedup": (op5_simhash_dedup, None),
     "op7_token_files": (op7_token_files, None),
     "op8_packing": (op8_packing, None),
