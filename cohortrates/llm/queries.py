@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, quality_classifier, quality_rules, simhash, token_files
+from . import decontaminate, line_dedup, packing, quality_classifier, quality_rules, simhash, token_files
 from .common import table
 
 
@@ -37,6 +37,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "score", "similarity", "first_word", "n_words")
+
+
 QUERIES = {
     "op1_quality_rules": (op1_quality_rules, quality_rules.oracle_sql()),
     "op2_line_dedup": (op2_line_dedup, line_dedup.ORACLE_SQL),
@@ -44,4 +49,5 @@ QUERIES = {
     "op5_simhash_dedup": (op5_simhash_dedup, None),
     "op7_token_files": (op7_token_files, None),
     "op8_packing": (op8_packing, None),
+    "op9_decontamination": (op9_decontamination, None),
 }
