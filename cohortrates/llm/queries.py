@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, packing, quality_classifier, quality_rules, simhash, token_files
+from . import decontaminate, line_dedup, packing, quality_classifier, quality_rules, simhash, token_files, warc
 from .common import table
 
 
@@ -42,6 +42,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "score", "similarity", "first_word", "n_words")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_quality_rules": (op1_quality_rules, quality_rules.oracle_sql()),
     "op2_line_dedup": (op2_line_dedup, line_dedup.ORACLE_SQL),
@@ -50,4 +54,5 @@ QUERIES = {
     "op7_token_files": (op7_token_files, None),
     "op8_packing": (op8_packing, None),
     "op9_decontamination": (op9_decontamination, None),
+    "op10_warc": (op10_warc, warc.ORACLE_SQL),
 }
