@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, packing, quality_classifier, quality_rules, simhash, token_files, warc
+from . import decontaminate, html_extract, line_dedup, packing, quality_classifier, quality_rules, simhash, token_files, warc
 from .common import table
 
 
@@ -46,11 +46,16 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES = {
     "op1_quality_rules": (op1_quality_rules, quality_rules.oracle_sql()),
     "op2_line_dedup": (op2_line_dedup, line_dedup.ORACLE_SQL),
     "op3_quality_classifier": (op3_quality_classifier, None),
     "op5_simhash_dedup": (op5_simhash_dedup, None),
+    "op6_html_extraction": (op6_html_extraction, None),
     "op7_token_files": (op7_token_files, None),
     "op8_packing": (op8_packing, None),
     "op9_decontamination": (op9_decontamination, None),
