@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, line_dedup, packing, quality_classifier, quality_rules, simhash, token_files, warc
+from . import decontaminate, html_extract, license_scan, line_dedup, packing, quality_classifier, quality_rules, simhash, token_files, warc
 from .common import table
 
 
@@ -25,6 +25,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(license_scan.documents_as_files(table(spark, sf_dir, "documents")))
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES = {
     "op1_quality_rules": (op1_quality_rules, quality_rules.oracle_sql()),
     "op2_line_dedup": (op2_line_dedup, line_dedup.ORACLE_SQL),
     "op3_quality_classifier": (op3_quality_classifier, None),
+    "op4_license_scan": (op4_license_scan, None),
     "op5_simhash_dedup": (op5_simhash_dedup, None),
     "op6_html_extraction": (op6_html_extraction, None),
     "op7_token_files": (op7_token_files, None),
