@@ -44,6 +44,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def sheltered(df: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with all columns but the used ones renamed by position, and what gives them their names back.
+
+    Other columns then cannot clash with names that an operator makes, nor differ from its inputs by case.
+    """
+    inner = [name if name in used else f"_c{i}" for i, name in enumerate(df.columns)]
+
+    def restored(made: DataFrame) -> DataFrame:
+        return made.select(*[F.col(a).alias(b) for a, b in zip(inner, df.columns, strict=True)])
+
+    return df.toDF(*inner), restored
+
+
 def text_of(column: str | Column) -> Column:
     """The column, null as an empty text."""
     column = F.col(column) if isinstance(column, str) else column

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import sheltered, text_of
 
 #: Elements that end a block where they begin and where they end.
 BLOCK_TAGS = frozenset(
@@ -225,6 +225,7 @@ def extract(pages: DataFrame, labelled: list[tuple[str, str]] | None = None) ->
                 texts = pa.array([main_text(page, tree) for page in part.column(2).to_pylist()], pa.string())
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), texts], ["page_id", "url", "text"])
 
+    pages, _ = sheltered(pages, "page_id", "url", "html")
     kinds = [pages.schema[c].dataType.simpleString() for c in ("page_id", "url")]
     named = pages.select("page_id", "url", text_of("html").alias("html"))
     made = named.mapInArrow(run, f"page_id {kinds[0]}, url {kinds[1]}, text string")

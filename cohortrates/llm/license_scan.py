@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import settled, text_of
+from .common import settled, sheltered, text_of
 
 #: Customary licence notices, as (licence, text).
 TEMPLATES = (
@@ -169,6 +169,7 @@ def scan(files: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, sim
     Of several statements or licence files the closest to its template counts, then the licence first in
     order. A null path is a file in the root, a null text an empty one; equal rows are files of their own.
     """
+    files, _ = sheltered(files, "doc_id", "path", "text")
     found = settled(file_units(files, templates), "license-files")
     units = found.select("file", F.explode("units").alias("unit"))
     known = matched_units(units, templates).where(F.col("similarity") >= similarity)

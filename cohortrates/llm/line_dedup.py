@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from .common import SPACE, SPACE_CHARS, let, settled, shared_folder, text_key, text_of
+from .common import SPACE, SPACE_CHARS, let, settled, shared_folder, sheltered, text_key, text_of
 
 #: A key found in so many documents is boilerplate.
 MIN_DOCUMENTS = 10
@@ -190,19 +190,19 @@ def dedup_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_chars:
 
     Keys of at least ``min_chars`` code points found in at least ``min_documents`` rows lose their lines
     everywhere. A null text is one empty line, which has no key, so the text becomes empty. Other
-    columns pass unchanged; names that begin with an underscore may not clash with those used here.
+    columns pass unchanged, whatever their names.
     """
+    docs, restored = sheltered(docs, "doc_id", "text", "n_chars")
     lines, shared = shared_lines(docs, min_documents, min_chars)
-    cleaned = drop_lines(docs, lines, shared)
-    columns = {"text": kept_text()}
+    cleaned = drop_lines(docs, lines, shared).withColumn("text", kept_text())
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.char_length(kept_text()).cast("long")
-    return cleaned.withColumns(columns).select(*[F.col(f"`{c}`") for c in docs.columns])
+        cleaned = cleaned.withColumn("n_chars", F.char_length("text").cast("long"))
+    return restored(cleaned)
 
 
 def dedup_digest(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_chars: int = MIN_CHARS) -> DataFrame:
     """Per row: doc_id, lines before dropping, lines dropped, and the SHA-256 of what stays."""
-    docs = docs.select("doc_id", "text")
+    docs = sheltered(docs, "doc_id", "text")[0].select("doc_id", "text")
     lines, shared = shared_lines(docs, min_documents, min_chars)
     return drop_lines(docs, lines, shared).select(
         "doc_id",

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import settled
+from .common import settled, sheltered
 from .quality_rules import text_statistics
 
 #: Statistics after transformation: logarithms of sizes, roots of shares.
@@ -85,6 +85,7 @@ def fit(rows: DataFrame, labels: DataFrame, pooled: float = POOLED, sphere: floa
     covariance and mean, so that only the shares decide.
     """
     names = [f"f_{n}" for n in FEATURES]
+    labels, _ = sheltered(labels, "doc_id", "quality")
     known = labels.where("quality IN (0, 1)").select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
     train = rows.where(~held_out(F.col("doc_id"))).join(known, "doc_id")
     pairs = [(i, j) for i in range(len(names)) for j in range(i + 1)]
@@ -119,6 +120,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
     Texts are read once; labels meet the statistics, not the texts. Equal rows get equal scores; an
     empty table gives none.
     """
+    docs, _ = sheltered(docs, "doc_id", "text")
     rows = settled(features(docs, ["doc_id"]), "document-features")
     score = fit(rows, labels).score()
     scored = rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
@@ -127,8 +129,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score ``threshold`` or more, with all their columns whatever their names."""
-    names = docs.columns
-    model = fit(settled(features(docs, ["doc_id"]), "document-features"), labels)
-    numbered = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(names)])
-    scored = features(numbered, [f"_c{i}" for i in range(len(names))])
-    return scored.where(model.score() >= threshold).select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)])
+    docs, restored = sheltered(docs, "doc_id", "text")
+    # written with the texts: the statistics take longer than that, and are needed twice
+    rows = settled(features(docs, docs.columns), "documents-with-features")
+    return restored(rows.where(fit(rows, labels).score() >= threshold))

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, let, settled, text_of
+from .common import SPACE, let, settled, sheltered, text_of
 
 SYMBOLS = "#*$%&|<>"
 
@@ -212,6 +212,7 @@ def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, threshold: float = 0.5
     Null and empty texts have no words and fail the base. Other columns of ``docs`` are not read, so
     their names cannot clash. Equal rows get equal verdicts, each its own row; an empty table gives none.
     """
+    docs, _ = sheltered(docs, "doc_id", "text")
     stats = settled(with_votes(text_statistics(docs), rules), "text-statistics")
     failed = base_failed()
     estimate = fit(stats.where(~failed), rules, rounds)

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settled, text_key, text_of
+from .common import settled, sheltered, text_key, text_of
 
 SHINGLE = 3
 BITS = 2
@@ -212,6 +212,7 @@ def grouped(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, sample: i
     doc_id that can be reached, rows without one not counting. ``keeper`` is the row that stands for the
     class: the smallest doc_id, then text hash.
     """
+    docs, _ = sheltered(docs, "doc_id", "text")
     rows = settled(fingerprints(docs, shingle), "fingerprints")
     # nulls come last: the flag is compared first
     named = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("t"))
@@ -235,8 +236,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """The rows of ``docs`` of which one stays for each class, with all their columns."""
+    docs, restored = sheltered(docs, "doc_id", "text")
     found = grouped(docs, shingle, bits)
     stays = found.select(F.col("keeper.doc_id").alias("_id"), F.col("keeper.t").alias("_t")).distinct()
     keyed = docs.withColumn("_k", text_key(text_of(docs["text"]))["a"])
     same = keyed["doc_id"].eqNullSafe(stays["_id"]) & (keyed["_k"] == stays["_t"])
-    return keyed.join(stays, same, "left_semi").dropDuplicates(["doc_id", "_k"]).drop("_k")
+    return restored(keyed.join(stays, same, "left_semi").dropDuplicates(["doc_id", "_k"]))

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settled, shared_folder
+from .common import settled, shared_folder, sheltered
 from .files import create, open_stream
 
 CHUNK = 1 << 20
@@ -45,6 +45,7 @@ def chunk_table(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     ``record`` numbers the rows. A null or empty payload has one chunk of no bytes. The digest is carried
     from chunk to chunk, also where Arrow batches part them.
     """
+    pages, _ = sheltered(pages, "page_id", "url", "html")
     payload = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "utf-8")
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), payload.alias("payload")).withColumn("record", F.monotonically_increasing_id())
     size = F.octet_length("payload").cast("long")
