@@ -17,13 +17,30 @@ ONE_GROUP = "group"
 
 
 def two_groups(df: DataFrame, column: str) -> list[str]:
-    """The two values of a group column, in order. Anything but two values is an error."""
+    """The two values of a group column, in order; reads that column once. Anything but two values is an error."""
     found = [r[0] for r in df.select(named(column).cast("string")).distinct().limit(3).collect()]
     if len(found) != 2 or None in found:
         raise ValueError(f"{column} must hold exactly two groups and no nulls")
     return sorted(found)
 
 
+#: Fails the query if a variable's rows do not belong to exactly two groups.
+_TWO = (
+    "CASE WHEN count_if(group IS NULL) OVER (PARTITION BY variable) > 0 OR min(group) OVER (PARTITION BY variable) = max(group) OVER (PARTITION BY variable) "
+    "OR count_if(group NOT IN (first_group, second_group)) OVER (PARTITION BY variable) > 0 "
+    "THEN boolean(raise_error('the group column must hold exactly two groups and no nulls')) ELSE true END"
+)
+
+
+def _with_groups(df: DataFrame) -> DataFrame:
+    """``df`` with the names of the two groups that each variable has rows of, found in the plan itself."""
+    return df.selectExpr(
+        "*",
+        "min(group) OVER (PARTITION BY variable) AS first_group",
+        "max(group) OVER (PARTITION BY variable) AS second_group",
+    ).selectExpr("*", f"{_TWO} AS checked").where("checked")
+
+
 def _prepared(df: DataFrame, columns: Sequence[str], group: str | None, words: Sequence[str]) -> DataFrame:
     label = F.lit(ONE_GROUP) if group is None else named(group).cast("string")
     return sentinels_to_null(df.select(*[named(c) for c in columns], label.alias("group_label")), columns, words)
@@ -49,11 +66,45 @@ def level_counts(
     )
 
 
-def _totals(counts: DataFrame) -> DataFrame:
-    return counts.groupBy("variable", "group").agg(
-        F.expr("sum(n)").alias("group_total"),
-        F.expr("coalesce(sum(n) FILTER (WHERE level IS NULL), 0)").alias("n_missing"),
+def _expected(observed: str, total: str) -> str:
+    """A cell's part of the chi-square statistic, with Yates' correction for two levels."""
+    expected = f"((left + right) * double({total}) / nullif(all_left + all_right, 0))"
+    gap = f"abs({observed} - {expected})"
+    corrected = f"({gap} - CASE WHEN levels = 2 THEN least(0.5D, {gap}) ELSE 0D END)"
+    return f"{corrected} * {corrected} / nullif({expected}, 0D)"
+
+
+def contingency(counts: DataFrame) -> DataFrame:
+    """Rows of each level in the first and in the second group, missing values as the null level.
+
+    Beside them stand each variable's sums over its levels, its missing rows, and its test. All come
+    from the counts, which are a few rows per variable, by windows.
+    """
+    sides = (
+        _with_groups(counts)
+        .groupBy("variable", "level", "first_group", "second_group")
+        .agg(
+            F.expr("coalesce(sum(n) FILTER (WHERE group = first_group), 0) AS left"),
+            F.expr("coalesce(sum(n) FILTER (WHERE group = second_group), 0) AS right"),
+        )
+    )
+    over = "OVER (PARTITION BY variable)"
+    sums = sides.selectExpr(
+        "*",
+        *[f"coalesce(sum(CASE WHEN level IS NOT NULL THEN {s} END) {over}, 0) AS all_{s}" for s in ("left", "right")],
+        *[f"coalesce(sum(CASE WHEN level IS NULL THEN {s} END) {over}, 0) AS missing_{s}" for s in ("left", "right")],
+        f"count(level) {over} AS levels",
     )
+    parts = f"CASE WHEN level IS NOT NULL THEN {_expected('left', 'all_left')} + {_expected('right', 'all_right')} END"
+    tested = sums.selectExpr("*", f"sum({parts}) {over} AS statistic", "int(levels - 1) AS freedom")
+    return tested.withColumn("pvalue", chi_square_p("statistic", "freedom"))
+
+
+def chi_square(counts: DataFrame) -> DataFrame:
+    """Chi-square test of independence per variable, with Yates' correction for two levels."""
+    tests = ("statistic", "freedom", "pvalue")
+    found = contingency(counts).where("level IS NOT NULL")
+    return found.groupBy("variable").agg(*[F.expr(f"any_value({c}) AS {c}") for c in tests])
 
 
 def categorical_summary(
@@ -64,60 +115,45 @@ def categorical_summary(
 ) -> DataFrame:
     """Count and percent of each level, of the rows that have one; missing and all rows beside it.
 
-    With a group column, whose two values are compared, each variable gets its chi-square p-value.
-    Totals have one row per variable and group, so they are broadcast.
+    With a group column, whose two values are compared, each variable gets its chi-square p-value. The
+    persons are read once.
     """
     counts = level_counts(df, columns, group, words)
-    summary = (
-        counts.where("level IS NOT NULL")
-        .join(F.broadcast(_totals(counts)), ["variable", "group"])
-        .selectExpr(
-            "variable", "group", "level", "n",
-            "n * 100D / (group_total - n_missing) AS percent", "n_missing", "group_total",
+    percent = "n * 100D / (group_total - n_missing) AS percent"
+    if group is None:
+        over = "OVER (PARTITION BY variable, group)"
+        totals = counts.selectExpr(
+            "*", f"sum(n) {over} AS group_total", f"coalesce(sum(CASE WHEN level IS NULL THEN n END) {over}, 0) AS n_missing"
         )
+        return totals.where("level IS NOT NULL").selectExpr("variable", "group", "level", "n", percent, "n_missing", "group_total")
+    both = ", ".join(
+        f"named_struct('group', {which}_group, 'n', {side}, 'n_missing', missing_{side}, 'group_total', all_{side} + missing_{side})"
+        for which, side in (("first", "left"), ("second", "right"))
     )
-    if group is None:
-        return summary
-    tests = chi_square(counts, two_groups(df, group)).select("variable", "pvalue")
-    return summary.join(F.broadcast(tests), "variable", "left")
+    rows = contingency(counts).where("level IS NOT NULL").selectExpr("variable", "level", f"inline(array({both}))", "pvalue")
+    return rows.where("n > 0").selectExpr("variable", "group", "level", "n", percent, "n_missing", "group_total", "pvalue")
 
 
-def contingency(counts: DataFrame, groups: Sequence[str]) -> DataFrame:
-    """Rows of each level in the first and in the second group."""
-    first, second = (f"coalesce(sum(n) FILTER (WHERE group = {text(g)}), 0)" for g in groups)
-    return (
-        counts.where("level IS NOT NULL")
-        .groupBy("variable", "level")
-        .agg(F.expr(first).alias("left"), F.expr(second).alias("right"))
-    )
+def _numbers(df: DataFrame, columns: Sequence[str], group: str | None, words: Sequence[str]) -> DataFrame:
+    return _stacked(df, columns, group, words, "double", "value")
 
 
-def chi_square(counts: DataFrame, groups: Sequence[str]) -> DataFrame:
-    """Chi-square test of independence per variable, with Yates' correction for two levels."""
-    table = contingency(counts, groups)
-    sums = table.groupBy("variable").agg(
-        F.sum("left").alias("all_left"), F.sum("right").alias("all_right"), F.count(F.lit(1)).alias("levels")
-    )
+def _tested(moments: DataFrame) -> DataFrame:
+    """Rows per variable and group with ``n_values``, ``mean`` and ``std``, and the pooled t-test beside them."""
 
-    def part(observed: str, total: str) -> str:
-        expected = f"((left + right) * double({total}) / nullif(all_left + all_right, 0))"
-        gap = f"abs({observed} - {expected})"
-        corrected = f"({gap} - CASE WHEN levels = 2 THEN least(0.5D, {gap}) ELSE 0D END)"
-        return f"{corrected} * {corrected} / nullif({expected}, 0D)"
+    def of(side: str, column: str) -> str:
+        return f"max(CASE WHEN group = {side}_group THEN {column} END) OVER (PARTITION BY variable)"
 
-    return (
-        table.join(F.broadcast(sums), "variable")
-        .groupBy("variable")
-        .agg(
-            F.expr(f"sum({part('left', 'all_left')} + {part('right', 'all_right')})").alias("statistic"),
-            F.expr("int(max(levels) - 1)").alias("freedom"),
-        )
-        .withColumn("pvalue", chi_square_p("statistic", "freedom"))
+    sides = _with_groups(moments).selectExpr(
+        "*",
+        *[f"{of(side, c)} AS {name}_{tag}" for side, tag in (("first", "a"), ("second", "b")) for name, c in (("n", "n_values"), ("mean", "mean"), ("var", "std * std"))],
     )
-
-
-def _numbers(df: DataFrame, columns: Sequence[str], group: str | None, words: Sequence[str]) -> DataFrame:
-    return _stacked(df, columns, group, words, "double", "value")
+    pooled = "((n_a - 1) * var_a + (n_b - 1) * var_b) / nullif(n_a + n_b - 2, 0)"
+    return sides.selectExpr(
+        "*",
+        f"(mean_a - mean_b) / nullif(sqrt({pooled} * (1D / nullif(n_a, 0) + 1D / nullif(n_b, 0))), 0D) AS statistic",
+        "n_a + n_b - 2 AS freedom",
+    ).withColumn("pvalue", student_p("statistic", "freedom"))
 
 
 def numeric_summary(
@@ -126,7 +162,11 @@ def numeric_summary(
     group: str | None = None,
     words: Sequence[str] = MISSING_WORDS,
 ) -> DataFrame:
-    """Mean, sample deviation, exact median, range and missing rows per variable and group."""
+    """Mean, sample deviation, exact median, range and missing rows per variable and group.
+
+    With a group column each variable gets the p-value of its t-test, from the same sums. The persons
+    are read twice, for the exact median.
+    """
     numbers = _numbers(df, columns, group, words)
     value = F.col("value")
     summary = exact_quantiles(
@@ -139,34 +179,24 @@ def numeric_summary(
             "std": F.stddev_samp(value),
             "min": F.min(value),
             "max": F.max(value),
+            "n_values": F.count(value),
             "n_missing": F.count_if(value.isNull()),
             "group_total": F.count(F.lit(1)),
         },
-    ).select("variable", "group", "mean", "std", "median", "min", "max", "n_missing", "group_total")
-    if group is None:
-        return summary
-    tests = t_test(df, columns, group, words).select("variable", "pvalue")
-    return summary.join(F.broadcast(tests), "variable", "left")
+    )
+    shown = ["variable", "group", "mean", "std", "median", "min", "max", "n_missing", "group_total"]
+    return summary.select(*shown) if group is None else _tested(summary).select(*shown, "pvalue")
 
 
 def t_test(
     df: DataFrame, columns: Sequence[str], group: str, words: Sequence[str] = MISSING_WORDS
 ) -> DataFrame:
     """Two-sample t-test with pooled variance per variable; missing values are left out."""
-    first, second = (f"(WHERE group = {text(g)})" for g in two_groups(df, group))
-    moments = _numbers(df, columns, group, words).groupBy("variable").agg(
-        *[
-            F.expr(f"{function}(value) FILTER {rows}").alias(f"{name}_{side}")
-            for side, rows in (("a", first), ("b", second))
-            for name, function in (("n", "count"), ("mean", "avg"), ("var", "var_samp"))
-        ]
+    moments = _numbers(df, columns, group, words).groupBy("variable", "group").agg(
+        F.count("value").alias("n_values"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std")
     )
-    pooled = "((n_a - 1) * var_a + (n_b - 1) * var_b) / nullif(n_a + n_b - 2, 0)"
-    return moments.selectExpr(
-        "variable",
-        f"(mean_a - mean_b) / nullif(sqrt({pooled} * (1D / nullif(n_a, 0) + 1D / nullif(n_b, 0))), 0D) AS statistic",
-        "n_a + n_b - 2 AS freedom",
-    ).withColumn("pvalue", student_p("statistic", "freedom"))
+    tests = ("statistic", "freedom", "pvalue")
+    return _tested(moments).groupBy("variable").agg(*[F.expr(f"any_value({c}) AS {c}") for c in tests])
 
 
 def _share(n: Column, of: Column, digits: int) -> Column:
@@ -182,13 +212,18 @@ def formatted_table(
     group: str | None = None,
     words: Sequence[str] = MISSING_WORDS,
     digits: int = 2,
+    groups: Sequence[str] | None = None,
 ) -> DataFrame:
     """Lines of a printed table 1, in order of ``line`` and ``Subgroup``.
 
     The name, missing rows and p-value of a variable stand on its first line only. A level that a
-    group lacks reads ``0 (0.0%)``.
+    group lacks reads ``0 (0.0%)``. Columns are named after the two groups: give ``groups``, in order, or
+    they are looked up by reading the group column once more.
     """
-    groups = [ONE_GROUP] if group is None else two_groups(df, group)
+    if group is None:
+        groups = [ONE_GROUP]
+    elif groups is None:
+        groups = two_groups(df, group)
     parts = []
     if categorical:
         parts.append(_categorical_lines(df, categorical, group, groups, words, digits))
@@ -218,31 +253,25 @@ def _place(columns: Sequence[str], start: int = 0) -> Column:
 
 def _categorical_lines(df, columns, group, groups, words, digits) -> DataFrame:
     counts = level_counts(df, columns, group, words)
-    sides = [f"side_{i}" for i in range(len(groups))]
-    wide = counts.where("level IS NOT NULL").groupBy("variable", "level").agg(
-        *[F.expr(f"coalesce(sum(n) FILTER (WHERE group = {text(g)}), 0)").alias(s) for g, s in zip(groups, sides, strict=True)]
-    )
-    totals = counts.groupBy("variable").agg(
-        F.min("level").alias("first_level"),
-        *[F.expr(f"coalesce(sum(n) FILTER (WHERE group = {text(g)}), 0)").alias(f"all_{s}") for g, s in zip(groups, sides, strict=True)],
-        *[
-            F.expr(f"coalesce(sum(n) FILTER (WHERE group = {text(g)} AND level IS NULL), 0)").alias(f"missing_{s}")
-            for g, s in zip(groups, sides, strict=True)
-        ],
-    )
-    lines = wide.join(F.broadcast(totals), "variable")
-    pvalue = None
-    if group is not None:
-        lines = lines.join(F.broadcast(chi_square(counts, groups).select("variable", "pvalue")), "variable", "left")
-        pvalue = rounded_text(F.col("pvalue"), digits)
+    if group is None:
+        over = "OVER (PARTITION BY variable)"
+        lines = counts.selectExpr(
+            "variable", "level", "n AS left",
+            f"coalesce(sum(CASE WHEN level IS NOT NULL THEN n END) {over}, 0) AS all_left",
+            f"coalesce(sum(CASE WHEN level IS NULL THEN n END) {over}, 0) AS missing_left",
+        )
+    else:
+        lines = contingency(counts)
+    sides = ("left", "right")[: len(groups)]
+    lines = lines.selectExpr("*", "min(level) OVER (PARTITION BY variable) AS first_level").where("level IS NOT NULL")
     return lines.select(
         _place(columns).alias("line"),
         *_line_columns(
             groups,
             F.col("level") == F.col("first_level"),
-            [_share(F.col(f"missing_{s}"), F.col(f"all_{s}"), digits) for s in sides],
-            [_share(F.col(s), F.col(f"all_{s}") - F.col(f"missing_{s}"), digits) for s in sides],
-            pvalue,
+            [_share(F.col(f"missing_{s}"), F.col(f"all_{s}") + F.col(f"missing_{s}"), digits) for s in sides],
+            [_share(F.col(s), F.col(f"all_{s}"), digits) for s in sides],
+            None if group is None else rounded_text(F.col("pvalue"), digits),
         ),
     )
 

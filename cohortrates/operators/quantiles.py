@@ -1,8 +1,9 @@
 """Exact quantiles without holding a distribution in one task.
 
 A sketch brackets each wanted rank between two values a known number of ranks apart. A second pass
-counts, per value, only the rows inside the brackets; rows below them become one number. What is
-sorted is then a few rank shares of the data, not all of it, and the answer is exact.
+counts, per value, only the rows inside the brackets and finds the next values outside them; rows
+beyond become one number. What is sorted is then a few rank shares of the data, not all of it, and the
+answer is exact, for groups of any size.
 """
 
 from __future__ import annotations
@@ -13,13 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import named, quoted
-from ..session import broadcast_if, is_small, settle
 
-#: The sketch is off by at most one rank in this many; groups no larger are counted whole.
+#: The sketch is off by at most one rank in this many.
 ACCURACY = 50_000
 
-#: Half-width of a bracket, in units of that error: one for the sketch, the rest for whole ranks.
-MARGIN = 4
+#: Half-width of a bracket, in units of that error: far more than merging sketches can add to it.
+MARGIN = 32
 
 
 def exact_quantiles(
@@ -32,66 +32,73 @@ def exact_quantiles(
 ) -> DataFrame:
     """``keys``, the aggregates in ``also``, and one interpolated quantile per name.
 
-    Null and NaN values are left out of the quantiles; groups without any value get null. A rank
-    outside its bracket, which the bound on the sketch rules out, is an error and not a wrong value.
+    Null and NaN values are left out of the quantiles; groups without any value get null, as would a
+    rank outside its bracket and the values next to it, which the bound on the sketch rules out. The
+    aggregates travel with the rows of the second pass, so ``df`` is read twice and nothing is stored.
     """
     if not keys:
         raise ValueError("quantiles need a grouping column")
-    names = list(quantiles)
+    names, also = list(quantiles), dict(also or {})
     margin = MARGIN / accuracy
     edges = [min(max(p + sign * margin, 0.0), 1.0) for p in quantiles.values() for sign in (-1, 1)]
     number = F.expr(f"nullif(double({quoted(value)}), double('NaN'))")
-    marks = settle(
-        df.groupBy(*[named(k) for k in keys]).agg(
-            F.count(number).alias("values_seen"),
-            F.percentile_approx(number, edges, accuracy).alias("edges"),
-            *[column.alias(name) for name, column in (also or {}).items()],
-        )
+    marks = df.groupBy(*[named(k) for k in keys]).agg(
+        F.count(number).alias("values_seen"),
+        F.percentile_approx(number, edges, accuracy).alias("edges"),
+        *[column.alias(f"also_{i}") for i, column in enumerate(also.values())],
     )
-    small = is_small(marks)
-    whole = f"values_seen <= {accuracy}"
     brackets = ", ".join(
-        f"named_struct('which', {i}, 'rank', {p!r}D * (values_seen - 1), "
-        f"'low', CASE WHEN {whole} THEN double('-Infinity') ELSE edges[{2 * i}] END, "
-        f"'high', CASE WHEN {whole} THEN double('Infinity') ELSE edges[{2 * i + 1}] END)"
+        f"named_struct('which', {i}, 'rank', {p!r}D * (values_seen - 1), 'low', edges[{2 * i}], 'high', edges[{2 * i + 1}])"
         for i, p in enumerate(quantiles.values())
     )
-    lookup = marks.where("values_seen > 0").selectExpr(
-        *[f"{quoted(k)} AS key_{i}" for i, k in enumerate(keys)], f"array({brackets}) AS brackets"
+    carried = [f"also_{i}" for i in range(len(also))]
+    lookup = marks.selectExpr(
+        *[f"{quoted(k)} AS key_{i}" for i, k in enumerate(keys)], *carried, f"array({brackets}) AS brackets"
     )
-    same = [f"key_{i} <=> {quoted(k)}" for i, k in enumerate(keys)]
-    condition = F.expr(" AND ".join(same))
-    rows = df.select(*[named(k) for k in keys], number.alias("number")).where("number IS NOT NULL")
-    group = [f"key_{i}" for i in range(len(keys))] + ["which", "rank"]
+    same = F.expr(" AND ".join(f"key_{i} <=> {quoted(k)}" for i, k in enumerate(keys)))
+    rows = df.select(*[named(k) for k in keys], number.alias("number"))
+    found = [f"key_{i}" for i in range(len(keys))]
+    group = [*found, "which"]
     counted = (
-        rows.join(broadcast_if(lookup, small), condition)
-        .selectExpr(*group[:-2], "number", "inline(brackets)")
-        .where("number <= high")
-        .groupBy(*group, F.expr("CASE WHEN number >= low THEN number END").alias("number"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        rows.join(lookup, same)
+        .selectExpr(*found, *carried, "number", "inline(brackets)")
+        .groupBy(*group, F.expr("CASE WHEN number BETWEEN low AND high THEN number END").alias("inside"))
+        .agg(
+            F.expr("count_if(number BETWEEN low AND high) AS n"),
+            F.expr("count_if(number < low) AS below"),
+            F.expr("max(CASE WHEN number < low THEN number END) AS under"),
+            F.expr("min(CASE WHEN number > high THEN number END) AS over"),
+            *[F.expr(f"any_value({c}) AS {c}") for c in ["rank", *carried]],
+        )
     )
-    upto = (
-        f"sum(n) OVER (PARTITION BY {', '.join(group)} ORDER BY number NULLS FIRST "
-        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    part = f"PARTITION BY {', '.join(group)}"
+    placed = counted.selectExpr(
+        "*",
+        f"sum(below) OVER ({part}) AS first",
+        f"sum(below) OVER ({part}) + sum(n) OVER ({part} ORDER BY inside NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto",
+        f"sum(below) OVER ({part}) + sum(n) OVER ({part}) AS beyond",
     )
 
     def at(rank: str) -> Column:
-        return F.expr(f"max(CASE WHEN {rank} >= upto - n AND {rank} < upto THEN number END)")
-
-    found = (
-        counted.selectExpr("*", f"{upto} AS upto")
-        .groupBy(*group)
-        .agg(at("floor(rank)").alias("lower"), at("ceil(rank)").alias("upper"))
-        .selectExpr(
-            *group[:-1],
-            "CASE WHEN lower IS NULL OR upper IS NULL "
-            "THEN double(raise_error('a rank lies outside its bracket; lower the accuracy')) "
-            "ELSE lower + (upper - lower) * (rank - floor(rank)) END AS quantile",
+        return F.expr(
+            f"coalesce(max(CASE WHEN {rank} >= upto - n AND {rank} < upto THEN inside END), "
+            f"max(CASE WHEN {rank} = first - 1 THEN under END), min(CASE WHEN {rank} = beyond THEN over END))"
         )
-        .groupBy(*group[:-2])
-        .agg(*[F.expr(f"max(CASE WHEN which = {i} THEN quantile END)").alias(f"quantile_{i}") for i in range(len(names))])
+
+    by_which = (
+        placed.groupBy(*group)
+        .agg(at("floor(rank)").alias("lower"), at("ceil(rank)").alias("upper"), *[F.expr(f"any_value({c}) AS {c}") for c in ["rank", *carried]])
+        .selectExpr(*group, *carried, "lower + (upper - lower) * (rank - floor(rank)) AS quantile")
     )
-    kept = [*keys, *(also or {})]
-    return marks.join(found, condition, "left").select(
-        *[named(k) for k in kept], *[F.col(f"quantile_{i}").alias(n) for i, n in enumerate(names)]
+    return (
+        by_which.groupBy(*found)
+        .agg(
+            *[F.expr(f"any_value({c}) AS {c}") for c in carried],
+            *[F.expr(f"max(CASE WHEN which = {i} THEN quantile END) AS quantile_{i}") for i in range(len(names))],
+        )
+        .select(
+            *[F.col(f"key_{i}").alias(k) for i, k in enumerate(keys)],
+            *[F.col(c).alias(n) for c, n in zip(carried, also, strict=True)],
+            *[F.col(f"quantile_{i}").alias(n) for i, n in enumerate(names)],
+        )
     )

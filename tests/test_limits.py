@@ -47,26 +47,36 @@ def test_byar_columns(spark):
             assert row["high"] == pytest.approx(cube(row["c"], 1))
 
 
-def test_chi_square_tail():
-    assert pvalues.chi_square_tail(3.841458820694124, 1) == pytest.approx(0.05)
-    assert pvalues.chi_square_tail(10, 4) == pytest.approx(math.exp(-5) * 6)
-    assert pvalues.chi_square_tail(1, 1) == pytest.approx(math.erfc(math.sqrt(0.5)))
-    assert pvalues.chi_square_tail(0, 3) == 1
-    assert pvalues.chi_square_tail(5, 0) == 1
-    for x in (0.5, 3.0, 30.0):
-        assert pvalues.chi_square_tail(x, 2) == pytest.approx(math.exp(-x / 2))
+def tails(spark, function, cases):
+    frame = spark.createDataFrame([(i, float(x), float(f)) for i, (x, f) in enumerate(cases)], "i int, x double, f double")
+    column = function("x", "f")
+    assert "ython" not in frame.select(column)._jdf.queryExecution().executedPlan().toString()
+    return [r[1] for r in sorted(frame.select("i", column).collect())]
 
 
-def test_student_tail():
-    assert pvalues.student_two_sided(2.0, 10) == pytest.approx(0.07338803477074043)
-    assert pvalues.student_two_sided(12.706204736432095, 1) == pytest.approx(0.05)
-    assert pvalues.student_two_sided(-1.0, 1) == pytest.approx(0.5)
-    assert pvalues.student_two_sided(0, 7) == 1
-    assert pvalues.student_two_sided(1.9599639845400536, 10**7) == pytest.approx(0.05, rel=1e-5)
+def test_chi_square_tail(spark):
+    cases = [(3.841458820694124, 1), (10, 4), (1, 1), (0, 3), (5, 0), (0.5, 2), (3, 2), (30, 2), (60, 1), (9, 1)]
+    wanted = [0.05, math.exp(-5) * 6, math.erfc(math.sqrt(0.5)), 1, 1, *[math.exp(-x / 2) for x in (0.5, 3, 30)]]
+    wanted += [math.erfc(math.sqrt(30)), math.erfc(math.sqrt(4.5))]
+    assert tails(spark, pvalues.chi_square_p, cases) == pytest.approx(wanted, rel=1e-10)
+    # many levels: close to the cube-root normal approximation
+    (many,) = tails(spark, pvalues.chi_square_p, [(10_100, 10_000)])
+    z = ((1.01) ** (1 / 3) - (1 - 2 / 9e4)) / math.sqrt(2 / 9e4)
+    assert many == pytest.approx(0.5 * math.erfc(z / math.sqrt(2)), rel=1e-3)
+
+
+def test_student_tail(spark):
+    cases = [(2.0, 10), (12.706204736432095, 1), (-1.0, 1), (0, 7), (1.9599639845400536, 10**7), (0.1, 2)]
+    wanted = [0.07338803477074043, 0.05, 0.5, 1, 0.05, 1 - 0.1 / math.sqrt(2.01)]
+    assert tails(spark, pvalues.student_p, cases) == pytest.approx(wanted, rel=1e-6)
+    cases = [(t, v) for t in (0.01, 1.0, 2.0, 3.0, 5.0) for v in (10**10, 10**12)]
+    wanted = [math.erfc(t / math.sqrt(2)) for t, _ in cases]
+    assert tails(spark, pvalues.student_p, cases) == pytest.approx(wanted, abs=1e-9)
 
 
 def test_pvalue_columns_keep_nulls(spark):
     frame = spark.createDataFrame([(1.0, 1), (None, 1), (2.0, None)], "s double, f int")
-    found = [r[0] for r in frame.select(pvalues.chi_square_p("s", "f")).collect()]
-    assert found[0] == pytest.approx(0.31731050786291404)
-    assert found[1:] == [None, None]
+    for function, first in ((pvalues.chi_square_p, 0.31731050786291404), (pvalues.student_p, 0.5)):
+        found = [r[0] for r in frame.select(function("s", "f")).collect()]
+        assert found[0] == pytest.approx(first)
+        assert found[1:] == [None, None]
