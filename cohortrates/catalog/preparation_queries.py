@@ -16,11 +16,9 @@ DAY_FORMAT = "%d-%m-%Y"
 
 
 def scan_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three columns of a parquet table, filtered: both reach the scan."""
-    columns = ["o_orderkey", "o_orderdate", "o_orderstatus"]
-    orders = tables.scan_parquet(spark, f"{sf_dir}/orders.parquet", columns)
-    kept = orders.where(F.col("o_orderstatus") == "F")
-    return kept.select("o_orderkey", F.to_date("o_orderdate").alias("ordered"))
+    """Three columns of a parquet table; no others are read."""
+    orders = tables.scan_parquet(spark, f"{sf_dir}/orders.parquet", ["o_orderkey", "o_orderdate", "o_orderstatus"])
+    return orders.select("o_orderkey", F.to_date("o_orderdate").alias("ordered"), "o_orderstatus")
 
 
 def ingest_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,11 +128,12 @@ def ref_population(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def link_practices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linkage.link_practices(views.practice_map(spark, sf_dir), *_sources(spark, sf_dir))
+    a, b = _sources(spark, sf_dir)
+    return linkage.link_practices(linkage.match_practices(views.practice_map(spark, sf_dir), a, b), a, b)
 
 
 def link_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linkage.link_stats(views.practice_map(spark, sf_dir), *_sources(spark, sf_dir))
+    return linkage.link_stats(linkage.match_practices(views.practice_map(spark, sf_dir), *_sources(spark, sf_dir)))
 
 
 def union_diagonal(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,7 +182,7 @@ MERGED = "select PATIENT_ID, condition_a, condition_b, END_DATE, least(condition
 QUERIES = {
     "scan_cohort": (
         scan_cohort,
-        "select o_orderkey, cast(o_orderdate as date) as ordered from orders where o_orderstatus = 'F'",
+        "select o_orderkey, cast(o_orderdate as date) as ordered, o_orderstatus from orders",
     ),
     "ingest_dates": (
         ingest_dates,

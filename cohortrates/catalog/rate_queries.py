@@ -61,6 +61,26 @@ def crude_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(merge_results(parts))
 
 
+#: More conditions than one expansion lists.
+MANY = [f"c{i}" for i in range(40)]
+
+
+def crude_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prevalence of many conditions, each of them one that fewer persons have."""
+    dates = [F.when(F.col("PATIENT_ID") % 41 > i, F.col("condition_a")).alias(c) for i, c in enumerate(MANY)]
+    cohort = views.cohort(spark, sf_dir).select("INDEX_DATE", "END_DATE", "SEX", *dates)
+    return rounded(rates.analyse(cohort, MANY, ["SEX"], PREV))
+
+
+MANY_SQL = oracle.with_views(
+    oracle.show_crude(PREV),
+    many="select INDEX_DATE, END_DATE, SEX, "
+    + ", ".join(f"case when PATIENT_ID % 41 > {i} then condition_a end as {c}" for i, c in enumerate(MANY))
+    + " from v_cohort",
+    **oracle.crude_ctes(PREV, ["SEX"], MANY, "many"),
+)
+
+
 def byar_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Limits of the number of persons with a condition per practice, sex and age band."""
     counts = (
@@ -117,7 +137,7 @@ FILLED_SQL = oracle.with_views(
 )
 
 LABEL_SQL = oracle.with_views(
-    "select AGE_CATEGORY || ', ' || SEX || ', ' || coalesce(pat_catg_a, 'null') || ', ' || pat_catg_b as Subgroup, "
+    "select AGE_CATEGORY || ', ' || SEX || ', ' || pat_catg_b || ', ' || coalesce(pat_catg_a, 'null') as Subgroup, "
     "count(*) as persons from v_cohort group by 1"
 )
 
@@ -136,5 +156,6 @@ QUERIES = {
     "cohort_long": (cohort_long, LONG),
     "fill_strata": (fill_strata, FILLED_SQL),
     "strata_label": (labels, LABEL_SQL),
+    "crude_many_conditions": (crude_many, MANY_SQL),
     "crude_union": (crude_union, oracle.crude(PREV, ["SEX"])),
 }

@@ -40,31 +40,39 @@ def standardised(spark: SparkSession, sf_dir: str, study: Study, names) -> DataF
 
 def dsr_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both measures, every condition and breakdown, from one pass of the cohort."""
-    cells = rates.rate_cells(views.cohort(spark, sf_dir), CONDITIONS, GROUP_LISTS, [INC, PREV])
-    weights = weights_of(spark, sf_dir)
-    parts = []
-    for study in (INC, PREV):
-        crude = rates.crude_rates(cells, study, CONDITIONS, GROUP_LISTS, overall=False, keep_strata=True)
-        rate = standardised_from(crude, weights, study).withColumnRenamed(study.measure, "Rate")
-        parts.append(rate.withColumn("Measure", F.lit(study.measure)))
-    return rounded(parts[0].unionByName(parts[1]))
+    both = [INC, PREV]
+    cells = rates.rate_cells(views.cohort(spark, sf_dir), CONDITIONS, GROUP_LISTS, both)
+    crude = rates.crude_rates(cells, both, CONDITIONS, GROUP_LISTS, overall=False, keep_strata=True)
+    parts = standardise.std_parts(crude, standardise.breakdown_groups(BREAKDOWNS))
+    return rounded(standardise.standardise(parts, weights_of(spark, sf_dir), BREAKDOWNS, standardise.RATE, keys=["Measure"]))
+
+
+#: The overall rate from the cells of a finer group.
+POOLED = {"Overall": "AGE_CATEGORY, SEX, pat_catg_b"}
+
+
+def dsr_overall_pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One overall rate per condition and date, from cells that are told apart by region too."""
+    crude = typed_crude(spark, sf_dir, PREV, [g.split(", ") for g in POOLED.values()], overall=False)
+    return rounded(standardised_from(crude, weights_of(spark, sf_dir), PREV, POOLED))
 
 
 def numerators(spark: SparkSession, sf_dir: str, study: Study) -> DataFrame:
     return disclosure.crude_numerators(typed_crude(spark, sf_dir, study), BREAKDOWNS)
 
 
+def counted_dsr(spark: SparkSession, sf_dir: str, study: Study) -> DataFrame:
+    """Standardised rates with their crude cases, from one pass of the cohort."""
+    parts = standardise.std_parts(typed_crude(spark, sf_dir, study), standardise.breakdown_groups(BREAKDOWNS), whole=True)
+    return standardise.standardise(parts, weights_of(spark, sf_dir), BREAKDOWNS, study.measure, counted=True)
+
+
 def counted(spark: SparkSession, sf_dir: str, study: Study) -> DataFrame:
-    crude = typed_crude(spark, sf_dir, study)
-    dsr = standardised_from(crude, weights_of(spark, sf_dir), study)
-    return rounded(disclosure.attach_numerators(dsr, disclosure.crude_numerators(crude, BREAKDOWNS), BREAKDOWNS))
+    return rounded(counted_dsr(spark, sf_dir, study))
 
 
 def censored_dsr(spark: SparkSession, sf_dir: str, study: Study) -> DataFrame:
-    crude = typed_crude(spark, sf_dir, study)
-    dsr = standardised_from(crude, weights_of(spark, sf_dir), study)
-    found = disclosure.crude_numerators(crude, BREAKDOWNS)
-    return rounded(disclosure.suppress_standardised(dsr, found, BREAKDOWNS, SMALL_COUNT, study.measure))
+    return rounded(disclosure.suppress_standardised(counted_dsr(spark, sf_dir, study), SMALL_COUNT, study.measure))
 
 
 def labelled(spark: SparkSession, sf_dir: str, study: Study) -> DataFrame:
@@ -157,6 +165,18 @@ def show_dsr(study: Study, where: str = "true", measure: str | None = None) -> s
     )
 
 
+def pooled_sql() -> str:
+    frames = ctes(PREV)
+    pooled = frames["sums"].replace("from parts join names on grp = \"Group\"", f"from (select *, 'Overall' as breakdown from parts where \"Group\" = '{POOLED['Overall']}')")
+    frames["sums"] = pooled.replace("breakdown, rest, \"Date\"", "breakdown, \"Date\"")
+    frames["dsr"] = frames["dsr"].replace("case breakdown when 'Overall' then 'Overall' else rest end", "'Overall'")
+    shown = f'select "Condition", Subgroup, "Group", "Date", {oracle.rounded(PREV.measure)} as {PREV.measure}, '
+    return oracle.with_views(
+        f"{shown}{oracle.rounded('Lower_CI')} as Lower_CI, {oracle.rounded('Upper_CI')} as Upper_CI from dsr",
+        **{k: frames[k] for k in ("longs", "grid", "counted", "crude", "parts", "weights", "sums", "dsr")},
+    )
+
+
 def show_both(study: Study, censor: bool) -> str:
     values = [study.measure, "Lower_CI", "Upper_CI"]
     safe = f"Numerator > {SMALL_COUNT}"
@@ -192,7 +212,7 @@ def numerator_sql(study: Study) -> str:
 SPLIT_ROWS = (
     'select "Condition", "Group", "Date", Numerator, Denominator, round(Prevalence, 6) as Prevalence, '
     "array_to_string(list_slice(string_split(replace(Subgroup, ' ', ''), ','), 1, 2), ', ') as std_group, "
-    "array_to_string(list_slice(string_split(replace(Subgroup, ' ', ''), ','), 3, 1000), ', ') as Subgroup from crude"
+    "array_to_string(string_split(replace(Subgroup, ' ', ''), ',')[3:], ', ') as Subgroup from crude"
 )
 
 
@@ -250,6 +270,7 @@ QUERIES = {
             f"select *, '{study.measure}' as Measure from ({show_dsr(study, measure='Rate')})" for study in (INC, PREV)
         ),
     ),
+    "dsr_overall_pooled": (dsr_overall_pooled, pooled_sql()),
     "crude_numerator_map": (_of(numerators, PREV), numerator_sql(PREV)),
     "attach_numerators": (_of(counted, INC), show_both(INC, censor=False)),
     "censor_crude_prev": (_of(censored_crude, PREV), censor_crude_sql(PREV)),

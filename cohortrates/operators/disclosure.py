@@ -67,8 +67,6 @@ def attach_numerators(standardised: DataFrame, numerators: DataFrame, breakdowns
     )
 
 
-def suppress_standardised(
-    standardised: DataFrame, numerators: DataFrame, breakdowns: Mapping[str, str], n: float, measure: str
-) -> DataFrame:
-    counted = attach_numerators(standardised, numerators, breakdowns)
+def suppress_standardised(counted: DataFrame, n: float, measure: str) -> DataFrame:
+    """Standardised rates that carry their crude cases, with small counts suppressed and the cases left out."""
     return suppress(counted, n, ["Numerator"], [measure]).drop("Numerator")

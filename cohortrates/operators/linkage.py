@@ -1,17 +1,16 @@
 """Linking extracts: two practice systems, hospital records, deprivation.
 
-Lookup tables, and what is no larger than them, are broadcast only after their rows have been
-counted; a larger one is joined by shuffle, where adaptive execution splits hot practices.
+Adaptive execution broadcasts lookup tables by their size, or joins them by shuffle and splits hot
+practices. Nothing is read before the query runs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import named, quoted
-from ..session import broadcast_if, is_small
 from ..sources.maps import DEPRIVATION_KEYS
 from .cleaning import dates_to_text
 
@@ -28,22 +27,25 @@ def union_diagonal(first: DataFrame, second: DataFrame) -> DataFrame:
     return first.unionByName(second, allowMissingColumns=True)
 
 
-def _known(practices: DataFrame, source: DataFrame, column: str, small: bool) -> DataFrame:
+def _known(practices: DataFrame, source: DataFrame, column: str, flag: str) -> DataFrame:
     """Ids of ``practices[column]`` that occur in ``source``, once each.
 
     The source is joined against the mapped ids before it is reduced, so what is shuffled is no
     larger than the map.
     """
-    ids = broadcast_if(practices.select(F.col(column).alias(PRACTICE)).distinct(), small)
-    return source.select(PRACTICE).join(ids, PRACTICE, "left_semi").distinct()
+    ids = practices.select(F.col(column).alias(PRACTICE)).distinct()
+    found = source.select(PRACTICE).join(ids, PRACTICE, "left_semi").distinct()
+    return found.select(F.col(PRACTICE).alias(column), F.lit(True).alias(flag))
 
 
-def _match(practices: DataFrame, a: DataFrame, b: DataFrame, small: bool) -> DataFrame:
-    in_a = _known(practices, a, "id_a", small).select(F.col(PRACTICE).alias("id_a"), F.lit(True).alias("in_a"))
-    in_b = _known(practices, b, "id_b", small).select(F.col(PRACTICE).alias("id_b"), F.lit(True).alias("in_b"))
+def match_practices(practices: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
+    """Each mapped practice with whether it occurs in source A and in source B.
+
+    The one pass over both sources; write it where both functions below need it.
+    """
     return (
-        practices.join(broadcast_if(in_a, small), "id_a", "left")
-        .join(broadcast_if(in_b, small), "id_b", "left")
+        practices.join(_known(practices, a, "id_a", "in_a"), "id_a", "left")
+        .join(_known(practices, b, "id_b", "in_b"), "id_b", "left")
         .select(
             "id_a",
             "id_b",
@@ -53,18 +55,13 @@ def _match(practices: DataFrame, a: DataFrame, b: DataFrame, small: bool) -> Dat
     )
 
 
-def match_practices(practices: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
-    """Each mapped practice with whether it occurs in source A and in source B."""
-    return _match(practices, a, b, is_small(practices))
-
-
-def link_stats(practices: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
-    """One row: how many mapped practices occur in A, in B, in both or in neither."""
+def link_stats(matched: DataFrame) -> DataFrame:
+    """One row: how many matched practices occur in A, in B, in both or in neither."""
 
     def where(in_a: bool, in_b: bool):
         return F.count_if((F.col("in_a") == in_a) & (F.col("in_b") == in_b))
 
-    return match_practices(practices, a, b).agg(
+    return matched.agg(
         F.countDistinct(F.when(F.col("in_a"), F.col("id_a"))).alias("n_pracMap_inA"),
         F.countDistinct(F.when(F.col("in_b"), F.col("id_b"))).alias("n_pracMap_inB"),
         where(True, True).alias("n_inA_inB"),
@@ -74,27 +71,21 @@ def link_stats(practices: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
     )
 
 
-def link_practices(practices: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
+def link_practices(matched: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
     """B, and A without the practices that moved to B; rows of A without a practice are dropped."""
-    small = is_small(practices)
-    moved = _match(practices, a, b, small).where("in_a AND in_b").select(F.col("id_a").alias(PRACTICE))
-    kept = a.where(F.col(PRACTICE).isNotNull()).join(broadcast_if(moved, small), PRACTICE, "left_anti")
+    moved = matched.where("in_a AND in_b").select(F.col("id_a").alias(PRACTICE))
+    kept = a.where(F.col(PRACTICE).isNotNull()).join(moved, PRACTICE, "left_anti")
     return union_diagonal(b, kept.select(*[named(c) for c in a.columns]))
 
 
-def assert_unique(df: DataFrame, key: str, what: str) -> None:
-    """Raise if a non-null key occurs twice. Reads the key column only."""
-    repeated = (
-        df.select(named(key).alias("key"))
-        .where("key IS NOT NULL")
-        .groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .limit(1)
-        .collect()
-    )
-    if repeated:
-        raise ValueError(f"{what}: key {repeated[0]['key']} occurs {repeated[0]['n']} times")
+LINK_KEY, LINK_COUNT = "link key", "link count"
+
+
+def _once(df: DataFrame, what: str) -> DataFrame:
+    """``df``, or an error when the query runs if a key was counted more than once."""
+    message = f"concat('{what}: key ', string({quoted(LINK_KEY)}), ' occurs ', string({quoted(LINK_COUNT)}), ' times')"
+    check = f"CASE WHEN {quoted(LINK_COUNT)} = 1 THEN true ELSE boolean(raise_error({message})) END"
+    return df.where(F.expr(check)).drop(LINK_COUNT)
 
 
 def link_one_to_one(
@@ -102,25 +93,31 @@ def link_one_to_one(
 ) -> DataFrame:
     """Cohort rows with the columns of their one record; clashing names end in ``_right``.
 
-    Both keys must be unique. Cohort rows without a key cannot match, so they bypass the join
+    Both keys must be unique, which is checked in passing: each side is dealt out by its key once, for
+    the check and the join alike. Cohort rows without a key cannot match, so they bypass the join
     instead of meeting in one partition of it.
     """
-    assert_unique(cohort, cohort_key, "cohort")
-    assert_unique(records, record_key, "records")
     if dates_as_text:
         cohort, records = dates_to_text(cohort), dates_to_text(records)
     others = [c for c in records.columns if c != record_key]
     target = {c: f"{c}_right" if c in cohort.columns else c for c in others}
     joined_type = _common_type(cohort.schema[cohort_key].dataType, records.schema[record_key].dataType)
-    right = records.select(
-        named(record_key).cast(joined_type).alias("link_key"), *[named(c).alias(target[c]) for c in others]
-    ).where("link_key IS NOT NULL")
-    keyed = cohort.where(named(cohort_key).isNotNull())
-    matched = keyed.join(right, named(cohort_key).cast(joined_type) == F.col("link_key"), "left").drop("link_key")
-    unkeyed = cohort.where(named(cohort_key).isNull()).select(
-        "*", *[F.lit(None).cast(records.schema[c].dataType).alias(target[c]) for c in others]
-    )
-    return matched.unionByName(unkeyed)
+    right = _once(
+        records.select(named(record_key).cast(joined_type).alias(LINK_KEY), F.struct(F.lit(1), *[named(c) for c in others]).alias("record"))
+        .where(named(LINK_KEY).isNotNull())
+        .groupBy(named(LINK_KEY))
+        .agg(F.any_value("record").alias("record"), F.count(F.lit(1)).alias(LINK_COUNT)),
+        "records",
+    ).select(named(LINK_KEY).alias("record key"), *[F.col("record").getField(c).alias(target[c]) for c in others])
+    keyed = cohort.withColumn(LINK_KEY, named(cohort_key).cast(joined_type)).where(named(LINK_KEY).isNotNull())
+    keyed = _once(keyed.withColumn(LINK_COUNT, F.count(F.lit(1)).over(Window.partitionBy(named(LINK_KEY)))), "cohort")
+    matched = keyed.join(right, named(LINK_KEY) == named("record key"), "left").drop(LINK_KEY, "record key")
+    return matched.unionByName(_unlinked(cohort, cohort_key, {target[c]: records.schema[c].dataType for c in others}))
+
+
+def _unlinked(cohort: DataFrame, key: str, columns: dict[str, T.DataType]) -> DataFrame:
+    """Rows without a key, which no join needs to see, with null for what it would add."""
+    return cohort.where(named(key).isNull()).select("*", *[F.lit(None).cast(t).alias(c) for c, t in columns.items()])
 
 
 def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
@@ -133,6 +130,8 @@ def link_deprivation(cohort: DataFrame, lookup: DataFrame) -> DataFrame:
     if key not in DEPRIVATION_KEYS:
         raise ValueError(f"deprivation key must be one of {sorted(DEPRIVATION_KEYS)}, not {key}")
     column = DEPRIVATION_KEYS[key]
-    values = lookup.select(F.col(key).cast("string").alias("lookup_key"), F.col(value).alias(f"IMD_{key}"))
-    values = broadcast_if(values, is_small(lookup))
-    return cohort.join(values, F.expr(f"string({quoted(column)}) = lookup_key"), "left").drop("lookup_key")
+    name = f"IMD_{key}"
+    values = lookup.select(F.col(key).cast("string").alias(LINK_KEY), F.col(value).alias(name))
+    keyed = cohort.where(named(column).isNotNull())
+    linked = keyed.join(values, named(column).cast("string") == named(LINK_KEY), "left").drop(LINK_KEY)
+    return linked.unionByName(_unlinked(cohort, column, {name: lookup.schema[value].dataType}))

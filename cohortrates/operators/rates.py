@@ -21,7 +21,7 @@ projections, each of which compiles to a method small enough for the JVM to opti
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,18 +44,18 @@ COUNT, ON, OFF = "count", "on", "off"
 BATCH = 16
 PERSON = "0_0"
 
-#: Up to this many dates are listed in one expansion, more of them batch by batch.
-FLAT = 32
-
 #: What a change does to the running totals of a stratum, once its kind has been told apart.
 CHANGES = ("persons", "enter", "leave", "idle_days", "case_on", "case_off")
 
-#: Columns of cells and results, which no stratum may be called.
+#: Columns of results, which no stratum that is kept beside them may be called, in any case.
 RESERVED = {
-    "Measure", "Condition", "kind", "period", "amount", "days",
-    "Group", "Subgroup", "Date", "Numerator", "Denominator", "Lower_CI", "Upper_CI", INCIDENCE, PREVALENCE,
+    "measure", "condition", "group", "subgroup", "date", "numerator", "denominator", "lower_ci", "upper_ci",
+    INCIDENCE.lower(), PREVALENCE.lower(), "rate", "active", "breakdown",
 }
 
+#: Strata stand in cells under a name of their own, so that they cannot meet another column.
+CELL_STRATUM = "stratum {}"
+
 StrataSpec = Sequence["str | Sequence[str]"]
 
 
@@ -181,12 +181,9 @@ def _dates_listed(persons: DataFrame, codes: list[str]) -> DataFrame:
     """One row per date that is present, the other columns beside it.
 
     An expansion over very many columns would compile to a method too large for the JVM to
-    optimise, so many dates are listed in two steps; a batch without any date ends after the first.
+    optimise, so dates are listed in two steps; a batch without any date ends after the first.
     """
     kept = [c for c in persons.columns if c not in codes]
-    if len(codes) <= FLAT:
-        rows = persons.unpivot(kept, [F.col(f"`{c}`") for c in codes], "Condition", "event_date")
-        return rows.where("event_date IS NOT NULL")
     slots = [f"_{i}" for i in range(BATCH)]
     batches = [codes[i : i + BATCH] for i in range(0, len(codes), BATCH)]
     filled = [[f"`{c}`" for c in batch] + ["no_date"] * (BATCH - len(batch)) for batch in batches]
@@ -219,8 +216,6 @@ def rate_cells(
     if not conditions:
         raise ValueError("no conditions given")
     names = strata_columns(strata)
-    if RESERVED.intersection(names):
-        raise ValueError(f"strata must not be called {sorted(RESERVED.intersection(names))}")
     keys = [f"stratum_{i}" for i in range(len(names))]
     spells = [_Spell(study, f"s{i}_") for i, study in enumerate(studies)]
     codes = {f"{i // BATCH}_{i % BATCH}": c for i, c in enumerate([PERSON, *conditions])}
@@ -254,7 +249,7 @@ def rate_cells(
     return sums.selectExpr(
         f"CASE {measure} END AS Measure",
         f"CASE Condition {condition} END AS Condition",
-        *[f"{k} AS {quoted(n)}" for n, k in zip(names, keys, strict=True)],
+        *[f"{k} AS {quoted(CELL_STRATUM.format(n))}" for n, k in zip(names, keys, strict=True)],
         "substring_index(change, '_', -1) AS kind",
         "period",
         "amount",
@@ -264,7 +259,7 @@ def rate_cells(
 
 def crude_rates(
     cells: DataFrame,
-    study: Study,
+    study: Study | Sequence[Study],
     conditions: Sequence[str],
     strata: StrataSpec = (),
     overall: bool = True,
@@ -275,23 +270,44 @@ def crude_rates(
     """Numerator, denominator, rate and limits per condition, breakdown, stratum and period.
 
     With ``keep_strata`` the stratum columns stay beside the ``Subgroup`` label; those that are not
-    part of a row's breakdown are null.
+    part of a row's breakdown are null. Several studies are worked out together: their rates stand in
+    one column ``Rate``, and ``Measure`` tells them apart.
     """
+    together = not isinstance(study, Study)
+    studies = list(study) if together else [study]
+    if len({s.measure for s in studies}) != len(studies):
+        raise ValueError("studies worked out together must differ in their measure")
     lists = strata_lists(strata)
     names = strata_columns(strata)
+    clash = {n.lower() for n in names} & RESERVED
+    if keep_strata and clash:
+        raise ValueError(f"strata that are kept must not be called {sorted(clash)}")
+    if not lists and not overall:
+        raise ValueError("no strata and no overall rate: nothing to work out")
+
+    def by_measure(sql: Callable[[Study], str]) -> str:
+        """SQL that depends on the study, which is that of the row."""
+        if not together:
+            return sql(studies[0])
+        return f"CASE Measure {' '.join(f'WHEN {text(s.measure)} THEN {sql(s)}' for s in studies)} END"
+
     keys = [f"stratum_{i}" for i in range(len(names))]
     key_of = dict(zip(names, keys, strict=True))
     sets = list(dict.fromkeys(tuple(key_of[n] for n in names if n in item) for item in lists))
     if overall:
         sets.insert(0, ())
-    roles = cells.where(F.col("Measure") == study.measure).selectExpr(
+    roles = cells.where(F.col("Measure").isin(*[s.measure for s in studies])).selectExpr(
+        "Measure",
         "Condition",
         "period",
-        *[f"{quoted(n)} AS {k}" for n, k in key_of.items()],
-        *[f"CASE WHEN {when} THEN {what} ELSE 0 END AS {name}" for name, what, when in _roles(study)],
+        *[f"{quoted(CELL_STRATUM.format(n))} AS {k}" for n, k in key_of.items()],
+        *[
+            by_measure(lambda s, i=i: "CASE WHEN {2} THEN {1} ELSE 0 END".format(*_roles(s)[i])) + f" AS {name}"
+            for i, name in enumerate(CHANGES)
+        ],
     )
     sums = [F.expr(f"sum({c}) AS {c}") for c in CHANGES]
-    fixed = ["Condition", "period"]
+    fixed = ["Measure", "Condition", "period"]
     if names:
         flags = [F.expr(f"grouping({k}) AS left_out_{k}") for k in keys]
         grouped = roles.groupingSets([[*fixed, *chosen] for chosen in sets], *fixed, *keys).agg(*sums, *flags)
@@ -307,9 +323,10 @@ def crude_rates(
     # Only now, rolled up, is the population repeated for every condition. Rows of a stratum meet in
     # one partition: at most two per period, so merging and running totals need no other shuffle.
     everyone = ", ".join(map(text, conditions))
-    stratum = ["Condition", "breakdown", *keys]
+    stratum = ["Measure", "Condition", "breakdown", *keys]
     merged = (
         grouped.selectExpr(
+            "Measure",
             f"explode(CASE WHEN Condition IS NULL THEN array({everyone}) ELSE array(Condition) END) AS Condition",
             "period",
             *keys,
@@ -330,35 +347,34 @@ def crude_rates(
         "idle_days",
         "case_off",
         *[f"sum({c}) {running} AS sum_{c}" for c in CHANGES if c != "idle_days"],
-        f"coalesce(lead(period) {window}), {study.n_periods}) AS until",
+        f"coalesce(lead(period) {window}), {by_measure(lambda s: str(s.n_periods))}) AS until",
     ).selectExpr("*", "explode(sequence(changed, until - 1)) AS period")
 
     def standing(on: str, off: str) -> str:
         return f"sum_{on} - sum_{off} + CASE WHEN period = changed THEN {off} ELSE 0 END"
 
-    grid = study.grid
-    if study.measure == INCIDENCE:
-        length = f"({grid.offset_of('(period + 1)')} - {grid.offset_of('period')})"
+    def denominator(s: Study) -> str:
+        if s.measure != INCIDENCE:
+            return "double(active)" if together else "active"
+        length = f"({s.grid.offset_of('(period + 1)')} - {s.grid.offset_of('period')})"
         idle = "CASE WHEN period = changed THEN idle_days ELSE 0 END"
-        denominator = (
-            f"({length} * active - {idle}) / double({length}) + {IDLE_SHARE!r}D * (sum_persons - active)"
-        )
-    else:
-        denominator = "active"
+        return f"({length} * active - {idle}) / double({length}) + {IDLE_SHARE!r}D * (sum_persons - active)"
+
     measured = dense.selectExpr(
         "*",
         f"inline({_breakdown_labels(sets, lists, key_of)})",
     ).selectExpr(
+        *(["Measure"] if together else []),
         "Condition",
         "`Group`",
         "Subgroup",
         *[f"{k} AS {quoted(n)}" for n, k in key_of.items() if keep_strata],
-        f"{grid.date_of('period')} AS `Date`",
+        f"{by_measure(lambda s: s.grid.date_of('period'))} AS `Date`",
         f"{standing('case_on', 'case_off')} AS Numerator",
         f"{standing('enter', 'leave')} AS active",
-        f"{denominator} AS Denominator",
+        f"{by_measure(denominator)} AS Denominator",
     )
-    return with_limits(measured.drop("active"), study.measure, per, alpha)
+    return with_limits(measured.drop("active"), "Rate" if together else studies[0].measure, per, alpha)
 
 
 def _roles(study: Study) -> list[tuple[str, str, str]]:

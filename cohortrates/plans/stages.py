@@ -13,6 +13,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..operators import cleaning, describe, disclosure, linkage, rates, series, standardise
 from ..operators.grid import INCIDENCE, PREVALENCE, Study, StudyGrid
@@ -22,6 +23,7 @@ Config = Mapping[str, Any]
 
 PROCESSED = "dat_processed.parquet"
 LINK_STATS = "LINK_STATS.csv"
+MATCHED = "practices_matched.parquet"
 PUBLISH = "Publish/"
 SHORT = {INCIDENCE: "inc", PREVALENCE: "prev"}
 
@@ -54,8 +56,10 @@ def process(spark: SparkSession, config: Config) -> DataFrame:
         practices = maps.read_practice_map(
             spark, f"{root}{options['map_file_AtoB']}", sep=options.get("map_delim_AtoB", "\t")
         )
-        tables.write_csv(linkage.link_stats(practices, a, b), f"{root}{LINK_STATS}")
-        cohort = linkage.link_practices(practices, a, b)
+        tables.write_parquet(linkage.match_practices(practices, a, b), f"{root}{MATCHED}")
+        matched = spark.read.parquet(f"{root}{MATCHED}")
+        tables.write_csv(linkage.link_stats(matched), f"{root}{LINK_STATS}")
+        cohort = linkage.link_practices(matched, a, b)
     if options.get("path_hes"):
         records = tables.scan(spark, options["path_hes"])
         cohort = linkage.link_one_to_one(cohort, records, options["col_patid_cprd"], options["col_patid_hes"])
@@ -143,28 +147,34 @@ def censor(spark: SparkSession, config: Config) -> dict[str, DataFrame]:
             breakdowns = config["strd"]["standard_breakdowns"]
             standardised = _read(spark, f"{out}{short}_DSR")
             numerators = disclosure.crude_numerators(crude, breakdowns)
-            safe = disclosure.suppress_standardised(standardised, numerators, breakdowns, n, measure)
+            counted = disclosure.attach_numerators(standardised, numerators, breakdowns)
+            safe = disclosure.suppress_standardised(counted, n, measure)
             _write(safe, f"{out}{PUBLISH}{short}_DSR")
             results[f"{short}_DSR"] = _read(spark, f"{out}{PUBLISH}{short}_DSR")
     return results
 
 
 def report(spark: SparkSession, config: Config) -> None:
-    """Table 1, and series with panel limits and error bars for all results and published results."""
+    """Table 1, and series with panel limits and error bars for all results and published results.
+
+    Results that no earlier stage has published are passed over.
+    """
     options, out = config["report"], config["dir_out"]
     if options.get("table1"):
         cohort = tables.scan(spark, f"{config['dir_data']}{config['incprev']['filename']}")
         table = describe.formatted_table(cohort, options["table1_catgs"], options["table1_nums"])
         tables.write_csv(table, f"{out}table1.csv")
-    sources = [out]
-    if config.get("censor"):
-        sources.append(f"{out}{PUBLISH}")
-    for root in sources:
+    for root in (out, f"{out}{PUBLISH}"):
         for kind, groups in (("crude", "catgs_crude"), ("DSR", "catgs_strd")):
             if not options.get("crude" if kind == "crude" else "strd"):
                 continue
             for measure, short in SHORT.items():
-                results = _read(spark, f"{root}{short}_{kind}").where(F.col("Group").isin(*options[groups]))
+                try:
+                    results = _read(spark, f"{root}{short}_{kind}").where(F.col("Group").isin(*options[groups]))
+                except AnalysisException as error:
+                    if root == out or error.getCondition() != "PATH_NOT_FOUND":
+                        raise
+                    continue
                 target = f"{root}report/{short}_{kind}"
                 tables.write_csv(series.report_series(results, measure, options[groups]), f"{target}_series.csv")
                 tables.write_csv(series.panel_limits(results, measure), f"{target}_limits.csv")

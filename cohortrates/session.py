@@ -1,22 +1,23 @@
-"""Session settings, checkpoints and size-checked broadcasts."""
+"""Session settings."""
 
 from __future__ import annotations
 
-import tempfile
+from pyspark.sql import SparkSession
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-#: Rows a lookup table may have before it is joined by shuffle instead of broadcast.
-BROADCAST_ROWS = 500_000
+#: Shuffle partitions a cluster begins with; adaptive execution merges those that turn out small.
+FIRST_PARTITIONS = "4000"
 
 
 def build_session(app: str = "cohortrates", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with adaptive execution, skew-join splitting and UTC dates."""
+    """A session with adaptive execution, skew-join splitting and UTC dates.
+
+    Joins carry no hints: adaptive execution broadcasts a side by its bytes and splits hot keys.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {
+    settings = {} if master else {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": FIRST_PARTITIONS}
+    settings |= {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -29,36 +30,3 @@ def build_session(app: str = "cohortrates", master: str | None = None, **conf: s
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage with a reliable checkpoint.
-
-    The folder is the session's ``spark.checkpoint.dir``. Only a local-mode session without that
-    setting gets a folder of its own; a cluster without it is an error, because the folder must be
-    shared by all executors.
-    """
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="cohortrates-"))
-    return df.checkpoint(eager=True)
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a table has at most ``max_rows`` rows; reads no more than that.
-
-    Give it only tables that are cheap to count: files of their own, or settled results.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
-    """``df`` marked for broadcast if its size was found to be small.
-
-    A larger one is returned as it is and joined by shuffle, where adaptive execution splits the
-    partitions of hot keys.
-    """
-    return F.broadcast(df) if small else df

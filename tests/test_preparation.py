@@ -110,13 +110,13 @@ def practices(spark):
     return mapped, a, b
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_moved_practices_leave_a(practices, small, monkeypatch):
-    monkeypatch.setattr(linkage, "is_small", lambda df: small)
-    linked = linkage.link_practices(*practices)
+def test_moved_practices_leave_a(practices):
+    _, a, b = practices
+    matched = linkage.match_practices(*practices)
+    linked = linkage.link_practices(matched, a, b)
     assert linked.columns == ["n", "PRACTICE_ID", "more"]
     assert rows(linked) == [("2", "pb", None), ("3", "px", None), ("6", "p1", True), ("7", "p3", False)]
-    stats = linkage.link_stats(*practices).first().asDict()
+    stats = linkage.link_stats(matched).first().asDict()
     assert stats == {
         "n_pracMap_inA": 2, "n_pracMap_inB": 2,
         "n_inA_inB": 1, "n_inA_notB": 1, "n_notA_inB": 1, "n_notA_notB": 1,
@@ -126,7 +126,7 @@ def test_moved_practices_leave_a(practices, small, monkeypatch):
 def test_nothing_to_remove(practices, spark):
     mapped, a, _ = practices
     b = spark.createDataFrame([("6", "p9", True)], "n string, PRACTICE_ID string, more boolean")
-    assert linkage.link_practices(mapped, a, b).count() == 5
+    assert linkage.link_practices(linkage.match_practices(mapped, a, b), a, b).count() == 5
 
 
 def test_one_to_one(spark):
@@ -137,15 +137,14 @@ def test_one_to_one(spark):
     assert rows(linked) == [
         (1, "x", "r", "2001-01-02"), (2, "y", None, None), (None, "w", None, None), (None, "z", None, None)
     ]
-    with pytest.raises(ValueError, match="records"):
-        linkage.link_one_to_one(cohort, records.union(records), "id", "key")
-    with pytest.raises(ValueError, match="cohort"):
-        linkage.link_one_to_one(cohort.union(cohort), records, "id", "key")
+    assert rows(linkage.link_one_to_one(cohort, records.select("key"), "id", "key")) == rows(cohort)
+    with pytest.raises(Exception, match="records: key 1 occurs 2 times"):
+        linkage.link_one_to_one(cohort, records.where("key = '1'").union(records), "id", "key").collect()
+    with pytest.raises(Exception, match="cohort: key 1 occurs 2 times"):
+        linkage.link_one_to_one(cohort.where("id = 1").union(cohort), records, "id", "key").collect()
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_deprivation(spark, small, monkeypatch):
-    monkeypatch.setattr(linkage, "is_small", lambda df: small)
+def test_deprivation(spark):
     cohort = spark.createDataFrame([(1, "p1"), (2, "p2"), (3, None)], "PATIENT_ID int, PRACTICE_ID string")
     by_practice = spark.createDataFrame([("p1", "4")], "pracid string, value string")
     assert rows(linkage.link_deprivation(cohort, by_practice)) == [(1, "p1", "4"), (2, "p2", None), (3, None, None)]

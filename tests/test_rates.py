@@ -189,14 +189,38 @@ def test_kept_strata_and_odd_names(spark):
     }
 
 
-def test_reserved_names_are_refused(spark):
-    frame = spark.createDataFrame([tuple(EDGES[0].values())], SCHEMA).withColumnRenamed("sex", "Condition")
-    with pytest.raises(ValueError):
-        analyse(frame, ["a"], ["Condition"], Study(PREVALENCE, YEARLY))
+@pytest.mark.parametrize("name", ["period", "days", "kind", "amount", "condition", "Condition", "numerator", "Measure", "stratum_0", "batch"])
+def test_strata_of_any_name(spark, name):
+    people = spark.createDataFrame([tuple(p.values()) for p in some_people(80, seed=2)], SCHEMA)
+    for study in (Study(PREVALENCE, YEARLY), Study(INCIDENCE, YEARLY)):
+        wanted = analyse(people, ["a"], ["sex", ["sex", "band"]], study)
+        found = analyse(people.withColumnRenamed("sex", name), ["a"], [name, [name, "band"]], study)
+        renamed = [str(r).replace(f"Group='{name}", "Group='sex") for r in found.collect()]
+        assert sorted(renamed) == sorted(map(str, wanted.collect()))
+
+
+def test_refused_arguments(spark):
+    frame = spark.createDataFrame([tuple(EDGES[0].values())], SCHEMA).withColumnRenamed("sex", "numerator")
+    with pytest.raises(ValueError, match="kept"):
+        analyse(frame, ["a"], ["numerator"], Study(PREVALENCE, YEARLY), keep_strata=True)
+    with pytest.raises(ValueError, match="nothing"):
+        analyse(frame, ["a"], [], Study(PREVALENCE, YEARLY), overall=False)
     with pytest.raises(ValueError):
         analyse(frame, [], [], Study(PREVALENCE, YEARLY))
 
 
+def test_both_measures_in_one_table(spark):
+    frame = spark.createDataFrame([tuple(p.values()) for p in some_people(200, seed=4)], SCHEMA)
+    studies = [Study(INCIDENCE, MONTHLY), Study(PREVALENCE, YEARLY)]
+    cells = rate_cells(frame, ["a", "b"], ["sex"], studies)
+    both = crude_rates(cells, studies, ["a", "b"], ["sex"])
+    for study in studies:
+        alone = analyse(frame, ["a", "b"], ["sex"], study).withColumnRenamed(study.measure, "Rate")
+        alone = alone.withColumn("Denominator", alone["Denominator"].cast("double"))
+        mine = both.where(both["Measure"] == study.measure).drop("Measure")
+        assert sorted(map(str, mine.collect())) == sorted(map(str, alone.collect()))
+
+
 def test_cohort_long(spark):
     frame = spark.createDataFrame([tuple(EDGES[0].values())], SCHEMA)
     rows = cohort_long(frame, ["a", "b"], ["sex", ["sex", "band"]]).collect()

@@ -147,6 +147,34 @@ def test_standardised_rates_follow_their_own_counts(spark, weights):
     assert {(r["Group"], r["Subgroup"]): r["Numerator"] for r in attached} == {
         ("by_a", "AB"): 11, ("by_a", "C"): 2, ("by_ab", "AB, 1"): 30, ("Overall", "Overall"): 12
     }
-    safe = disclosure.suppress_standardised(dsr, numerators, BREAKDOWNS, 10, PREVALENCE)
+    whole = standardise.std_parts(crude, standardise.breakdown_groups(BREAKDOWNS), whole=True)
+    counted = standardise.standardise(whole, weights, BREAKDOWNS, PREVALENCE, counted=True)
+    apart = disclosure.attach_numerators(dsr, numerators, BREAKDOWNS)
+    assert sorted(map(str, counted.select(apart.columns).collect())) == sorted(map(str, apart.collect()))
+    safe = disclosure.suppress_standardised(counted, 10, PREVALENCE)
     assert safe.columns == dsr.columns
     assert {(r["Group"], r["Subgroup"]) for r in safe.collect() if r["Prevalence"] is None} == {("by_a", "C")}
+
+
+def test_overall_rate_pools_the_cells_of_a_finer_group(spark, weights):
+    """One rate per condition and date, Ireland included, from a group of three columns."""
+    cells = [
+        cell("AGE, SEX, a", "0-16", "F", 2, 40, "Ireland"),
+        cell("AGE, SEX, a", "0-16", "F", 6, 20, "x"),
+        cell("AGE, SEX, a", "17+", "F", 4, 50, "x"),
+    ]
+    breakdowns = {"Overall": "AGE, SEX, a", "by_a": "AGE, SEX, a"}
+    crude = spark.createDataFrame(cells, CRUDE).withColumns({"Date": F.lit(DAY), "Subgroup": F.lit("?")})
+    found = standardise.standardise(standardise.std_parts(crude, ["AGE, SEX, a"]), weights, breakdowns, PREVALENCE, per=1.0)
+    rates_of = {(r["Group"], r["Subgroup"]): r["Prevalence"] for r in found.collect()}
+    assert rates_of == {
+        ("Overall", "Overall"): pytest.approx((30 * 2 / 40 + 30 * 6 / 20 + 60 * 4 / 50) / 120),
+        ("by_a", "x"): pytest.approx((30 * 6 / 20 + 60 * 4 / 50) / 90),
+    }
+
+
+def test_labels_of_any_number_of_parts(spark):
+    label = ", ".join(f"part{i}" for i in range(1500))
+    row = standardise.split_std_group(spark.createDataFrame([("g", label)], "`Group` string, Subgroup string")).first()
+    assert row["Subgroup"] == ", ".join(f"part{i}" for i in range(2, 1500))
+    assert standardise.split_std_group(spark.createDataFrame([("g", "one")], "`Group` string, Subgroup string")).first()["Subgroup"] == ""
