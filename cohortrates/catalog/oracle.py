@@ -4,13 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from ..functions.limits import exact_limits, normal_quantile
 from ..operators.grid import INCIDENCE, Study
-from ..operators.rates import IDLE_SHARE, OVERALL, PER_PERSONS, strata_columns, strata_lists
+from ..operators.rates import OVERALL, PER_PERSONS, strata_columns, strata_lists
 from . import views
 from .settings import CONDITIONS, DIGITS
 
 
+#: The normal quantile and the exact Poisson limits of 0 to 9 events at 95 percent.
+Z = 1.9599639845400536
+EXACT = (
+    (None, 3.688879454113936),
+    (0.025317807984289842, 5.571643390938899),
+    (0.2422092785439643, 7.224687667723961),
+    (0.6186721228956016, 8.767273069742327),
+    (1.0898653736263242, 10.241588675403698),
+    (1.62348639011842, 11.66833207932267),
+    (2.20189425349085, 13.059474022518685),
+    (2.814363051519866, 14.422675361702378),
+    (3.4538321767484996, 15.763189220193315),
+    (4.115373097378331, 17.08480345141917),
+)
+
+#: Fixed value: what a person who is not at risk adds to the person-time, as a share of the period.
+IDLE_SHARE = "1e-8"
+
+
 def with_views(body: str, **ctes: str) -> str:
     """``body`` with the derived inputs it names put before it."""
     known = {
@@ -30,15 +48,14 @@ def rounded(expression: str, digits: int = DIGITS) -> str:
     return f"round({expression}, {digits})"
 
 
-def byar(count: str, upper: bool, alpha: float = 0.05) -> str:
-    z = repr(normal_quantile(alpha))
+def byar(count: str, upper: bool) -> str:
     whens = " ".join(
         f"when {n} then {'null' if limits[upper] is None else repr(limits[upper])}"
-        for n, limits in enumerate(exact_limits(alpha))
+        for n, limits in enumerate(EXACT)
     )
     size = f"(cast({count} as double){' + 1' if upper else ''})"
     sign = "+" if upper else "-"
-    core = f"(1 - 1 / (9 * {size}) {sign} {z} / (3 * sqrt({size})))"
+    core = f"(1 - 1 / (9 * {size}) {sign} {Z} / (3 * sqrt({size})))"
     return f"(case {count} {whens} else {size} * {core} * {core} * {core} end)"
 
 
@@ -76,7 +93,7 @@ def counted(study: Study, strata=()) -> str:
         denominator = (
             f"sum(case when {at_risk} then date_diff('day', greatest(i, lo), least(x, coalesce(e, x), hi)) "
             f"else 0 end) / cast(date_diff('day', lo, hi) as double) "
-            f"+ {IDLE_SHARE!r} * (count(*) - sum(case when {at_risk} then 1 else 0 end))"
+            f"+ {IDLE_SHARE} * (count(*) - sum(case when {at_risk} then 1 else 0 end))"
         )
     else:
         numerator = "i <= lo and x >= lo and e <= lo"

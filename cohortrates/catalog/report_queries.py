@@ -13,8 +13,9 @@ from .settings import CONDITIONS, INC, PREV, STRATA
 CATEGORICAL = ["SEX", "AGE_CATEGORY", "pat_catg_a", "pat_catg_b", "early"]
 NUMERIC = ["balance", "follow_up"]
 GROUP_BY = "has_b"
+GROUPS = ["no", "yes"]
 
-CHART_GROUPS = ["Overall", "SEX", "pat_catg_a", "AGE_CATEGORY, SEX, pat_catg_a, pat_catg_b"]
+CHART_GROUPS = ["Overall", "SEX", "SEX, pat_catg_b", "AGE_CATEGORY, SEX, pat_catg_b, pat_catg_a"]
 CHART_CUT = 40
 BINS = 12
 PANEL_SIZE = 7
@@ -43,9 +44,7 @@ def table1_numeric(spark: SparkSession, sf_dir: str, group: str | None = None) -
 
 
 def chi_square_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cohort = described(spark, sf_dir)
-    counts = describe.level_counts(cohort, CATEGORICAL, GROUP_BY)
-    return rounded(describe.chi_square(counts, describe.two_groups(cohort, GROUP_BY)))
+    return rounded(describe.chi_square(describe.level_counts(described(spark, sf_dir), CATEGORICAL, GROUP_BY)))
 
 
 def t_test_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +52,8 @@ def t_test_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table1_formatted(spark: SparkSession, sf_dir: str, group: str | None = None) -> DataFrame:
-    return describe.formatted_table(described(spark, sf_dir), CATEGORICAL, NUMERIC, group)
+    groups = GROUPS if group else None
+    return describe.formatted_table(described(spark, sf_dir), CATEGORICAL, NUMERIC, group, groups=groups)
 
 
 def charted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,10 +260,10 @@ def limit_ctes(measure: str, source: str) -> dict[str, str]:
 
 
 SERIES_SQL = oracle.with_views(
-    'select "Condition", "Group", Subgroup, "Date", round(Incidence, 6) as Incidence, round(Lower_CI, 6) as Lower_CI, '
+    'select "Condition", "Group", coalesce(Subgroup, \'Null\') as Subgroup, "Date", round(Incidence, 6) as Incidence, round(Lower_CI, 6) as Lower_CI, '
     "round(Upper_CI, 6) as Upper_CI from charted where \"Group\" in ("
     + ", ".join(f"'{g}'" for g in CHART_GROUPS)
-    + ') and ("Condition", "Group") in (select ("Condition", "Group") from charted where Incidence is not null)',
+    + ") and Incidence is not null",
     **chart_ctes(),
 )
 
@@ -274,9 +274,9 @@ LIMIT_SQL = oracle.with_views(
 
 ERROR_SQL = oracle.with_views(
     'select "Condition", "Group", Subgroup, "Date", round(Prevalence, 6) as Prevalence, '
-    "case when Prevalence is not null then round(least(coalesce(Upper_CI, y_min + span), y_min + span) - Prevalence, 6) end as error_up, "
-    "case when Prevalence is not null then round(Prevalence - greatest(coalesce(Lower_CI, y_min), y_min), 6) end as error_down "
-    'from crude join limits using ("Condition", "Group")',
+    "round(least(coalesce(Upper_CI, y_min + span), y_min + span) - Prevalence, 6) as error_up, "
+    "round(Prevalence - greatest(coalesce(Lower_CI, y_min), y_min), 6) as error_down "
+    'from crude join limits using ("Condition", "Group") where Prevalence is not null',
     **(oracle.crude_ctes(PREV, [["PRACTICE_ID", "SEX"], "SEX"]) | limit_ctes(PREV.measure, "crude")),
 )
 

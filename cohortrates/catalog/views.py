@@ -78,7 +78,7 @@ def reference_population(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def practice_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").where("n_regionkey <> 2").select(
-        _practice("n_nationkey").alias("id_a"), _practice("n_nationkey").alias("id_b")
+        _practice("n_nationkey").alias("id_a"), F.concat(F.lit("p"), ((F.col("n_nationkey") + 7) % 25).cast("string")).alias("id_b")
     )
 
 
@@ -130,7 +130,7 @@ from part
 
 V_PRACTICE_MAP = """
 select concat('p', cast(n_nationkey as varchar(9))) as id_a,
-       concat('p', cast(n_nationkey as varchar(9))) as id_b
+       concat('p', cast((n_nationkey + 7) % 25 as varchar(9))) as id_b
 from nation where n_regionkey <> 2
 """
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import named, quoted
@@ -21,6 +21,9 @@ TICKS = 5
 TICK_PARTS = 10
 
 
+#: The largest number that is not infinite.
+MOST = 1.7976931348623157e308
+
 #: Subgroup of rows without one, and of everybody where no subgroup is asked for.
 NO_SUBGROUP = "Null"
 EVERYBODY = "Overall"
@@ -41,22 +44,32 @@ def _subgroup(column: str | None) -> Column:
 
 
 def drop_missing(results: DataFrame, measure: str) -> DataFrame:
-    return results.where(named(measure).isNotNull())
+    """Rows with a value that can be drawn: neither missing nor NaN nor infinite."""
+    value = named(measure).cast("double")
+    return results.where(value.between(-MOST, MOST))
+
+
+def _in_order(column: str, panel: Sequence[str]) -> tuple[str, str]:
+    """SQL to sort the labels of each panel by: as numbers if all are numbers, else as text."""
+    keys = ", ".join(quoted(k) for k in panel)
+    number = f"try_cast(nullif({quoted(column)}, '{NO_SUBGROUP}') AS double)"
+    every = f"bool_and({number} IS NOT NULL OR {quoted(column)} = '{NO_SUBGROUP}') OVER (PARTITION BY {keys})"
+    return f"CASE WHEN {every} THEN {number} END", quoted(column)
 
 
 def report_series(
     results: DataFrame, measure: str, groups: Sequence[str], ignore: Sequence[str] = ()
 ) -> DataFrame:
-    """Points of each panel in order of date; panels without any value are left out.
+    """Points of each panel in order of subgroup and date. Points without a value are not drawn.
 
-    The panels to keep are one row per condition and group.
+    Missing subgroups read ``Null``; where all others of a panel are numbers, they are ordered as such.
     """
-    points = without(results, ignore).where(F.col("Group").isin(*groups)).select(
-        *PANEL, "Subgroup", F.col("Date").cast("date").alias("Date"),
+    points = drop_missing(without(results, ignore).where(F.col("Group").isin(*groups)), measure).select(
+        *PANEL, _subgroup("Subgroup"), F.col("Date").cast("date").alias("Date"),
         *[named(c).cast("double").alias(c) for c in [measure, *LIMITS]],
-    )
-    panels = drop_missing(points, measure).select(*PANEL).distinct()
-    return points.join(panels, PANEL, "left_semi").orderBy(*PANEL, "Subgroup", "Date")
+    )
+    size, label = _in_order("Subgroup", PANEL)
+    return points.withColumn("size", F.expr(size)).orderBy(*PANEL, F.col("size").asc_nulls_last(), F.expr(label), "Date").drop("size")
 
 
 def _rounded_span(span: Column) -> Column:
@@ -65,38 +78,47 @@ def _rounded_span(span: Column) -> Column:
     return F.when(span == 0, 0.0).otherwise(F.ceil(span / power / 0.5) * 0.5 * power)
 
 
+def _axis(low: Column, high: Column) -> tuple[Column, Column]:
+    """Lower end and span of an axis that shows values from ``low`` to ``high``."""
+    bottom = F.when(low >= 0, 0.0).otherwise(low + low / HEADROOM)
+    return bottom, _rounded_span(high + high / HEADROOM - bottom)
+
+
 def panel_limits(results: DataFrame, measure: str, panel: Sequence[str] = PANEL) -> DataFrame:
-    """Lower and upper end of each panel's value axis, and the distance of its marks."""
-    low, high = F.min(named(measure).cast("double")), F.max(named(measure).cast("double"))
-    ends = drop_missing(results, measure).groupBy(*panel).agg(
-        F.when(low >= 0, 0.0).otherwise(low + low / HEADROOM).alias("y_min"),
-        (high + high / HEADROOM).alias("y_top"),
-    )
-    return ends.withColumn("span", _rounded_span(F.col("y_top") - F.col("y_min"))).select(
-        *panel,
-        "y_min",
-        (F.col("y_min") + F.col("span")).alias("y_max"),
-        (F.col("span") / TICKS / TICK_PARTS).alias("tick"),
-    )
+    """Lower and upper end of each panel's value axis, and the distance of its marks.
+
+    With panels made of a larger whole, give the columns of that whole for one axis that all share.
+    """
+    value = named(measure).cast("double")
+    ends = drop_missing(results, measure).groupBy(*panel).agg(F.min(value).alias("low"), F.max(value).alias("high"))
+    bottom, span = _axis(F.col("low"), F.col("high"))
+    return ends.select(*panel, bottom.alias("y_min"), (bottom + span).alias("y_max"), (span / TICKS / TICK_PARTS).alias("tick"))
 
 
 def error_bars(results: DataFrame, measure: str, panel: Sequence[str] = PANEL) -> DataFrame:
-    """Length of the error bars up and down, ending at the axis where a limit is beyond it or absent."""
-    value = named(measure).cast("double")
-    points = results.join(panel_limits(results, measure, panel), list(panel))
+    """Length of the error bars up and down, ending at the axis where a limit is beyond it or absent.
+
+    Points without a value have none. The axis of a panel is found by a window over its points.
+    """
+    value, whole = named(measure).cast("double"), Window.partitionBy(*panel)
+    points = drop_missing(results, measure).withColumns(
+        {"axis low": F.min(value).over(whole), "axis high": F.max(value).over(whole)}
+    )
+    bottom, span = _axis(named("axis low"), named("axis high"))
     return points.select(
         *[named(c) for c in [*panel, "Subgroup", "Date", measure]],
-        (F.least(F.col("Upper_CI").cast("double"), F.col("y_max")) - value).alias("error_up"),
-        (value - F.greatest(F.col("Lower_CI").cast("double"), F.col("y_min"))).alias("error_down"),
+        (F.least(F.col("Upper_CI").cast("double"), bottom + span) - value).alias("error_up"),
+        (value - F.greatest(F.col("Lower_CI").cast("double"), bottom)).alias("error_down"),
     )
 
 
 def histogram_bins(df: DataFrame, x: str, subgroup: str | None, bins: int) -> DataFrame:
     """Rows per subgroup and equal-width bin of ``x``; the last bin includes the largest value.
 
-    The range of ``x`` is read first, one row, so that the bins are literals of the plan.
+    Values that are missing, NaN or infinite lie in no bin. The range of ``x`` is read first, one row, so
+    that the bins are literals of the plan.
     """
-    rows = df.select(_subgroup(subgroup), named(x).cast("double").alias("x")).where("x IS NOT NULL")
+    rows = drop_missing(df.select(_subgroup(subgroup), named(x).cast("double").alias("x")), "x")
     low, high = rows.agg(F.min("x"), F.max("x")).first()
     if low is None:
         low = high = 0.0

@@ -25,7 +25,6 @@ def test_series_are_ordered_and_empty_panels_left_out(points):
     assert [(r["Condition"], r["Group"], r["Subgroup"], r["Date"]) for r in rows] == [
         ("c", "SEX", "F", date(2001, 7, 1)),
         ("c", "SEX", "F", date(2002, 7, 1)),
-        ("c", "SEX", "M", date(2001, 7, 1)),
         ("d", "SEX", "F", date(2001, 7, 1)),
     ]
     assert rows[1]["Prevalence"] == 40.0
@@ -42,7 +41,27 @@ def test_axis_and_error_bars(points):
     assert (clipped["error_up"], clipped["error_down"]) == (10, 10)
     absent = bars["c", "SEX", "2001-07-01", "F"]
     assert (absent["error_up"], absent["error_down"]) == (5, 20)
-    assert bars["c", "SEX", "2001-07-01", "M"]["error_up"] is None
+    assert ("c", "SEX", "2001-07-01", "M") not in bars
+    # panels of a level split can share one axis
+    shared = {r["Condition"]: r["y_max"] for r in series.panel_limits(points, "Prevalence", ["Condition"]).collect()}
+    assert shared["c"] == 50
+
+
+def test_subgroups_are_ordered_as_numbers_where_they_are(spark):
+    labels = [("n", x) for x in ("10", "2", None, "1.5")] + [("s", x) for x in ("10", "2", "x")]
+    frame = spark.createDataFrame([("c", g, x, "2001-07-01", "1", "1", "1") for g, x in labels], SCHEMA)
+    found = [(r["Group"], r["Subgroup"]) for r in series.report_series(frame, "Prevalence", ["n", "s"]).collect()]
+    assert found == [("n", "1.5"), ("n", "2"), ("n", "10"), ("n", "Null"), ("s", "10"), ("s", "2"), ("s", "x")]
+
+
+def test_numbers_that_cannot_be_drawn(spark):
+    odd = [float("nan"), float("inf"), float("-inf"), None]
+    frame = spark.createDataFrame([("c", "g", "s", v) for v in [*odd, 0.0, 10.0]], "Condition string, `Group` string, Subgroup string, v double")
+    row = series.panel_limits(frame, "v").first()
+    assert (row["y_min"], row["y_max"]) == (0, pytest.approx(15))
+    bins = series.histogram_bins(frame, "v", None, 2).collect()
+    assert sorted((r["bin"], r["lower"], r["upper"], r["n"]) for r in bins) == [(1, 0.0, 5.0, 1), (2, 5.0, 10.0, 1)]
+    assert series.histogram_bins(frame.where("isnan(v)"), "v", None, 2).count() == 0
 
 
 def test_negative_values_widen_the_axis(spark):
