@@ -63,11 +63,6 @@ def clean_condition(col: Column) -> Column:
     return F.regexp_replace(col, "_|:|BD_MEDI", "")
 
 
-def ratio(top: Column, bottom: Column) -> Column:
-    """``top / bottom``, null where the bottom is zero."""
-    return F.try_divide(top.cast("double"), bottom.cast("double"))
-
-
 def rounded_text(col: Column, digits: int) -> Column:
     """A number rounded for print: at least one decimal, no further trailing zeros."""
     fixed = F.round(col, digits).cast(T.DecimalType(38, max(digits, 1))).cast("string")

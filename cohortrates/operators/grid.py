@@ -22,6 +22,10 @@ def step_date(day: date, years: int = 0, months: int = 0, days: int = 0) -> date
     return date(year, month + 1, min(day.day, last)) + timedelta(days=days)
 
 
+#: Corrections of a guessed position that are written out.
+CORRECTIONS = 3
+
+
 @dataclass(frozen=True)
 class StudyGrid:
     """Ascending dates, held on the driver; one entry per study period."""
@@ -60,12 +64,24 @@ class StudyGrid:
     def date_of(self, position: str) -> str:
         return f"date_add(date'{self.dates[0]}', {self.offset_of(position)})"
 
+    def _halved(self, day: str, low: int, high: int) -> str:
+        """SQL for the position of a day that lies from one grid date up to before another."""
+        if high - low <= 1:
+            return str(low)
+        middle = (low + high) // 2
+        return (
+            f"CASE WHEN {day} < {self.offsets[middle]} THEN {self._halved(day, low, middle)} "
+            f"ELSE {self._halved(day, middle, high)} END"
+        )
+
     def position(self, day: str) -> str:
         """SQL for the position of the last grid date not after ``day``: -1 before the first.
 
         Grid dates are nearly evenly spaced, so a proportional guess is corrected by comparing it
         with its neighbours. The number of corrections is the largest error of the guess, found
-        here on the driver, so the cost per row does not grow with the length of the grid.
+        here on the driver, so the cost per row does not grow with the length of the grid. Each
+        correction repeats the guess three times in the SQL, so a grid that would need more than
+        ``CORRECTIONS`` is searched by halves.
         """
         offsets = self.offsets
         last = len(offsets) - 1
@@ -77,6 +93,8 @@ class StudyGrid:
             for at in range(last)
             for d in (offsets[at], offsets[at + 1] - 1)
         ]
+        if max(errors) > CORRECTIONS:
+            return f"CASE WHEN {day} < 0 THEN -1 WHEN {day} >= {span} THEN {last} ELSE {self._halved(day, 0, last)} END"
         guess = f"int({day} * {last}L div {span}L)"
         for _ in range(max(errors)):
             guess = (

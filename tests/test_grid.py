@@ -54,3 +54,14 @@ def test_position_is_the_last_date_not_after(spark, start, step):
     placed = rows.selectExpr("d", f"{grid.day('d')} AS day").selectExpr("d", f"{grid.position('day')} AS p").collect()
     for row in placed:
         assert row["p"] == sum(g <= row["d"] for g in grid.dates) - 1, row
+
+
+def test_uneven_grids_find_positions(spark):
+    """Dates that crowd at the start, so that a proportional guess is far off."""
+    days = sorted({date.fromordinal(date(2000, 1, 1).toordinal() + d) for d in [*range(40), 60, 100, 5_000, 9_000, 9_001, 20_000]})
+    grid = StudyGrid(tuple(days))
+    sql = grid.position("d")
+    assert len(sql) < 20_000
+    offsets = [(d - days[0]).days for d in days]
+    found = spark.range(-3, 20_010, 7).selectExpr("int(id) AS d").selectExpr("d", f"{sql} AS at").collect()
+    assert all(r["at"] == sum(o <= r["d"] for o in offsets) - 1 for r in found)
