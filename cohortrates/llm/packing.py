@@ -23,8 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
-from .tokens import WORD_PIECES, encoder, vocabulary
+from .common import sheltered, text_of
+from .tokens import WORDS, encoder, vocabulary
 
 WINDOW = 2048
 END = 1
@@ -169,12 +169,13 @@ def pack(
     """
     path = path or vocabulary("word_bpe_49k.json")
     tail = struct.pack("<I", end)
+    docs, _ = sheltered(docs, "doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = []
 
         def documents() -> Iterator[tuple[object, bytes]]:
-            encode = encoder(path, WORD_PIECES)
+            encode = encoder(path, WORDS)
             for batch in batches:
                 seen[:] = [batch.schema.field(0).type]
                 for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):

@@ -22,9 +22,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settled, shared_folder, text_of
+from .common import settled, shared_folder, sheltered, text_of
 from .files import create, open_random
-from .tokens import BYTE_PIECES, encoder, vocabulary
+from .tokens import BYTES, encoder, vocabulary
 
 #: Fixed values of the seekable format and of the skippable frame that holds the index.
 SEEK_MAGIC, SEEK_FOOTER, INDEX_MAGIC, CHECKED = 0x184D2A5E, 0x8F92EAB1, 0x184D2A5B, 0x80
@@ -147,7 +147,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end: int = END,
         writer = None
         for batch in batches:
             if writer is None and batch.num_rows:
-                encode, shard = encoder(path, BYTE_PIECES), TaskContext.get().partitionId()
+                encode, shard = encoder(path, BYTES), TaskContext.get().partitionId()
                 name, out = create(folder, f"part-{shard:06d}", ".ids.zst")
                 writer = Writer(out, frame)
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -156,6 +156,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end: int = END,
             writer.close()
             yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [name], "n_docs": [len(writer.docs)], "n_ids": [writer.total]})
 
+    docs, _ = sheltered(docs, "doc_id", "text")
     rows = docs.select(F.col("doc_id").cast("long"), text_of("text").alias("text"))
     dealt = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
     return settled(dealt.mapInArrow(run, "shard long, path string, n_docs long, n_ids long"), "token-manifest")

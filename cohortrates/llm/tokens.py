@@ -1,8 +1,9 @@
 """Token ids of whole texts as bytes, with the ids of repeated pieces remembered.
 
-The tokenizers library encodes pieces of text between which no token can reach. A piece that came
-before is looked up. The results equal those of encoding each text at once, and a text with white space
-other than ASCII's, where a piece could end differently, is encoded at once.
+Texts are cut where no token can reach across, into pieces and these into words. A word that came before
+is looked up; for a new one the library's model applies its merges. The results equal those of encoding
+each text at once. Where a cut could differ from the library's own, the library gets the whole: a text
+with white space other than ASCII's, a piece with letters beyond Latin-1.
 """
 
 from __future__ import annotations
@@ -11,21 +12,61 @@ import re
 import struct
 import sys
 from collections.abc import Callable
+from dataclasses import dataclass
 from types import ModuleType
 
 import numpy as np
+import regex
 
-#: Pieces a Python worker remembers, about 200 bytes each; only speed depends on it.
-REMEMBERED = 600_000
+#: Pieces and words a Python worker remembers, about 200 bytes each; only speed depends on it.
+REMEMBERED = 1_000_000
 
 #: White space or controls that tokenizers treat in ways of their own.
 UNUSUAL = re.compile("[\x00-\x08\x0e-\x1f\x7f\x85\xa0 ᠎ -‏    ⁠　﻿]")
 
+
+@dataclass(frozen=True)
+class Scheme:
+    """How a vocabulary cuts texts: into pieces at ASCII white space, these into words; all in lower case or not."""
+
+    pieces: Callable[[str], list[str]]
+    words: regex.Pattern
+    lower: bool
+
+
 #: Words with the one space before them; runs of space without their last character; other space.
-BYTE_PIECES = re.compile(r" ?[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+(?![^ \t\n\r\x0b\x0c])|[ \t\n\r\x0b\x0c]")
+SPACED = re.compile(r" ?[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+(?![^ \t\n\r\x0b\x0c])|[ \t\n\r\x0b\x0c]")
+
+#: Where a text holds one of these, SPACED cuts it; elsewhere each space and line end stands alone.
+RUNS = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c")
+
+
+def spaced_pieces(text: str) -> list[str]:
+    """What SPACED finds in a text without unusual characters, by plain cuts where white space is single."""
+    if any(run in text for run in RUNS):
+        return SPACED.findall(text)
+    return text.replace(" ", "\x01 ").replace("\n", "\x01\n\x01").split("\x01")
+
+
+BYTES = Scheme(
+    spaced_pieces,
+    regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"),
+    lower=False,
+)
+
+#: Words alone, numbers by digit; white space is no part of any token.
+WORDS = Scheme(
+    str.split,
+    regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"),
+    lower=True,
+)
+
 
-#: Words alone.
-WORD_PIECES = re.compile(r"[^ \t\n\r\x0b\x0c]+")
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write bytes as: printable ones as they are, others from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 def vocabulary(name: str) -> str:
@@ -56,22 +97,28 @@ class _Known(dict):
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids, without any id added."""
 
-    def __init__(self, path: str, pieces: re.Pattern, remembered: int = REMEMBERED):
+    def __init__(self, path: str, scheme: Scheme, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.normal, self.split, self.model = self.library.normalizer, self.library.pre_tokenizer, self.library.model
-        self.find = pieces.findall
-        self.words = _Known(self._word, remembered)
+        self.merge, self.letters = self.library.model.tokenize, _byte_letters()
+        self.pieces, self.split, self.lower = scheme.pieces, scheme.words.findall, scheme.lower
         self.known = _Known(self._piece, remembered)
 
     def _word(self, word: str) -> bytes:
-        return struct.pack(f"<{len(t := self.model.tokenize(word))}I", *[x.id for x in t])
+        ids = [t.id for t in self.merge(word.encode().decode("latin-1").translate(self.letters))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _piece(self, piece: str) -> bytes:
-        shown = self.normal.normalize_str(piece) if self.normal else piece
-        return b"".join([self.words[w] for w, _ in self.split.pre_tokenize_str(shown)])
+        if not piece.isascii() and max(piece) > "\xff":
+            return self.whole(piece)
+        if self.lower:
+            piece = piece.lower()
+        if piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()):
+            return self._word(piece)
+        words = self.split(piece)
+        return self._word(words[0]) if len(words) == 1 else b"".join([self.known[w] for w in words])
 
     def whole(self, text: str) -> bytes:
         """The ids that the library gives for the text at once."""
@@ -80,16 +127,16 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         if UNUSUAL.search(text):
             return self.whole(text)
-        return b"".join(map(self.known.__getitem__, self.find(text)))
+        return b"".join(map(self.known.__getitem__, self.pieces(text)))
 
 
-def encoder(path: str, pieces: re.Pattern) -> Encoder:
+def encoder(path: str, scheme: Scheme) -> Encoder:
     """The encoder of this Python worker, kept between its tasks."""
     kept = sys.modules.setdefault("cohortrates_worker_state", ModuleType("cohortrates_worker_state"))
     made = kept.__dict__.setdefault("encoders", {})
-    if (path, pieces.pattern) not in made:
-        made[path, pieces.pattern] = Encoder(path, pieces)
-    return made[path, pieces.pattern]
+    if path not in made:
+        made[path] = Encoder(path, scheme)
+    return made[path]
 
 
 def ids_of(data: bytes) -> np.ndarray:
