@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settled, text_key, text_of
+from .common import settled, sheltered, text_key, text_of
 
 NGRAM = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -26,7 +26,7 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 #: Share of the score of a verbatim copy from which a passage counts as a copy of the item.
 SIMILARITY = 0.5
 
-#: Bits of the maps that tell which words and n-grams any item has: fixed, so their size is.
+#: Bits of the maps that tell which words and n-grams any item has: fixed powers of two, so their size is.
 WORD_BITS, GRAM_BITS = 1 << 22, 1 << 24
 
 WORD = re.compile(r"[^\W_]+")
@@ -95,7 +95,7 @@ def _bitmap(values: DataFrame, column: str, bits: int) -> np.ndarray:
 
 
 def _marked(marks: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
-    places = (hashes.view(np.int64) % bits).astype(np.int64)
+    places = (hashes & np.uint64(bits - 1)).astype(np.int64)
     return (marks[places >> 3] >> (places & 7)) & 1 == 1
 
 
@@ -126,6 +126,7 @@ def passages(docs: DataFrame, items: DataFrame) -> DataFrame:
     sizes = range(min(shortest, NGRAM), NGRAM + 1)
     word_marks = _bitmap(items.select(F.explode("words").alias("h")), "h", WORD_BITS)
     gram_marks = _bitmap(items.select(F.explode("grams").alias("h")), "h", GRAM_BITS)
+    word_bytes = word_marks.tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
@@ -134,7 +135,8 @@ def passages(docs: DataFrame, items: DataFrame) -> DataFrame:
             if len(known) > 300_000:
                 known.clear()
             h = word_hash(word)
-            known[word] = h = h if _marked(word_marks, np.array([h], dtype=np.uint64), WORD_BITS)[0] else 0
+            bit = h & (WORD_BITS - 1)
+            known[word] = h = h if word_bytes[bit >> 3] >> (bit & 7) & 1 else 0
             return h
 
         for batch in batches:
@@ -195,6 +197,7 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
     Similarity is the alignment's score as a share of a verbatim copy's. Texts and items without words
     match nothing; null ids are ids like any other; equal rows share one answer. Words are numbered from 0.
     """
+    docs, items = sheltered(docs, "doc_id", "text")[0], sheltered(items, "item_id", "text")[0]
     own = settled(item_words(items), "benchmark-words")
     found = settled(passages(docs, own).withColumn("passage", F.monotonically_increasing_id()), "passages")
     pairs = (
@@ -235,7 +238,8 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that hold no copy of an item, with all their columns."""
+    docs, restored = sheltered(docs, "doc_id", "text")
     found = settled(contaminated(docs, items, similarity), "contaminated").select(F.col("doc_id").alias("_id"), F.col("t").alias("_t"))
     keyed = docs.withColumn("_k", text_key(text_of(docs["text"]))["a"])
     same = keyed["doc_id"].eqNullSafe(found["_id"]) & (keyed["_k"] == found["_t"])
-    return keyed.join(found, same, "left_anti").drop("_k")
+    return restored(keyed.join(found, same, "left_anti"))
