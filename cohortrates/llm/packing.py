@@ -21,7 +21,6 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import sheltered, text_of
 from .tokens import WORDS, encoder, vocabulary

@@ -6,7 +6,6 @@ A query only applies its operator to whole tables and derives the columns its co
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import decontaminate, html_extract, license_scan, line_dedup, packing, quality_classifier, quality_rules, simhash, token_files, warc
 from .common import table

@@ -36,8 +36,6 @@ BLOCK = 1024
 #: A split that leaves more than this share of the comparisons is not worth making.
 WORTH = 0.8
 
-MIX = np.uint64(0x9E3779B97F4A7C15)
-
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     """The 64-bit SimHash of a text: words split at ASCII white space, A-Z lower-cased; 0 without words."""

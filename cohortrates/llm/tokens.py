@@ -137,7 +137,3 @@ def encoder(path: str, scheme: Scheme) -> Encoder:
     if path not in made:
         made[path] = Encoder(path, scheme)
     return made[path]
-
-
-def ids_of(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, dtype="<u4")
