@@ -1,14 +1,14 @@
-"""Training passages that copy benchmark items: rare n-gram seeds, then Smith-Waterman alignment.
+"""Training passages that copy benchmark items: n-gram seeds, then Smith-Waterman alignment.
 
-Words are case-folded letter and digit runs. Of each item, the n-grams are seeds that are no more frequent
-in the corpus than the item's median one; that holds for at least half of them, however often an item was
-copied. A text is cut to passages around its n-grams that some item has, and passages meet items by
-joining seeds. Each pair is aligned locally by words, so edits, insertions and gaps cost, but do not
-hide, a copy.
+Words are case-folded letter and digit runs. Every n-gram of an item is a seed, however frequent, so a copy
+meets its item if a single one is left whole. A text is cut to passages around its n-grams that some item
+has, and passages meet items by joining seeds. Pairs with too few common words for the threshold are passed
+over; all others are aligned locally by words, so edits, insertions and gaps cost, but do not hide, a copy.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -115,14 +115,17 @@ def item_words(items: DataFrame) -> DataFrame:
     return named.mapInArrow(run, f"item_id {kind}, item long, words array<long>, grams array<long>").where("size(words) > 0")
 
 
-def passages(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The parts of texts that hold n-grams of items, widened on both sides by the longest item.
+def passages(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The parts of texts that hold n-grams of items, widened on both sides by the longest copy of an item.
+
+    Of n words, a copy has at most n matches, and errors cost it at most 2n(1 - similarity) words more.
 
     One row per passage: doc_id, ``t`` (tells texts of one id apart), ``at`` (its first word's number), its
     word hashes, and its n-grams that some item has. The maps may let others through; the join does not.
     """
     longest = items.agg(F.max(F.size("words")), F.min(F.size("words"))).first()
-    reach, shortest = longest[0] or 0, longest[1] or NGRAM
+    reach = math.ceil((longest[0] or 0) * (1 + MATCH * max(0.0, 1 - similarity)))
+    shortest = longest[1] or NGRAM
     sizes = range(min(shortest, NGRAM), NGRAM + 1)
     word_marks = _bitmap(items.select(F.explode("words").alias("h")), "h", WORD_BITS)
     gram_marks = _bitmap(items.select(F.explode("grams").alias("h")), "h", GRAM_BITS)
@@ -183,14 +186,6 @@ def passages(docs: DataFrame, items: DataFrame) -> DataFrame:
     return named.mapInArrow(run, f"doc_id {kind}, t long, at long, words array<long>, grams array<long>")
 
 
-def rare_seeds(items: DataFrame, found: DataFrame) -> DataFrame:
-    """``gram`` and ``item``: of each item, the n-grams no more frequent among passages than its median one."""
-    frequency = found.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    own = items.select("item", F.explode("grams").alias("gram")).join(frequency, "gram", "left").fillna(0, ["n"])
-    median = own.groupBy("item").agg(F.expr("percentile_approx(n, 0.5, 10000)").alias("median"))
-    return own.join(median, "item").where("n <= median").select("gram", "item")
-
-
 def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row per text and item that it holds a copy of: doc_id, ``t``, item_id, score, similarity, first_word, n_words.
 
@@ -199,10 +194,10 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
     """
     docs, items = sheltered(docs, "doc_id", "text")[0], sheltered(items, "item_id", "text")[0]
     own = settled(item_words(items), "benchmark-words")
-    found = settled(passages(docs, own).withColumn("passage", F.monotonically_increasing_id()), "passages")
+    found = settled(passages(docs, own, similarity).withColumn("passage", F.monotonically_increasing_id()), "passages")
     pairs = (
         found.select("passage", F.explode("grams").alias("gram"))
-        .join(rare_seeds(own, found), "gram")
+        .join(own.select("item", F.explode("grams").alias("gram")), "gram")
         .select("passage", "item")
         .distinct()
     )
@@ -214,15 +209,20 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            results = []
+            results, aligned = [], []
             for i in range(batch.num_rows):
-                item = batch.column(5)[i].values.to_numpy()
-                results.append((*align(batch.column(4)[i].values.to_numpy(), item), len(item)))
+                passage, item = batch.column(4)[i].values.to_numpy(), batch.column(5)[i].values.to_numpy()
+                # no alignment has more matches than the item has words of the passage
+                if np.isin(item, passage).sum() / len(item) < similarity:
+                    continue
+                results.append((*align(passage, item), len(item)))
+                aligned.append(i)
             score, begin, end, n = (np.array(c, dtype=np.int64) for c in (zip(*results, strict=True) if results else ([], [], [], [])))
             share = score / (MATCH * np.maximum(n, 1))
             keep = pa.array(np.flatnonzero(share >= similarity))
-            first = batch.column(2).to_numpy() + begin
-            columns = [batch.column(0), batch.column(1), batch.column(3), pa.array(score), pa.array(share), pa.array(first), pa.array(end - begin)]
+            held = batch.take(pa.array(aligned, pa.int64()))
+            first = held.column(2).to_numpy() + begin
+            columns = [held.column(0), held.column(1), held.column(3), pa.array(score), pa.array(share), pa.array(first), pa.array(end - begin)]
             yield pa.RecordBatch.from_arrays([c.take(keep) for c in columns], ["doc_id", "t", "item_id", "score", "similarity", "first_word", "n_words"])
 
     ids = docs.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()

@@ -135,6 +135,33 @@ def test_copies_are_found_and_clean_texts_left(spark, items):
     assert sorted(r.doc_id for r in kept.collect()) == [*range(200, 240), 300, 301]
 
 
+def test_edited_copies_are_found_as_by_full_alignment(spark):
+    """Lone copies with 15 to 30 % of the words edited, and edited ones beside verbatim ones, against full alignment."""
+    items = {i: prose(7000 + i, 15 + i % 40) for i in range(60)} | {60: " ".join(f"step{k}" for k in range(70))}
+    rng = random.Random(11)
+    texts = {}
+    for i in range(60):
+        share = (0.15, 0.2, 0.3)[i % 3]
+        copy = edited(items[i], i, share) if i % 2 else " ".join("other" if rng.random() < share else w for w in items[i].split())
+        texts[i] = f"{prose(8000 + i, 70)} {copy} {prose(9000 + i, 70)}"
+    items |= {70: " ".join(f"rule{k}" for k in range(30))}
+    fifth = " ".join("other" if k % 5 == 4 else w for k, w in enumerate(items[70].split()))
+    texts |= {100 + k: items[70] for k in range(4)} | {200: fifth, 201: prose(1, 300)}
+    # nearly twice as long as its item, with all seeds at the beginning
+    texts |= {202: " ".join(w + (" and" if k > 3 else "") for k, w in enumerate(items[60].split()))}
+    hashed, own = ({i: np.array([decontaminate.word_hash(w) for w in decontaminate.words_of(t)], dtype=np.uint64) for i, t in side.items()} for side in (texts, items))
+    seeds, theirs = ({i: set(decontaminate.gram_hashes(h, decontaminate.NGRAM).tolist()) for i, h in side.items()} for side in (hashed, own))
+    want = {}
+    for i, j in ((i, j) for i in texts for j in items if seeds[i] & theirs[j]):
+        score = decontaminate.align(hashed[i], own[j])[0]
+        if score / (2 * len(own[j])) >= decontaminate.SIMILARITY:
+            want[i, j] = score
+    assert {(200, 70), (202, 60)} <= want.keys() and len(want) > 50
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = decontaminate.contaminated(docs, spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): r.score for r in found} == want
+
+
 def test_frequent_copies_keep_their_seeds(spark):
     """A passage in every document is as frequent as any of its n-grams, and is found in all."""
     data = [(i, f"{prose(i, 30)} the rain in spain stays mainly in the plain today {prose(i + 500, 30)}") for i in range(60)]
