@@ -124,40 +124,53 @@ def _header(page_id, record: int, url: str | None, size: int, digest: str, date:
 def write(chunks: DataFrame, found: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z", level: int = 1) -> DataFrame:
     """Write one archive per task from a chunk table; returns the archives' paths and record counts.
 
-    The payload's digest stands before the payload, so it is joined to the chunks with the revisits. The
-    chunks of a record meet in one task, in order; of a revisit only the first comes, without its data.
+    The payload's digest stands before the payload, so a row with it and the record's revisit comes before
+    the chunks, as number -1. All rows of a record meet in one task, in order: an explicit repartition, unlike
+    a join's exchange, is neither read locally nor split. Rows out of order raise Damaged.
     """
     sums = chunks.groupBy("record").agg(F.max_by("digest", "chunk_no").alias("sum"))
-    described = sums.join(found, "record", "left")
+    described = sums.join(found, "record", "left").withColumn("chunk_no", F.lit(-1).cast("long"))
     kept = (
         chunks.drop("digest")
-        .join(described, "record")
-        .where("of_record IS NULL OR chunk_no = 0")
-        .withColumn("data", F.when(F.col("of_record").isNull(), F.col("data")))
+        .unionByName(described, allowMissingColumns=True)
         .select("record", "page_id", "url", "chunk_no", "size", "data", "sum", "of_id", "of_record")
+        .repartition("record")
         .sortWithinPartitions("record", "chunk_no")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = member = None
-        count = 0
+        out = member = now = of = digest = None
+        count = due = left = 0
+
+        def close() -> None:
+            if left:
+                raise Damaged(f"record {now} lacks {left} bytes")
+            if member is not None:
+                member.close()
+
         for batch in batches:
             data = batch.column(5)
             fields = [batch.column(i).to_pylist() for i in (0, 1, 2, 3, 4, 6, 7, 8)]
-            for i, (record, page_id, url, number, size, digest, of_id, of_record) in enumerate(zip(*fields, strict=True)):
+            for i, (record, page_id, url, number, size, total, of_id, of_record) in enumerate(zip(*fields, strict=True)):
+                if number == -1:
+                    close()
+                    now, member, due, digest = record, None, 0, total
+                    of = None if of_record is None else _name(of_id, of_record)
+                    continue
+                if record != now or number != due:
+                    raise Damaged(f"chunk {number} of record {record} comes where chunk {due} of record {now} is due")
+                due += 1
                 if out is None:
                     path, out = create(folder, f"pages-{TaskContext.get().partitionId():06d}", ".warc.gz")
                 if number == 0:
-                    if member is not None:
-                        member.close()
-                    of = None if of_record is None else _name(of_id, of_record)
-                    member = _Member(out, level)
+                    member, left = _Member(out, level), 0 if of else size
                     member.write(_header(page_id, record, url, size, digest, date, of))
                     count += 1
-                if data[i].is_valid:
+                if not of:
                     member.write(data[i].as_buffer())
+                    left -= len(data[i].as_buffer())
+        close()
         if out is not None:
-            member.close()
             out.close()
             yield pa.RecordBatch.from_pydict({"path": [path], "records": [count]})
 

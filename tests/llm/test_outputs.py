@@ -16,6 +16,7 @@ import pytest
 import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cohortrates.llm import decontaminate, html_extract, line_dedup, packing, quality_classifier, simhash, token_files, warc
@@ -253,6 +254,27 @@ def test_archives_are_plain_warc(spark):
             list(warc.records(io.BytesIO(broken)))
 
 
+def test_chunks_of_a_record_meet_whatever_splits_hold_them(spark):
+    """Records lie across row groups and read splits, and the side with the digests is small enough to broadcast."""
+    pages = spark.createDataFrame([(i, f"http://h/{i}", prose(i, 6000)) for i in range(12)], "page_id long, url string, html string")
+    folder = shared_folder(spark, "test-split-chunks")
+    warc.chunk_table(pages.coalesce(1), 500).write.option("parquet.block.size", 1 << 14).option("compression", "none").parquet(folder)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 15))
+    try:
+        chunks = spark.read.parquet(folder)
+        lying = chunks.select("record", F.spark_partition_id().alias("split")).distinct().groupBy("record").count()
+        assert lying.where("count > 1").count() > 6
+        manifest = warc.write(chunks, warc.revisits(chunks, 0, 500), shared_folder(spark, "test-archives"))
+        got = warc.read(manifest).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = [(str(r.page_id), len(r.html.encode()), base64.b32encode(hashlib.sha1(r.html.encode()).digest()).decode(), "response") for r in pages.collect()]
+    assert sorted((r.page_id, r.payload_bytes, r.payload_digest, r.record_type) for r in got) == sorted(want)
+    with pytest.raises(Exception, match="comes where chunk"):
+        warc.write(chunks.where("chunk_no <> 3"), warc.revisits(chunks, 0, 500), shared_folder(spark, "test-archives"))
+
+
 def test_archives_take_no_rows(spark):
     assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
