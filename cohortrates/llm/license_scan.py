@@ -1,6 +1,8 @@
 """Licences of files: TF-IDF cosine of headers and licence files to templates, then directory inheritance.
 
-The licence statements of a file are the runs of its lines that are made of template words and hold a cue.
+The licence statements of a file are the runs of its lines that are made of template words and hold a cue,
+and the words around each cue that come closest to a template, wherever they stand in a line or across lines.
+An SPDX tag makes one term of each identifier, so identifiers are equal or not, never similar.
 Equal statements are one unit with a count, so a header in a million files is compared once. Units and
 templates meet by joining terms. A file without a licence of its own has that of the licence file in
 the nearest directory above it; ancestors are listed for directories, not for files.
@@ -9,7 +11,10 @@ the nearest directory above it; ancestors are listed for directories, not for fi
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,6 +60,8 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal"),
+    *((name, f"SPDX-License-Identifier: {name}") for name in ("MIT", "Apache-2.0", "BSD-3-Clause", "MPL-2.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC0-1.0")),
+    *((name, f"SPDX-License-Identifier: {name}{kind}") for name in ("GPL-3.0", "GPL-2.0", "LGPL-3.0") for kind in ("", "+", "-only", "-or-later")),
 )
 
 #: A statement holds one of these; they are looked for in lower case.
@@ -66,20 +73,66 @@ LICENSE_FILE = r"(?i)^(licen[sc]e|copying|unlicense|notice)([.-].*)?$"
 #: Cosine from which a unit is taken to be the template's licence.
 SIMILARITY = 0.6
 
-TERM = re.compile(r"[^\W_]+(?:\.\d+)*")
+TERM = re.compile(r"spdx:[a-z0-9.+-]*[a-z0-9+]|[^\W_]+(?:\.\d+)*")
 
-#: Share of a line's words that are template words, from which the line belongs to a statement.
+#: An SPDX tag with its expression, in lower case; the name after "with" is an exception, not a licence.
+_ID = r"[a-z0-9][a-z0-9.+-]*"
+SPDX = re.compile(rf"spdx-license-identifier:[ \t(]*({_ID}(?:[ \t()]+(?:or|and|with)[ \t()]+{_ID})*)")
+
+#: Share of a line's words that are template words, from which the line belongs to a statement; share of the
+#: words of a part of a line and a template that both have, from which the part is one.
 TEMPLATE_WORDS = 0.5
 
 
+def _identifiers(tag: re.Match) -> str:
+    names = re.sub(rf"[ \t()]+with[ \t()]+{_ID}", "", tag[1])
+    return "".join(f" spdx:{name} " for name in re.split(r"[ \t()]+(?:or|and)[ \t()]+", names))
+
+
 def terms_of(text: str) -> list[str]:
-    return TERM.findall(text.casefold())
+    return TERM.findall(SPDX.sub(_identifiers, text.casefold()))
+
+
+def cued_terms(terms: Sequence[str], cues: Sequence[str] = CUES) -> list[int]:
+    """The numbers of the terms in which a cue begins."""
+    ends = list(accumulate(len(t) + 1 for t in terms))
+    places = re.finditer("|".join(map(re.escape, cues)), " ".join(terms))
+    return list(dict.fromkeys(bisect_right(ends, m.start()) for m in places))
+
+
+def shapes_of(templates: Sequence[tuple[str, str]], cues: Sequence[str] = CUES) -> list[tuple[int, Counter, list[int]]]:
+    """Of each template its number of terms, its terms with counts, and where its cues stand; all places where it has none."""
+    made = [terms_of(text) for _, text in templates]
+    return [(len(t), Counter(t), cued_terms(t, cues) or list(range(len(t)))) for t in made if t]
+
+
+def parts(terms: Sequence[str], shapes: Sequence[tuple[int, Counter, list[int]]], cues: Sequence[str] = CUES) -> list[str]:
+    """For each cue, the terms around it that share most with a template whose cue is laid on it."""
+    found = []
+    for place in cued_terms(terms, cues):
+        best = (0.0, 0, "")
+        for length, counts, anchors in shapes:
+            for anchor in anchors:
+                low, high = max(0, place - anchor), min(len(terms), place - anchor + length)
+                while low < high and terms[low] not in counts:
+                    low += 1
+                while low < high and terms[high - 1] not in counts:
+                    high -= 1
+                common = sum(min(n, counts[t]) for t, n in Counter(terms[low:high]).items() if t in counts)
+                share = 2 * common / (high - low + length)
+                if share >= TEMPLATE_WORDS and (share, length) > best[:2]:
+                    best = (share, length, " ".join(terms[low:high]))
+        if best[2]:
+            found.append(best[2])
+    return found
 
 
-def statements(text: str, whole: bool, vocabulary: frozenset[str], cues: Sequence[str] = CUES) -> list[str]:
-    """The statements of a text as terms joined by spaces, and each line of them with a cue.
+def statements(
+    text: str, whole: bool, vocabulary: frozenset[str], shapes: Sequence[tuple[int, Counter, list[int]]], cues: Sequence[str] = CUES
+) -> list[str]:
+    """The statements of a text as terms joined by spaces, each line of them with a cue, and the parts around cues.
 
-    With ``whole``, all of the text is one besides.
+    With ``whole``, all of the text is one besides. A part that is a statement or a line already is no other.
     """
     found = [" ".join(terms)] if whole and (terms := terms_of(text)) else []
     lowered = text.lower()
@@ -96,12 +149,14 @@ def statements(text: str, whole: bool, vocabulary: frozenset[str], cues: Sequenc
         if cued:
             found += {" ".join(run): None, **dict.fromkeys(cued)}
         run, cued = [], []
-    return found
+    known = set(found)
+    return found + [p for p in dict.fromkeys(parts(terms_of(text), shapes, cues)) if p not in known]
 
 
 def file_units(files: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """One row per file: its number, doc_id, path, directory, whether it is a licence file, and its statements."""
     words = frozenset(t for _, text in templates for t in terms_of(text))
+    shapes = shapes_of(templates)
     name = F.regexp_extract("path", r"([^/]*)$", 1)
     named = files.select(
         F.monotonically_increasing_id().alias("file"),
@@ -112,7 +167,7 @@ def file_units(files: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [statements(t, w, words) for t, w in zip(batch.column(4).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            made = [statements(t, w, words, shapes) for t, w in zip(batch.column(4).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(made, pa.list_(pa.string()))], ["file", "doc_id", "path", "is_license", "units"])
 
     kind = files.schema["doc_id"].dataType.simpleString()

@@ -222,3 +222,26 @@ def test_licences_and_inheritance(spark):
         ]
     )
     assert license_scan.scan(files.limit(0)).count() == 0
+
+
+def test_licences_inside_lines(spark):
+    apache, mit = "Licensed under the Apache License, Version 2.0.", dict(license_scan.TEMPLATES[:3])["MIT"]
+    long = license_scan.TEMPLATES[4][1]
+    data = [
+        (1, f"{prose(1, 24)} {apache}", "Apache-2.0"),
+        (2, f"Source code for Zebra harvester tool. {apache}", "Apache-2.0"),
+        (3, f"{prose(2, 400)} {apache} {prose(3, 400)}", "Apache-2.0"),
+        (4, f"{prose(4, 50)} {mit} {prose(5, 50)}", "MIT"),
+        (5, f"{prose(6, 30)} students of the MIT need a license to drive {prose(7, 30)}", None),
+        (6, f"{prose(8, 30)} // {long[:90]}\n// {long[90:]} {prose(9, 30)}", "Apache-2.0"),
+        (7, f"{prose(10, 30)} the license of a shop, a licensed trade, copyright of songs {prose(11, 30)}", None),
+        (10, "SPDX-License-Identifier: MIT", "MIT"),
+        (11, "/* SPDX-License-Identifier: Apache-2.0 */ int main(void) { return run(); }", "Apache-2.0"),
+        (12, "# spdx-license-identifier: GPL-3.0-only", "GPL-3.0"),
+        (13, "# SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0", "GPL-2.0"),
+        (14, "# SPDX-License-Identifier: (ISC OR BSD-3-Clause)", "BSD-3-Clause"),
+        (15, "# SPDX-License-Identifier: BSD-2-Clause", None),
+        (16, f"{prose(12, 30)} SPDX-License-Identifier: CC0-1.0. {prose(13, 30)}", "CC0-1.0"),
+    ]
+    files = spark.createDataFrame([(i, f"/f/{i}", t) for i, t, _ in data], "doc_id long, path string, text string")
+    assert {r.doc_id: r.license for r in license_scan.scan(files).collect()} == {i: name for i, _, name in data}
