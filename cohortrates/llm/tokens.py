@@ -3,7 +3,7 @@
 Texts are cut where no token can reach across, into pieces and these into words. A word that came before
 is looked up; for a new one the library's model applies its merges. The results equal those of encoding
 each text at once. Where a cut could differ from the library's own, the library gets the whole: a text
-with white space other than ASCII's, a piece with letters beyond Latin-1.
+with white space other than ASCII's or with the string of an added token, a piece with letters beyond Latin-1.
 """
 
 from __future__ import annotations
@@ -101,7 +101,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [re.escape(token.content) for token in self.library.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added) or r"(?!)", re.IGNORECASE)  # a vocabulary may look for them in lower case
         self.merge, self.letters = self.library.model.tokenize, _byte_letters()
         self.pieces, self.split, self.lower = scheme.pieces, scheme.words.findall, scheme.lower
         self.known = _Known(self._piece, remembered)
@@ -125,7 +126,7 @@ class Encoder:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if UNUSUAL.search(text):
+        if UNUSUAL.search(text) or self.added.search(text):
             return self.whole(text)
         return b"".join(map(self.known.__getitem__, self.pieces(text)))
 

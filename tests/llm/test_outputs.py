@@ -17,6 +17,7 @@ import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from cohortrates.llm import decontaminate, html_extract, line_dedup, packing, quality_classifier, simhash, token_files, warc
@@ -45,6 +46,17 @@ def test_ids_equal_the_library_s(name, encoders, rows):
         assert encode(text) == encode.whole(text), text
 
 
+@pytest.mark.parametrize("name", [n for n, _ in VOCABULARIES])
+def test_ids_equal_those_of_a_library_loaded_afresh(name, encoders):
+    plain = Tokenizer.from_file(vocabulary(name))
+    added = [token.content for token in plain.get_added_tokens_decoder().values()]
+    assert "<|endoftext|>" in added
+    for token in [*added, *[a.upper() for a in added], "<|", "<|endoftext", "<| endoftext |>"]:
+        for text in (token, f"one {token} two", f"one{token}{token}\n two", f"é\xa0{token} x", f"a  {token}  b " * 3):
+            want = np.array(plain.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            assert encoders[name](text) == want, text
+
+
 @given(st.text(max_size=60))
 @settings(max_examples=300, deadline=None)
 def test_ids_equal_the_library_s_for_any_text(text):
