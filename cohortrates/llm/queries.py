@@ -7,7 +7,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_extract, license_scan, line_dedup, packing, quality_classifier, quality_rules, simhash, token_files, warc
+from . import (
+    decontaminate,
+    hard_negatives,
+    html_extract,
+    license_scan,
+    line_dedup,
+    packing,
+    prefix_trie,
+    quality_classifier,
+    quality_rules,
+    simhash,
+    token_files,
+    toxicity,
+    warc,
+)
 from .common import table
 
 
@@ -53,6 +67,18 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(hard_negatives.relabelled(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {
     "op1_quality_rules": (op1_quality_rules, quality_rules.oracle_sql()),
     "op2_line_dedup": (op2_line_dedup, line_dedup.ORACLE_SQL),
@@ -64,4 +90,7 @@ QUERIES = {
     "op8_packing": (op8_packing, None),
     "op9_decontamination": (op9_decontamination, None),
     "op10_warc": (op10_warc, warc.ORACLE_SQL),
+    "op11_toxicity": (op11_toxicity, None),
+    "op12_prefix_trie": (op12_prefix_trie, prefix_trie.ORACLE_SQL),
+    "op13_hard_negatives": (op13_hard_negatives, hard_negatives.ORACLE_SQL),
 }
