@@ -1,8 +1,9 @@
 """Main text of web pages: flat text blocks, classified by a decision tree over neighbouring blocks.
 
-A page is cut into blocks at block-level tags. Of each block and of its neighbours the number of words and
-the share of them inside links are known, and which elements enclose it. A decision tree, trained here on a
-small labelled table of pages, tells main text from the rest.
+A page is cut into blocks at block-level tags. Of each block and of two neighbours on either side the number of
+words and the share of them inside links are known; of the block also its element and how much
+text its section holds. A decision tree, trained here on a small labelled table of pages, tells main
+text from the rest. Names of classes and ids are never read.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -20,157 +22,264 @@ from .common import sheltered, text_of
 
 #: Elements that end a block where they begin and where they end.
 BLOCK_TAGS = frozenset(
-    "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
-    " head header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split()
+    "address article aside blockquote body button center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
+    " head header hr html legend li main menu nav ol option p pre section select summary table tbody td template tfoot th thead title tr ul".split()
 )
 
-#: Elements whose content is no text.
-SILENT = ("script", "style", "noscript", "template", "textarea", "svg", "iframe", "object", "math", "canvas")
+#: Elements whose content is not markup, and no text of the page.
+SILENT = frozenset("script style textarea iframe noembed noframes xmp".split())
+
+#: Elements that hold a part of a page; the text of a section is that of its blocks, not of sections inside.
+SECTIONS = frozenset("article aside body details dialog div fieldset figure footer form header main nav section td".split())
+
+#: Elements that hold no main text, and those that mark it.
+APART = frozenset("aside button dialog fieldset footer form head header legend menu nav option select title".split())
+MAIN = frozenset(("article", "main"))
+
+#: The kind of a block by its element: APART, bare text, list items and cells, paragraphs, headings; 4 more in MAIN.
+KINDS = dict.fromkeys("caption dd dt figcaption li summary td th".split(), 2) | dict.fromkeys("blockquote p pre".split(), 3) | {f"h{i}": 4 for i in range(1, 7)}
 
-#: Elements, or words in their class, id or role, that speak against main text, by kind.
-ASIDE_TAGS = frozenset("nav footer header aside form menu select option button dialog fieldset legend head title".split())
-ASIDE_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|alert|aside|advert\w*|banner|breadcrumbs?|byline|comments?|consent|cookies?|copyright|disqus|footer|header|legal|login|masthead|menu|modal|nav|navbar"
-    r"|navigation|newsletter|notices?|pagination|pager|popup|promo\w*|related|replies|reply|search|share|sharing|sidebar|signup|social|sponsor\w*|subscribe"
-    r"|tags|toolbar|widget\w*|complementary|contentinfo)(?=$|[\s_-])",
-    re.IGNORECASE,
-)
-MAIN_TAGS = frozenset(("article", "main"))
-MAIN_WORDS = re.compile(r"(?:^|[\s_-])(?:article|content|entry|main|post|story|body-?text)(?=$|[\s_-])", re.IGNORECASE)
-HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 #: Elements that end an open one of a kind, as unclosed paragraphs and items are common.
-CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("td", "th", "tr"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "a": ("a",)}
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<silent>" + "|".join(SILENT) + r")\b[^>]*>.*?(?:</(?P=silent)\s*>|\Z)"
-    r"|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][\w:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
-    re.DOTALL | re.IGNORECASE,
-)
-ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+#: How far up an end tag looks for its inline element, which keeps odd nesting linear.
+REACH = 64
+
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+QUOTE = re.compile(r"[>\"']")
+NO_COMMENT, COMMENT_END = re.compile(r"-?>"), re.compile(r"--!?>")
 SPACES = re.compile(r"\s+")
+SPACE = " \t\n\f\r"
+CLOSED = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in SILENT}
+
+
+class Block(NamedTuple):
+    """A piece of text: its words, those inside links, the kind of its element, and its section's number."""
+
+    text: str
+    words: int
+    linked: int
+    kind: int
+    section: int
+
+
+def _tag_end(page: str, at: int) -> int:
+    """Where the tag whose name ends at ``at`` ends: behind its ">", or -1 if the page ends first.
+
+    A quote opens a value only behind "="; an unclosed one reaches to the end of the page. Never looks back further
+    than the last quote.
+    """
+    while found := QUOTE.search(page, at):
+        place = found.start()
+        if page[place] == ">":
+            return place + 1
+        before = place - 1
+        while before >= at and page[before] in SPACE:
+            before -= 1
+        if before >= at and page[before] == "=":
+            place = page.find(page[place], place + 1)
+            if place < 0:
+                return -1
+        at = place + 1
+    return -1
+
+
+def tags(page: str) -> Iterator[tuple[str, str, bool]]:
+    """The page as (text before, name of the tag or "", whether it is an end tag), to its end.
+
+    Names are lower-cased. Comments, declarations and the content of SILENT elements are left out. Goes through the
+    page once, whatever the markup: what is not closed takes all the rest, as in a browser.
+    """
+    begin, at, end = 0, 0, len(page)
+    text: list[str] = []
+    while at < end:
+        place = page.find("<", at)
+        if place < 0 or place + 1 >= end:
+            break
+        sign = page[place + 1]
+        if sign in "!?" or (sign == "/" and not NAME.match(page, place + 2)):
+            text.append(page[begin:place])
+            if page.startswith("<!--", place):
+                ending = NO_COMMENT.match(page, place + 4) or COMMENT_END.search(page, place + 4)
+                close = ending.end() if ending else -1
+            else:
+                close = page.find(">", place + 2) + 1 or -1
+            if close < 0:
+                begin = end
+                break
+            begin = at = close
+            continue
+        is_end = sign == "/"
+        name = NAME.match(page, place + 1 + is_end)
+        if not name:
+            at = place + 1
+            continue
+        text.append(page[begin:place])
+        close = _tag_end(page, name.end())
+        if close < 0:
+            begin = end
+            break
+        begin = at = close
+        tag = name[0].lower()
+        if tag in SILENT and not is_end:
+            found = CLOSED[tag].search(page, at)
+            close = _tag_end(page, found.end()) if found else -1
+            if close < 0:
+                begin = end
+                break
+            begin = at = close
+            continue
+        yield "".join(text), tag, is_end
+        text.clear()
+    text.append(page[begin:])
+    yield "".join(text), "", False
+
 
-#: A block: text, words, words inside links, and whether it is a heading, in an aside, in main content.
-Block = tuple[str, int, int, bool, bool, bool]
+class _Open(NamedTuple):
+    name: str
+    kind: int
+    apart: bool
+    main: bool
+    section: int
 
 
 def blocks(page: str) -> list[Block]:
-    """The text blocks of a page in order. Takes time in proportion to its length, and any markup."""
+    """The text blocks of a page in order. Takes time in proportion to its length, whatever the markup."""
     found: list[Block] = []
     text: list[str] = []
-    linked = links = 0
-    # open elements: name, in aside, in main
-    stack: list[tuple[str, bool, bool]] = []
+    linked = sections = 0
+    stack = [_Open("", 1, False, False, 0)]
     depth: dict[str, int] = {}
+    around = [0]  # of each section the one it is in
 
     def end_block() -> None:
         nonlocal linked
         shown = SPACES.sub(" ", html.unescape("".join(text))).strip()
         text.clear()
         if shown:
-            aside, main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            heading = any(depth.get(h) for h in HEADINGS)
-            found.append((shown, shown.count(" ") + 1, min(linked, shown.count(" ") + 1), heading, aside, main))
+            own = stack[-1]
+            words = shown.count(" ") + 1
+            kind = 0 if own.apart else own.kind + 4 * own.main
+            # a section that is text itself, as a bare div is, counts for the one around it
+            section = around[own.section] if kind in (1, 5) else own.section
+            found.append(Block(shown, words, min(linked, words), kind, section))
         linked = 0
 
-    def add(piece: str) -> None:
-        nonlocal linked
-        text.append(piece)
-        if links:
-            linked += len(piece.split())
-
     def close(name: str) -> None:
-        nonlocal links
-        while stack:
-            top = stack.pop()[0]
-            depth[top] -= 1
-            if top == "a":
-                links -= 1
-            if top == name:
+        if name in BLOCK_TAGS:
+            while len(stack) > 1:
+                top = stack.pop()
+                depth[top.name] -= 1
+                if top.name == name:
+                    return
+        for place in range(len(stack) - 1, max(0, len(stack) - 1 - REACH), -1):
+            if stack[place].name == name:
+                del stack[place]
+                depth[name] -= 1
                 return
 
-    place = 0
-    for token in TOKEN.finditer(page):
-        if token.start() > place:
-            add(page[place : token.start()])
-        place = token.end()
-        name = token["name"]
-        if name is None:
-            continue
-        name = name.lower()
+    for before, name, is_end in tags(page):
+        if before:
+            text.append(before)
+            if depth.get("a"):
+                linked += len(before.split())
+        if not name:
+            break
         if name == "br":
             text.append(" ")
             continue
         if name in BLOCK_TAGS:
             end_block()
-        if token["end"]:
+        if is_end:
             if depth.get(name):
                 close(name)
             continue
+        if name in BLOCK_TAGS and depth.get("p"):
+            inner = len(stack) - 1
+            while inner > 0 and stack[inner].name not in BLOCK_TAGS:
+                inner -= 1
+            if stack[inner].name == "p":
+                close("p")
         for other in CLOSES.get(name, ()):
-            if depth.get(other) and stack[-1][0] in (other, "a", "b", "i", "em", "strong", "span", "u", "font"):
+            if depth.get(other) and (stack[-1].name == other or stack[-1].name not in BLOCK_TAGS):
                 close(other)
-        if name in VOID or token["attrs"].endswith("/"):
+        if name in VOID:
             continue
-        hints = " ".join(x or y or z for x, y, z in ATTRIBUTE.findall(token["attrs"])) if token["attrs"] else ""
-        _, aside, main = stack[-1] if stack else ("", False, False)
-        own_main = name in MAIN_TAGS or (name not in ("body", "html") and bool(MAIN_WORDS.search(hints)))
-        own_aside = name in ASIDE_TAGS or (name not in ("body", "html", "main") and bool(ASIDE_WORDS.search(hints)))
-        stack.append((name, aside or own_aside, (main or own_main) and not own_aside))
+        over = stack[-1]
+        section = over.section
+        if name in SECTIONS:
+            sections += 1
+            around.append(over.section)
+            section = sections
+        kind = KINDS.get(name, 1 if name in BLOCK_TAGS else over.kind)
+        stack.append(_Open(name, kind, over.apart or name in APART, over.main or name in MAIN, section))
         depth[name] = depth.get(name, 0) + 1
-        links += name == "a"
-    if place < len(page):
-        add(page[place:])
     end_block()
     return found
 
 
-FEATURES = ("words", "link_share", "words_before", "links_before", "words_after", "links_after", "heading", "aside", "main", "page_main")
+#: Neighbours whose words and link share are features.
+NEAR = (-2, -1, 1, 2)
+
+FEATURES = (
+    *("words", "link_share", "kind", "section_words", "section_share", "section_links"),
+    *(f"{name}_{'before' if k < 0 else 'after'}_{abs(k)}" for k in NEAR for name in ("words", "links")),
+)
 
 
 def block_features(found: list[Block]) -> np.ndarray:
-    """One row per block: words and link share of it and its neighbours, and where it stands."""
+    """One row per block: its own measures, those of its section, and the words and link shares of its neighbours."""
     made = np.zeros((len(found), len(FEATURES)))
     if not found:
         return made
-    words = np.array([b[1] for b in found], dtype=float)
-    share = np.array([b[2] for b in found]) / words
+    words = np.array([b.words for b in found], dtype=float)
+    linked = np.array([b.linked for b in found], dtype=float)
+    share = linked / words
     made[:, 0], made[:, 1] = words, share
-    made[1:, 2], made[1:, 3] = words[:-1], share[:-1]
-    made[:-1, 4], made[:-1, 5] = words[1:], share[1:]
-    made[:, 6:9] = [b[3:6] for b in found]
-    made[:, 9] = made[:, 8].max()
+    kind = np.array([b.kind for b in found], dtype=float)
+    # where a page has an article, what is outside of it ranks below all else
+    made[:, 2] = np.where((kind < 5) & (kind >= 5).any(), kind / 10, kind)
+    section = np.array([b.section for b in found])
+    free, all_words = np.bincount(section, words - linked), np.bincount(section, words)
+    made[:, 3], made[:, 4] = free[section], free[section] / max(free.max(), 1)
+    made[:, 5] = 1 - free[section] / all_words[section]
+    for at, k in enumerate(NEAR):
+        near = slice(-k, None) if k < 0 else slice(None, -k)
+        other = slice(None, k) if k < 0 else slice(k, None)
+        if len(found) > abs(k):
+            made[near, 6 + 2 * at], made[near, 7 + 2 * at] = words[other], share[other]
     return made
 
 
 class Tree:
     """A classification tree by Gini impurity. Leaves hold the share of main text."""
 
-    def __init__(self, rows: np.ndarray, labels: np.ndarray, depth: int = 6, least: int = 2):
+    def __init__(self, rows: np.ndarray, labels: np.ndarray, depth: int = 8, least: int = 10):
         self.nodes: list[tuple[int, float, int, int, float]] = []
         self._grow(rows, labels, depth, least)
 
     def _grow(self, rows: np.ndarray, labels: np.ndarray, depth: int, least: int) -> int:
         place = len(self.nodes)
         self.nodes.append((-1, 0.0, 0, 0, float(labels.mean())))
-        n, best = len(labels), (labels.mean() * (1 - labels.mean()) - 1e-9, -1, 0.0)
-        if depth and n >= 2 * least and 0 < labels.sum() < n:
+        n, ones = len(labels), labels.sum()
+        best = (labels.mean() * (1 - labels.mean()) - 1e-9, -1, 0.0)
+        if depth and n >= 2 * least and 0 < ones < n:
+            left = np.arange(1, n)
             for f in range(rows.shape[1]):
                 order = np.argsort(rows[:, f], kind="stable")
-                values, ones = rows[order, f], labels[order].cumsum()
-                for i in np.flatnonzero(values[1:] > values[:-1]) + 1:
-                    if min(i, n - i) < least:
-                        continue
-                    a, b = ones[i - 1] / i, (ones[-1] - ones[i - 1]) / (n - i)
-                    cost = (i * a * (1 - a) + (n - i) * b * (1 - b)) / n
-                    if cost < best[0]:
-                        best = (cost, f, (values[i - 1] + values[i]) / 2)
+                values, before = rows[order, f], labels[order].cumsum()[:-1]
+                a, b = before / left, (ones - before) / (n - left)
+                cost = (left * a * (1 - a) + (n - left) * b * (1 - b)) / n
+                cost[(values[1:] <= values[:-1]) | (left < least) | (n - left < least)] = 1.0
+                i = int(cost.argmin())
+                if cost[i] < best[0]:
+                    best = (float(cost[i]), f, float(values[i] + values[i + 1]) / 2)
             if best[1] >= 0:
-                left = rows[:, best[1]] <= best[2]
-                a = self._grow(rows[left], labels[left], depth - 1, least)
-                b = self._grow(rows[~left], labels[~left], depth - 1, least)
+                low = rows[:, best[1]] <= best[2]
+                a = self._grow(rows[low], labels[low], depth - 1, least)
+                b = self._grow(rows[~low], labels[~low], depth - 1, least)
                 self.nodes[place] = (best[1], best[2], a, b, self.nodes[place][4])
         return place
 
@@ -190,9 +299,10 @@ class Tree:
 
 
 def main_text(page: str, tree: Tree) -> str:
-    """The blocks that the tree takes for main text, joined by empty lines."""
+    """The blocks that the tree takes for main text, joined by empty lines. Elements APART hold none by definition."""
     found = blocks(page)
-    return "\n\n".join(b[0] for b, keep in zip(found, tree.predict(block_features(found)), strict=True) if keep)
+    kept = tree.predict(block_features(found))
+    return "\n\n".join(b.text for b, keep in zip(found, kept, strict=True) if keep and b.kind)
 
 
 def trained(pages: list[tuple[str, str]]) -> Tree:
@@ -201,7 +311,7 @@ def trained(pages: list[tuple[str, str]]) -> Tree:
     for markup, marks in pages:
         found = blocks(markup)
         if len(found) != len(marks):
-            raise ValueError(f"{len(marks)} labels for {len(found)} blocks: {[b[0][:30] for b in found]}")
+            raise ValueError(f"{len(marks)} labels for {len(found)} blocks: {[b.text[:30] for b in found]}")
         rows.append(block_features(found))
         labels += [m == "+" for m in marks]
     return Tree(np.concatenate(rows), np.array(labels, dtype=float))
