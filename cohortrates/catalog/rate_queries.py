@@ -137,7 +137,7 @@ FILLED_SQL = oracle.with_views(
 )
 
 LABEL_SQL = oracle.with_views(
-    "select AGE_CATEGORY || ', ' || SEX || ', ' || pat_catg_b || ', ' || coalesce(pat_catg_a, 'null') as Subgroup, "
+    "select coalesce(BALANCE_BAND, 'null') || ', ' || PRACTICE_ID || ', ' || SEX || ', ' || FOLLOW_UP as Subgroup, "
     "count(*) as persons from v_cohort group by 1"
 )
 

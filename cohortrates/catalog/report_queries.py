@@ -15,7 +15,7 @@ NUMERIC = ["balance", "follow_up"]
 GROUP_BY = "has_b"
 GROUPS = ["no", "yes"]
 
-CHART_GROUPS = ["Overall", "SEX", "SEX, pat_catg_b", "AGE_CATEGORY, SEX, pat_catg_b, pat_catg_a"]
+CHART_GROUPS = ["Overall", "SEX", "FOLLOW_UP, BALANCE_BAND", "AGE_CATEGORY, BALANCE_BAND, SEX"]
 CHART_CUT = 40
 BINS = 12
 PANEL_SIZE = 7

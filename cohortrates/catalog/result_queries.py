@@ -47,11 +47,11 @@ def dsr_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: The overall rate from the cells of a finer group.
-POOLED = {"Overall": "AGE_CATEGORY, SEX, pat_catg_b"}
+POOLED = {"Overall": "AGE_CATEGORY, SEX, BALANCE_BAND"}
 
 
 def dsr_overall_pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One overall rate per condition and date, from cells that are told apart by region too."""
+    """One overall rate per condition and date, from cells that are told apart by balance too."""
     crude = typed_crude(spark, sf_dir, PREV, [g.split(", ") for g in POOLED.values()], overall=False)
     return rounded(standardised_from(crude, weights_of(spark, sf_dir), PREV, POOLED))
 
@@ -95,8 +95,8 @@ def drop_intersex_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def exclude_subgroup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rates without one region; the cells of the overall rate stay."""
-    return standardise.exclude_subgroups(split_std_group(spark, sf_dir), ["AFRICA"])
+    """Rates without one practice; the cells of the overall rate stay."""
+    return standardise.exclude_subgroups(split_std_group(spark, sf_dir), ["p3"])
 
 
 def scrub_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,7 +256,7 @@ QUERIES = {
         drop_intersex_label,
         oracle.crude(PREV, GROUP_LISTS, "not (contains(Subgroup, ', I,') or Subgroup like '%, I')"),
     ),
-    "exclude_subgroup": (exclude_subgroup, split_sql("Subgroup <> 'AFRICA'")),
+    "exclude_subgroup": (exclude_subgroup, split_sql("Subgroup <> 'p3'")),
     "scrub_rates": (scrub_rates, scrub_sql()),
     "clean_condition_name": (clean_names, clean_sql()),
     "dsr_overall_prev": (_dsr(PREV, "Overall"), show_dsr(PREV, IS_OVERALL)),

@@ -64,6 +64,11 @@ def cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(key % 37 != 0, F.col("c_mktsegment")).alias("pat_catg_a"),
             F.col("r_name").alias("pat_catg_b"),
             F.col("c_acctbal").alias("balance"),
+            F.when(F.datediff("END_DATE", "INDEX_DATE") < 365, "under 1 year")
+            .when(F.datediff("END_DATE", "INDEX_DATE") < 1460, "1 to 3 years")
+            .otherwise("4 years or more")
+            .alias("FOLLOW_UP"),
+            F.when(key % 41 != 0, F.when(F.col("c_acctbal") < 0, "debt").when(F.col("c_acctbal") < 5000, "low").otherwise("high")).alias("BALANCE_BAND"),
         )
     )
 
@@ -115,7 +120,10 @@ select c_custkey as PATIENT_ID,
             when 4 then '51-60' when 5 then '61-70' when 6 then '71-80' else '81+' end as AGE_CATEGORY,
        case when c_custkey % 37 = 0 then null else c_mktsegment end as pat_catg_a,
        r_name as pat_catg_b,
-       c_acctbal as balance
+       c_acctbal as balance,
+       case when cast(max(o_orderdate) as date) - cast(min(o_orderdate) as date) < 365 then 'under 1 year'
+            when cast(max(o_orderdate) as date) - cast(min(o_orderdate) as date) < 1460 then '1 to 3 years' else '4 years or more' end as FOLLOW_UP,
+       case when c_custkey % 41 = 0 then null when c_acctbal < 0 then 'debt' when c_acctbal < 5000 then 'low' else 'high' end as BALANCE_BAND
 from customer join orders on o_custkey = c_custkey
      join nation on n_nationkey = c_nationkey join region on r_regionkey = n_regionkey
 group by c_custkey, c_nationkey, c_mktsegment, r_name, c_acctbal
