@@ -310,9 +310,9 @@ class Index:
 
         kind = self.blocks.schema["label"].dataType.simpleString()
         held = self.blocks.where(F.col("block").between(*part) & (F.col("n_anchors") > 0)).select("label", "ids", "vectors")
-        rows = held.mapInArrow(run, f"id long, label {kind}, v binary").collect()
-        vectors = np.frombuffer(b"".join(bytes(r.v) for r in rows), dtype=np.int32).reshape(len(rows), width).astype(self.exact)
-        return np.array([r.id for r in rows], dtype=np.int64), np.array([r.label for r in rows]), vectors
+        rows = held.mapInArrow(run, f"id long, label {kind}, v binary").toArrow()
+        vectors = np.frombuffer(b"".join(rows["v"].to_pylist()), dtype=np.int32).reshape(len(rows), width).astype(self.exact)
+        return rows["id"].to_numpy(), np.array(rows["label"].to_pylist()), vectors
 
     def needed(self, chunk: Chunk) -> DataFrame:
         """The blocks that some anchor's windows may meet: ranges of blocks that hold them all, by zone maps alone."""
@@ -370,7 +370,7 @@ def mine(rows: DataFrame, every: int = EVERY, positives: int = POSITIVES, negati
             held = F.col("block").between(*at) if isinstance(at, tuple) else F.col("block").isin(at)
             near = index.blocks.where(held)
             found = search(near, chunk, lambda a, w: {"a": a, "w": w}, "a long, w long, other long, score long")
-            last = _best(found, ["a", "w"], chunk.best).where(F.col("rank") == chunk.best).select("a", "w", "score").toPandas()
+            last = _best(found, ["a", "w"], chunk.best).where(F.col("rank") == chunk.best).select("a", "w", "score").toArrow()
             floor = chunk.floor.copy()
             floor[last["a"].to_numpy(), last["w"].to_numpy()] = last["score"].to_numpy()
             return floor
@@ -381,7 +381,7 @@ def mine(rows: DataFrame, every: int = EVERY, positives: int = POSITIVES, negati
         like = Chunk(ids, labels, vectors, True, positives, some(LOW), some(LOW), some(HIGH))
         like.floor = reached(like, part)
         found = search(index.needed(like), like, lambda a, w: {"a": a}, "a long, other long, score long")
-        best = _best(found, ["a"], positives).select("a", "rank", "other", "score").toPandas()
+        best = _best(found, ["a"], positives).select("a", "rank", "other", "score").toArrow()
         a, place = best["a"].to_numpy(), best["rank"].to_numpy() - 1
         partner, score, there = some(0, positives), some(0, positives), some(0, positives).astype(bool)
         partner[a, place], score[a, place], there[a, place] = best["other"].to_numpy(), best["score"].to_numpy(), True

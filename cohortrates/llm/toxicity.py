@@ -29,10 +29,10 @@ from .common import settled, sheltered, text_key, text_of
 THRESHOLD = 0.3
 
 #: Labelled ids that are learnt from, those of the smallest hashes; what is broadcast to find their texts.
-MAX_LABELS = 1 << 15
+MAX_LABELS = 1 << 14
 
 #: Training rows of a shard, about, and times that each shard goes over its rows from the common state.
-SHARD, ROUNDS = 8192, 4
+SHARD, ROUNDS = 2048, 6
 
 #: Buckets for words, for pairs of neighbours, and for pairs with one and with two words between.
 WORD_BUCKETS, PAIR_BUCKETS, SKIP_BUCKETS = 1 << 18, 1 << 17, 1 << 17
@@ -141,7 +141,7 @@ def shards(rows: DataFrame, size: int = SHARD) -> DataFrame:
     def gathered(group: pa.Table) -> pa.Table:
         made = Buckets()
         ordered = group.sort_by([("a", "ascending"), ("b", "ascending"), ("toxic", "ascending")])
-        sets = [made.of(t) for t in ordered.column("text").to_pylist()]
+        sets = [made.of(t.as_py()) for t in ordered.column("text")]
         lists = [
             np.concatenate(sets).astype(np.int32),
             np.array([len(s) for s in sets], dtype=np.int32),
@@ -182,7 +182,7 @@ def fit(docs: DataFrame, labels: DataFrame, rates: Rates | None = None, max_labe
         changes = held.mapInArrow(run, "bucket int, z double, n double").groupBy("bucket")
         # sums in whole numbers do not depend on the order of tasks
         fixed = [F.sum(F.round(F.col(c) * 2.0**32).cast("long")).alias(c) for c in ("z", "n")]
-        found = changes.agg(F.count(F.lit(1)).alias("shards"), *fixed).toPandas()
+        found = changes.agg(F.count(F.lit(1)).alias("shards"), *fixed).toArrow()
         place, scale = found["bucket"].to_numpy(), found["shards"].to_numpy() * 2.0**32
         z[place] += found["z"].to_numpy() / scale
         n[place] += found["n"].to_numpy() / scale
@@ -205,7 +205,7 @@ def scored(docs: DataFrame, model: dict[str, np.ndarray], keep: list[str]) -> Da
             return _probability(weights[np.unique(np.concatenate(heavy))].sum(dtype=np.float64))
 
         for batch in batches:
-            scores = pa.array([score(t) for t in batch.column(batch.num_columns - 1).to_pylist()], pa.float64())
+            scores = pa.array([score(t.as_py()) for t in batch.column(batch.num_columns - 1)], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], scores], [*keep, "score"])
 
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "score double"])
