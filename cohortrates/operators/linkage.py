@@ -6,11 +6,14 @@ practices. Nothing is read before the query runs.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import named, quoted
+from ..sources.keyed import KeyedTable
 from ..sources.maps import DEPRIVATION_KEYS
 from .cleaning import dates_to_text
 
@@ -99,20 +102,38 @@ def link_one_to_one(
     """
     if dates_as_text:
         cohort, records = dates_to_text(cohort), dates_to_text(records)
-    others = [c for c in records.columns if c != record_key]
-    target = {c: f"{c}_right" if c in cohort.columns else c for c in others}
     joined_type = _common_type(cohort.schema[cohort_key].dataType, records.schema[record_key].dataType)
+    keyed = cohort.withColumn(LINK_KEY, named(cohort_key).cast(joined_type)).where(named(LINK_KEY).isNotNull())
+    found = records.withColumn(LINK_KEY, named(record_key).cast(joined_type)).where(named(LINK_KEY).isNotNull())
+    matched, added = _linked(keyed, found, cohort.columns, [c for c in records.columns if c != record_key])
+    return matched.unionByName(_unlinked(cohort, cohort_key, added))
+
+
+def link_kept(cohort: KeyedTable, records: KeyedTable) -> KeyedTable:
+    """``link_one_to_one`` of two tables kept by their keys: neither side is dealt out again.
+
+    The result is dealt by the cohort's key as the cohort is, for further links in the same query.
+    """
+    kinds = [t.keyed.schema[t.key].dataType for t in (cohort, records)]
+    if kinds[0] != kinds[1] or cohort.buckets != records.buckets:
+        raise ValueError(f"keys of types {kinds} in {cohort.buckets} and {records.buckets} buckets cannot be linked as they are kept")
+    keyed, found = (t.keyed.withColumn(LINK_KEY, named(t.key)) for t in (cohort, records))
+    matched, added = _linked(keyed, found, cohort.keyed.columns, [c for c in records.keyed.columns if c != records.key])
+    return KeyedTable(cohort.key, cohort.buckets, matched, _unlinked(cohort.keyless, cohort.key, added))
+
+
+def _linked(keyed: DataFrame, found: DataFrame, own: Sequence[str], others: Sequence[str]) -> tuple[DataFrame, dict[str, T.DataType]]:
+    """Rows of ``keyed`` with the other columns of their one row of ``found`` by LINK_KEY, and the types of these."""
+    target = {c: f"{c}_right" if c in own else c for c in others}
     right = _once(
-        records.select(named(record_key).cast(joined_type).alias(LINK_KEY), F.struct(F.lit(1), *[named(c) for c in others]).alias("record"))
-        .where(named(LINK_KEY).isNotNull())
-        .groupBy(named(LINK_KEY))
-        .agg(F.any_value("record").alias("record"), F.count(F.lit(1)).alias(LINK_COUNT)),
+        found.groupBy(named(LINK_KEY)).agg(
+            F.any_value(F.struct(F.lit(1), *[named(c) for c in others])).alias("record"), F.count(F.lit(1)).alias(LINK_COUNT)
+        ),
         "records",
     ).select(named(LINK_KEY).alias("record key"), *[F.col("record").getField(c).alias(target[c]) for c in others])
-    keyed = cohort.withColumn(LINK_KEY, named(cohort_key).cast(joined_type)).where(named(LINK_KEY).isNotNull())
-    keyed = _once(keyed.withColumn(LINK_COUNT, F.count(F.lit(1)).over(Window.partitionBy(named(LINK_KEY)))), "cohort")
-    matched = keyed.join(right, named(LINK_KEY) == named("record key"), "left").drop(LINK_KEY, "record key")
-    return matched.unionByName(_unlinked(cohort, cohort_key, {target[c]: records.schema[c].dataType for c in others}))
+    left = _once(keyed.withColumn(LINK_COUNT, F.count(F.lit(1)).over(Window.partitionBy(named(LINK_KEY)))), "cohort")
+    matched = left.join(right, named(LINK_KEY) == named("record key"), "left").drop(LINK_KEY, "record key")
+    return matched, {target[c]: found.schema[c].dataType for c in others}
 
 
 def _unlinked(cohort: DataFrame, key: str, columns: dict[str, T.DataType]) -> DataFrame:
@@ -125,13 +146,14 @@ def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
 
 
 def link_deprivation(cohort: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Deprivation by practice or by person; the lookup's first column names its key."""
+    """Deprivation by practice or by person; the lookup's first column names its key, which must be unique."""
     key, value = lookup.columns
     if key not in DEPRIVATION_KEYS:
         raise ValueError(f"deprivation key must be one of {sorted(DEPRIVATION_KEYS)}, not {key}")
     column = DEPRIVATION_KEYS[key]
     name = f"IMD_{key}"
-    values = lookup.select(F.col(key).cast("string").alias(LINK_KEY), F.col(value).alias(name))
+    counted = lookup.groupBy(F.col(key).cast("string").alias(LINK_KEY)).agg(F.any_value(value).alias(name), F.count(F.lit(1)).alias(LINK_COUNT))
+    values = _once(counted.where(named(LINK_KEY).isNotNull()), "deprivation")
     keyed = cohort.where(named(column).isNotNull())
     linked = keyed.join(values, named(column).cast("string") == named(LINK_KEY), "left").drop(LINK_KEY)
     return linked.unionByName(_unlinked(cohort, column, {name: lookup.schema[value].dataType}))

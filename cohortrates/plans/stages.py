@@ -13,17 +13,19 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..operators import cleaning, describe, disclosure, linkage, rates, series, standardise
 from ..operators.grid import INCIDENCE, PREVALENCE, Study, StudyGrid
-from ..sources import maps, tables
+from ..sources import keyed, maps, tables
 
 Config = Mapping[str, Any]
 
 PROCESSED = "dat_processed.parquet"
 LINK_STATS = "LINK_STATS.csv"
 MATCHED = "practices_matched.parquet"
+KEPT, KEPT_RECORDS = "dat_by_person", "records_by_person"
 PUBLISH = "Publish/"
 SHORT = {INCIDENCE: "inc", PREVALENCE: "prev"}
 
@@ -58,11 +60,19 @@ def process(spark: SparkSession, config: Config) -> DataFrame:
         )
         tables.write_parquet(linkage.match_practices(practices, a, b), f"{root}{MATCHED}")
         matched = spark.read.parquet(f"{root}{MATCHED}")
+        if options.get("all_as_text"):
+            a, b = cleaning.all_to_text(a), cleaning.all_to_text(b)
         tables.write_csv(linkage.link_stats(matched), f"{root}{LINK_STATS}")
         cohort = linkage.link_practices(matched, a, b)
     if options.get("path_hes"):
         records = tables.scan(spark, options["path_hes"])
-        cohort = linkage.link_one_to_one(cohort, records, options["col_patid_cprd"], options["col_patid_hes"])
+        own, theirs = options["col_patid_cprd"], options["col_patid_hes"]
+        if options.get("link_buckets"):  # both kept by key on the way, for linkage without a shuffle and again
+            kept = keyed.write_keyed(cohort, own, f"{root}{KEPT}", options["link_buckets"], T.StringType())
+            found = keyed.write_keyed(records, theirs, f"{root}{KEPT_RECORDS}", options["link_buckets"], T.StringType())
+            cohort = linkage.link_kept(kept, found).rows
+        else:
+            cohort = linkage.link_one_to_one(cohort, records, own, theirs)
     if options.get("mergeCols_AtoB"):
         cohort = cleaning.merge_condition_dates(
             cohort, options["mergeCols_AtoB"], fmt, options.get("rm_old_cols", True)

@@ -1,9 +1,11 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortrates.operators import cleaning, linkage
-from cohortrates.sources import maps, tables
+from cohortrates.sources import keyed, maps, tables
 
 
 def rows(df):
@@ -144,6 +146,47 @@ def test_one_to_one(spark):
         linkage.link_one_to_one(cohort.where("id = 1").union(cohort), records, "id", "key").collect()
 
 
+def ran(df) -> str:
+    """The plan that ran."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_tables_kept_by_key_are_linked_where_they_lie(spark, tmp_path, monkeypatch):
+    monkeypatch.chdir(tmp_path)
+    people = spark.range(3000).select(
+        F.when(F.col("id") % 10 != 0, F.col("id")).alias("person id"), (F.col("id") * 2).alias("v"), F.col("id").cast("string").alias("x`y")
+    )
+    records = spark.range(500, 9000).select((F.col("id") * 3).cast("string").alias("key"), F.col("id").alias("v"))
+    kept = keyed.write_keyed(people, "person id", str(tmp_path / "people"), 5)
+    found = keyed.write_keyed(records, "key", str(tmp_path / "it's records"), 5, kind=T.LongType())
+    assert rows(kept.rows) == rows(people) and kept.keyless.count() == 300
+    again = keyed.read_keyed(spark, str(tmp_path / "people"))
+    assert (again.key, again.buckets) == ("person id", 5)
+    for setting in ("-1", "10m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", setting)
+        linked = linkage.link_kept(again, found)
+        assert rows(linked.rows) == rows(linkage.link_one_to_one(people, records, "person id", "key"))
+        # neither the count of keys, nor the join, nor one more link deals rows out
+        assert "Exchange hashpartitioning" not in ran(linked.keyed)
+        assert "Exchange hashpartitioning" not in ran(linkage.link_kept(linked, found).keyed)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange hashpartitioning" in ran(linkage.link_one_to_one(people, records, "person id", "key"))
+    twice = keyed.write_keyed(records.union(records.limit(1)), "key", str(tmp_path / "twice"), 5, kind=T.LongType())
+    with pytest.raises(Exception, match="records: key .* occurs 2 times"):
+        linkage.link_kept(again, twice).keyed.collect()
+    with pytest.raises(Exception, match="cohort: key .* occurs 2 times"):
+        linkage.link_kept(twice, again).keyed.collect()
+    with pytest.raises(ValueError, match="buckets"):
+        linkage.link_kept(again, keyed.write_keyed(records, "key", str(tmp_path / "text"), 5))
+
+
+def test_files_of_a_kept_table_are_one_per_bucket(spark, tmp_path, monkeypatch):
+    monkeypatch.chdir(tmp_path)
+    keyed.write_keyed(spark.range(1000).repartition(7), "id", str(tmp_path / "kept"), 4)
+    assert len(list((tmp_path / "kept" / "keyed").glob("part-*"))) == 4
+
+
 def test_deprivation(spark):
     cohort = spark.createDataFrame([(1, "p1"), (2, "p2"), (3, None)], "PATIENT_ID int, PRACTICE_ID string")
     by_practice = spark.createDataFrame([("p1", "4")], "pracid string, value string")
@@ -154,3 +197,5 @@ def test_deprivation(spark):
     assert rows(linked) == [(1, "p1", None), (2, "p2", "4"), (3, None, None)]
     with pytest.raises(ValueError):
         linkage.link_deprivation(cohort, by_person.withColumnRenamed("patid", "x"))
+    with pytest.raises(Exception, match="deprivation: key p1 occurs 2 times"):
+        linkage.link_deprivation(cohort, by_practice.union(by_practice)).collect()
