@@ -83,6 +83,20 @@ def box_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(series.box_summary(described(spark, sf_dir), "balance", "AGE_CATEGORY", "pat_catg_a"))
 
 
+def box_whiskers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(series.box_whiskers(spent(spark, sf_dir), "spent", "AGE_CATEGORY", "BALANCE_BAND"))
+
+
+def box_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(series.box_outliers(spent(spark, sf_dir), "spent", "AGE_CATEGORY", "BALANCE_BAND"))
+
+
+def spent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Persons with a number that is skewed: the cube of the balance, which a few have far outside."""
+    cube = F.when(F.col("PATIENT_ID") % 13 != 0, F.col("balance") * F.col("balance") * F.col("balance") / 1e6)
+    return views.cohort(spark, sf_dir).select("AGE_CATEGORY", "BALANCE_BAND", cube.alias("spent"))
+
+
 def level_panels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Panels of part sizes, which are numbers, and of part brands, which are not."""
     pairs = F.array(
@@ -295,6 +309,29 @@ BOX_SQL = oracle.with_views(
     d=DESCRIBED,
 )
 
+FENCED = {
+    "d": "select AGE_CATEGORY, coalesce(BALANCE_BAND, 'Null') as Subgroup, case when PATIENT_ID % 13 <> 0 then balance * balance * balance / 1e6 end as y from v_cohort",
+    "boxes": "select Subgroup, AGE_CATEGORY, min(y) as low, max(y) as high, count(y) as n, quantile_cont(y, 0.25) as q1, quantile_cont(y, 0.5) as median, "
+    "quantile_cont(y, 0.75) as q3 from d where y is not null group by all",
+    "fenced": f"select d.*, low, high, n, q1, median, q3, q1 - {series.FENCE} * (q3 - q1) as lower_fence, q3 + {series.FENCE} * (q3 - q1) as upper_fence "
+    "from d join boxes using (Subgroup, AGE_CATEGORY) where y is not null",
+}
+
+WHISKER_SQL = oracle.with_views(
+    "select Subgroup, AGE_CATEGORY, "
+    + ", ".join(f"round({c}, 6) as {c}" for c in ("q1", "median", "q3", "low", "high"))
+    + ", n, round(min(y) filter (where y between lower_fence and upper_fence), 6) as lower_whisker, "
+    "round(max(y) filter (where y between lower_fence and upper_fence), 6) as upper_whisker, "
+    "count(*) filter (where not (y between lower_fence and upper_fence)) as n_outliers from fenced "
+    "group by Subgroup, AGE_CATEGORY, q1, median, q3, low, high, n",
+    **FENCED,
+)
+
+OUTLIER_SQL = oracle.with_views(
+    "select Subgroup, AGE_CATEGORY, round(y, 6) as y, count(*) as n from fenced where not (y between lower_fence and upper_fence) group by Subgroup, AGE_CATEGORY, fenced.y",
+    **FENCED,
+)
+
 PANELS_SQL = f"""
 with levels as (
     select distinct 'size' as "Group", cast(p_size as varchar) as level, p_size as size from part
@@ -338,5 +375,7 @@ QUERIES = {
     "error_bars": (error_bars, ERROR_SQL),
     "histogram_bins": (histogram_bins, HISTOGRAM_SQL),
     "box_summary": (box_summary, BOX_SQL),
+    "box_whiskers": (box_whiskers, WHISKER_SQL),
+    "box_outliers": (box_outliers, OUTLIER_SQL),
     "level_panels": (level_panels, PANELS_SQL),
 }

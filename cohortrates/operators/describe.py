@@ -51,8 +51,8 @@ def _stacked(
 ) -> DataFrame:
     """One row per row of ``df`` and variable: an expansion that stays inside generated code."""
     typed = _prepared(df, columns, group, words).select("group_label", *[named(c).cast(kind).alias(c) for c in columns])
-    long = typed.unpivot("group_label", [named(c) for c in columns], "variable", value)
-    return long.withColumnRenamed("group_label", "group")
+    # a name of its own: a column that merely passed would keep Spark from seeing that two such expansions are one
+    return typed.unpivot(F.col("group_label").alias("group"), [named(c) for c in columns], "variable", value)
 
 
 def level_counts(
@@ -66,44 +66,83 @@ def level_counts(
     )
 
 
-def _expected(observed: str, total: str) -> str:
-    """A cell's part of the chi-square statistic, with Yates' correction for two levels."""
+def _expected(observed: str, total: str, corrected: bool) -> str:
+    """A cell's part of the chi-square statistic, if wanted with Yates' correction, which two levels get."""
     expected = f"((left + right) * double({total}) / nullif(all_left + all_right, 0))"
     gap = f"abs({observed} - {expected})"
-    corrected = f"({gap} - CASE WHEN levels = 2 THEN least(0.5D, {gap}) ELSE 0D END)"
-    return f"{corrected} * {corrected} / nullif({expected}, 0D)"
+    gap = f"({gap} - least(0.5D, {gap}))" if corrected else gap
+    return f"{gap} * {gap} / nullif({expected}, 0D)"
+
+
+def _known(count: str) -> str:
+    """Whether a level is not missing, told by its count, so that the test stays above the counts and both the
+    levels and their totals use one set of them."""
+    return f"CASE WHEN level IS NULL THEN 0 ELSE {count} END > 0"
+
+
+def _totals(counts: DataFrame) -> DataFrame:
+    """Rows, missing rows and the first level per variable and group: sums of partial sums, however many levels."""
+    return counts.groupBy("variable", "group").agg(
+        F.sum("n").alias("group_total"),
+        F.expr("coalesce(sum(CASE WHEN level IS NULL THEN n END), 0) AS n_missing"),
+        F.min("level").alias("first_level"),
+    )
+
+
+def _beside(rows: DataFrame, few: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` with the columns of the one row of ``few`` that has their keys.
+
+    ``few`` has a row or two per variable that the caller named, so it goes to the rows: dealing rows by variable
+    would bring all levels of a variable to one task.
+    """
+    same = F.expr(" AND ".join(f"rows.{k} <=> few.{k}" for k in keys))
+    joined = rows.alias("rows").join(F.broadcast(few.alias("few")), same)
+    return joined.select("rows.*", *[F.col(f"few.{c}") for c in few.columns if c not in keys])
 
 
 def contingency(counts: DataFrame) -> DataFrame:
     """Rows of each level in the first and in the second group, missing values as the null level.
 
-    Beside them stand each variable's sums over its levels, its missing rows, and its test. All come
-    from the counts, which are a few rows per variable, by windows.
+    Beside them stand each variable's sums over its levels, its missing rows, its first level, and its test. Sums are
+    made per variable and brought back to the levels, so no task holds a variable's levels.
     """
+    groups = _with_groups(_totals(counts))
+
+    def of(side: str, value: str) -> str:
+        return f"max(CASE WHEN group = {side}_group THEN {value} END)"
+
+    whole = groups.groupBy("variable", "first_group", "second_group").agg(
+        *[F.expr(f"{of(g, 'group_total - n_missing')} AS all_{s}") for g, s in (("first", "left"), ("second", "right"))],
+        *[F.expr(f"{of(g, 'n_missing')} AS missing_{s}") for g, s in (("first", "left"), ("second", "right"))],
+        F.min("first_level").alias("first_level"),
+    )
+    carried = [c for c in whole.columns if c != "variable"]
     sides = (
-        _with_groups(counts)
-        .groupBy("variable", "level", "first_group", "second_group")
+        _beside(counts, whole, "variable")
+        .groupBy("variable", "level", *carried)
         .agg(
             F.expr("coalesce(sum(n) FILTER (WHERE group = first_group), 0) AS left"),
             F.expr("coalesce(sum(n) FILTER (WHERE group = second_group), 0) AS right"),
         )
     )
-    over = "OVER (PARTITION BY variable)"
-    sums = sides.selectExpr(
-        "*",
-        *[f"coalesce(sum(CASE WHEN level IS NOT NULL THEN {s} END) {over}, 0) AS all_{s}" for s in ("left", "right")],
-        *[f"coalesce(sum(CASE WHEN level IS NULL THEN {s} END) {over}, 0) AS missing_{s}" for s in ("left", "right")],
-        f"count(level) {over} AS levels",
+
+    def statistic(corrected: bool) -> Column:
+        parts = " + ".join(_expected(side, f"all_{side}", corrected) for side in ("left", "right"))
+        return F.expr(f"sum(CASE WHEN level IS NOT NULL THEN {parts} END)")
+
+    tests = (
+        sides.groupBy("variable")
+        .agg(F.count("level").alias("levels"), statistic(False).alias("plain"), statistic(True).alias("corrected"))
+        .selectExpr("variable", "levels", "CASE WHEN levels = 2 THEN corrected ELSE plain END AS statistic", "int(levels - 1) AS freedom")
+        .withColumn("pvalue", chi_square_p("statistic", "freedom"))
     )
-    parts = f"CASE WHEN level IS NOT NULL THEN {_expected('left', 'all_left')} + {_expected('right', 'all_right')} END"
-    tested = sums.selectExpr("*", f"sum({parts}) {over} AS statistic", "int(levels - 1) AS freedom")
-    return tested.withColumn("pvalue", chi_square_p("statistic", "freedom"))
+    return _beside(sides, tests, "variable")
 
 
 def chi_square(counts: DataFrame) -> DataFrame:
     """Chi-square test of independence per variable, with Yates' correction for two levels."""
     tests = ("statistic", "freedom", "pvalue")
-    found = contingency(counts).where("level IS NOT NULL")
+    found = contingency(counts).where(_known("left + right"))
     return found.groupBy("variable").agg(*[F.expr(f"any_value({c}) AS {c}") for c in tests])
 
 
@@ -121,16 +160,13 @@ def categorical_summary(
     counts = level_counts(df, columns, group, words)
     percent = "n * 100D / (group_total - n_missing) AS percent"
     if group is None:
-        over = "OVER (PARTITION BY variable, group)"
-        totals = counts.selectExpr(
-            "*", f"sum(n) {over} AS group_total", f"coalesce(sum(CASE WHEN level IS NULL THEN n END) {over}, 0) AS n_missing"
-        )
-        return totals.where("level IS NOT NULL").selectExpr("variable", "group", "level", "n", percent, "n_missing", "group_total")
+        totals = _totals(counts).drop("group", "first_level")  # one group, so one row per variable
+        return _beside(counts, totals, "variable").where(_known("n")).selectExpr("variable", "group", "level", "n", percent, "n_missing", "group_total")
     both = ", ".join(
         f"named_struct('group', {which}_group, 'n', {side}, 'n_missing', missing_{side}, 'group_total', all_{side} + missing_{side})"
         for which, side in (("first", "left"), ("second", "right"))
     )
-    rows = contingency(counts).where("level IS NOT NULL").selectExpr("variable", "level", f"inline(array({both}))", "pvalue")
+    rows = contingency(counts).where(_known("left + right")).selectExpr("variable", "level", f"inline(array({both}))", "pvalue")
     return rows.where("n > 0").selectExpr("variable", "group", "level", "n", percent, "n_missing", "group_total", "pvalue")
 
 
@@ -254,16 +290,12 @@ def _place(columns: Sequence[str], start: int = 0) -> Column:
 def _categorical_lines(df, columns, group, groups, words, digits) -> DataFrame:
     counts = level_counts(df, columns, group, words)
     if group is None:
-        over = "OVER (PARTITION BY variable)"
-        lines = counts.selectExpr(
-            "variable", "level", "n AS left",
-            f"coalesce(sum(CASE WHEN level IS NOT NULL THEN n END) {over}, 0) AS all_left",
-            f"coalesce(sum(CASE WHEN level IS NULL THEN n END) {over}, 0) AS missing_left",
-        )
+        totals = _totals(counts).selectExpr("variable", "group_total - n_missing AS all_left", "n_missing AS missing_left", "first_level")
+        lines = _beside(counts.selectExpr("variable", "level", "n AS left"), totals, "variable")
     else:
         lines = contingency(counts)
     sides = ("left", "right")[: len(groups)]
-    lines = lines.selectExpr("*", "min(level) OVER (PARTITION BY variable) AS first_level").where("level IS NOT NULL")
+    lines = lines.where(_known("left" if group is None else "left + right"))
     return lines.select(
         _place(columns).alias("line"),
         *_line_columns(

@@ -29,18 +29,55 @@ def exact_quantiles(
     quantiles: Mapping[str, float],
     also: Mapping[str, Column] | None = None,
     accuracy: int = ACCURACY,
+    margin: float = MARGIN,
 ) -> DataFrame:
     """``keys``, the aggregates in ``also``, and one interpolated quantile per name.
 
-    Null and NaN values are left out of the quantiles; groups without any value get null, as would a
-    rank outside its bracket and the values next to it, which the bound on the sketch rules out. The
-    aggregates travel with the rows of the second pass, so ``df`` is read twice and nothing is stored.
+    Null and NaN values are left out of the quantiles; groups without any value get null. The second pass
+    counts how many values lie below each bracket, so it knows whether a rank is inside: one that is not, which the
+    bound on the sketch rules out, fails the query. The aggregates travel with the rows of the second pass,
+    so ``df`` is read twice and nothing is stored.
     """
+    missed = "double(raise_error('a quantile lies outside of its bracket: use verified_quantiles'))"
+    return _bracketed(df, keys, value, quantiles, dict(also or {}), accuracy, margin, missed)
+
+
+def verified_quantiles(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    quantiles: Mapping[str, float],
+    also: Mapping[str, Column] | None = None,
+    accuracy: int = ACCURACY,
+    margin: float = MARGIN,
+) -> DataFrame:
+    """``exact_quantiles`` whatever the sketch: brackets are checked by count, and widened until all ranks are inside.
+
+    Reads ``df`` at once, twice per try. A bracket that holds all values cannot miss, so it ends.
+    """
+    also = dict(also or {})
+    while True:
+        tried = _bracketed(df, keys, value, quantiles, also, accuracy, margin, "double('NaN')")
+        if not tried.where(" OR ".join(f"isnan({quoted(n)})" for n in quantiles)).limit(1).count():
+            return exact_quantiles(df, keys, value, quantiles, also, accuracy, margin)
+        margin = max(margin * 16, 1.0)
+
+
+def _bracketed(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    quantiles: Mapping[str, float],
+    also: dict[str, Column],
+    accuracy: int,
+    margin: float,
+    missed: str,
+) -> DataFrame:
+    """The quantiles, with the expression ``missed`` for ranks outside of their brackets and the values next to them."""
     if not keys:
         raise ValueError("quantiles need a grouping column")
-    names, also = list(quantiles), dict(also or {})
-    margin = MARGIN / accuracy
-    edges = [min(max(p + sign * margin, 0.0), 1.0) for p in quantiles.values() for sign in (-1, 1)]
+    names = list(quantiles)
+    edges = [min(max(p + sign * margin / accuracy, 0.0), 1.0) for p in quantiles.values() for sign in (-1, 1)]
     number = F.expr(f"nullif(double({quoted(value)}), double('NaN'))")
     marks = df.groupBy(*[named(k) for k in keys]).agg(
         F.count(number).alias("values_seen"),
@@ -48,7 +85,7 @@ def exact_quantiles(
         *[column.alias(f"also_{i}") for i, column in enumerate(also.values())],
     )
     brackets = ", ".join(
-        f"named_struct('which', {i}, 'rank', {p!r}D * (values_seen - 1), 'low', edges[{2 * i}], 'high', edges[{2 * i + 1}])"
+        f"named_struct('which', {i}, 'seen', values_seen, 'rank', {p!r}D * (values_seen - 1), 'low', edges[{2 * i}], 'high', edges[{2 * i + 1}])"
         for i, p in enumerate(quantiles.values())
     )
     carried = [f"also_{i}" for i in range(len(also))]
@@ -68,7 +105,7 @@ def exact_quantiles(
             F.expr("count_if(number < low) AS below"),
             F.expr("max(CASE WHEN number < low THEN number END) AS under"),
             F.expr("min(CASE WHEN number > high THEN number END) AS over"),
-            *[F.expr(f"any_value({c}) AS {c}") for c in ["rank", *carried]],
+            *[F.expr(f"any_value({c}) AS {c}") for c in ["seen", "rank", *carried]],
         )
     )
     part = f"PARTITION BY {', '.join(group)}"
@@ -87,8 +124,12 @@ def exact_quantiles(
 
     by_which = (
         placed.groupBy(*group)
-        .agg(at("floor(rank)").alias("lower"), at("ceil(rank)").alias("upper"), *[F.expr(f"any_value({c}) AS {c}") for c in ["rank", *carried]])
-        .selectExpr(*group, *carried, "lower + (upper - lower) * (rank - floor(rank)) AS quantile")
+        .agg(at("floor(rank)").alias("lower"), at("ceil(rank)").alias("upper"), *[F.expr(f"any_value({c}) AS {c}") for c in ["seen", "rank", *carried]])
+        .selectExpr(
+            *group,
+            *carried,
+            f"CASE WHEN seen > 0 AND (lower IS NULL OR upper IS NULL) THEN {missed} ELSE lower + (upper - lower) * (rank - floor(rank)) END AS quantile",
+        )
     )
     return (
         by_which.groupBy(*found)

@@ -115,20 +115,18 @@ def error_bars(results: DataFrame, measure: str, panel: Sequence[str] = PANEL) -
 def histogram_bins(df: DataFrame, x: str, subgroup: str | None, bins: int) -> DataFrame:
     """Rows per subgroup and equal-width bin of ``x``; the last bin includes the largest value.
 
-    Values that are missing, NaN or infinite lie in no bin. The range of ``x`` is read first, one row, so
-    that the bins are literals of the plan.
+    Values that are missing, NaN or infinite lie in no bin. The range of ``x`` is a subquery of the same query, one row
+    that every task gets, so nothing is read before the query runs.
     """
     rows = drop_missing(df.select(_subgroup(subgroup), named(x).cast("double").alias("x")), "x")
-    low, high = rows.agg(F.min("x"), F.max("x")).first()
-    if low is None:
-        low = high = 0.0
-    width = (high - low) / bins
-    place = f"least(int((x - {low!r}D) * {bins} / {high - low!r}D) + 1, {bins})" if high > low else "1"
+    ends = rows.agg(F.struct(F.min("x").alias("low"), F.max("x").alias("high")).alias("ends")).scalar()
+    placed = rows.select("Subgroup", "x", ends.alias("ends")).selectExpr("Subgroup", "x", "ends.low AS low", "ends.high AS high")
+    place = f"CASE WHEN high > low THEN least(int((x - low) * {bins} / (high - low)) + 1, {bins}) ELSE 1 END"
     return (
-        rows.groupBy("Subgroup", F.expr(place).alias("bin"))
+        placed.groupBy("Subgroup", F.expr(place).alias("bin"), "low", "high")
         .agg(F.count(F.lit(1)).alias("n"))
         .selectExpr(
-            "Subgroup", "bin", f"{low!r}D + (bin - 1) * {width!r}D AS lower", f"{low!r}D + bin * {width!r}D AS upper", "n"
+            "Subgroup", "bin", f"low + (bin - 1) * ((high - low) / {bins}) AS lower", f"low + bin * ((high - low) / {bins}) AS upper", "n"
         )
     )
 
@@ -146,6 +144,44 @@ def box_summary(df: DataFrame, y: str, x: str, subgroup: str | None) -> DataFram
     )
 
 
+#: Fences lie so many quartile distances outside of the quartiles.
+FENCE = 1.5
+
+
+def _with_fences(df: DataFrame, y: str, x: str, subgroup: str | None, fence: float) -> DataFrame:
+    """Each value of ``y`` with its subgroup, ``x``, and its box's summary and fences."""
+    boxes = box_summary(df, y, x, subgroup).selectExpr(
+        "Subgroup AS box_subgroup",
+        f"{quoted(x)} AS box_x",
+        "q1", "median", "q3", "low", "high", "n",
+        f"q1 - {fence!r}D * (q3 - q1) AS lower_fence",
+        f"q3 + {fence!r}D * (q3 - q1) AS upper_fence",
+    )
+    rows = df.select(_subgroup(subgroup), named(x), named(y).cast("double").alias("y")).where("y IS NOT NULL AND NOT isnan(y)")
+    return rows.join(boxes, F.expr(f"Subgroup <=> box_subgroup AND {quoted(x)} <=> box_x"))
+
+
+def box_whiskers(df: DataFrame, y: str, x: str, subgroup: str | None, fence: float = FENCE) -> DataFrame:
+    """The boxes with their whiskers, which end at the last values inside the fences, and the number of outliers."""
+    inside = "y BETWEEN lower_fence AND upper_fence"
+    carried = ["q1", "median", "q3", "low", "high", "n"]
+    return (
+        _with_fences(df, y, x, subgroup, fence)
+        .groupBy("Subgroup", named(x), *carried)
+        .agg(
+            F.expr(f"min(CASE WHEN {inside} THEN y END) AS lower_whisker"),
+            F.expr(f"max(CASE WHEN {inside} THEN y END) AS upper_whisker"),
+            F.expr(f"count_if(NOT ({inside})) AS n_outliers"),
+        )
+    )
+
+
+def box_outliers(df: DataFrame, y: str, x: str, subgroup: str | None, fence: float = FENCE) -> DataFrame:
+    """The values outside of the fences, with how often each occurs: the points that a box plot draws one by one."""
+    found = _with_fences(df, y, x, subgroup, fence).where("y NOT BETWEEN lower_fence AND upper_fence")
+    return found.groupBy("Subgroup", named(x), "y").agg(F.count(F.lit(1)).alias("n"))
+
+
 def level_panels(
     results: DataFrame,
     max_levels: int,

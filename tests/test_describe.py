@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortrates.operators import describe
-from cohortrates.operators.quantiles import exact_quantiles
+from cohortrates.operators.quantiles import exact_quantiles, verified_quantiles
 
 SCHEMA = "arm string, sex string, town string, score double, age int"
 PEOPLE = [
@@ -148,3 +148,32 @@ def test_quantiles_are_exact(spark, accuracy):
         for name, p in wanted.items():
             assert found[k][name] == pytest.approx(interpolated(group, p)), (k, name)
     assert found["nan"]["half"] is None
+
+
+def test_a_missed_bracket_fails_and_is_widened(spark):
+    """Brackets far too narrow, on sorted and skewed values: an error, and exact values after widening."""
+    df = spark.range(30_000).selectExpr("if(id < 29000, 'sorted', 'skewed') AS k", "if(id < 29000, double(id), exp(double(id - 29000) / 9)) AS v").coalesce(3)
+    wanted = {"a": 0.013, "half": 0.5, "b": 0.987}
+    with pytest.raises(Exception, match="outside of its bracket"):
+        exact_quantiles(df, ["k"], "v", wanted, accuracy=10, margin=0.0).collect()
+    for margin in (0.0, 0.001, 32):
+        found = {r["k"]: r for r in verified_quantiles(df, ["k"], "v", wanted, {"n": F.count("v")}, accuracy=10, margin=margin).collect()}
+        for k, values in {"sorted": list(range(29_000)), "skewed": [math.exp(i / 9) for i in range(1000)]}.items():
+            assert found[k]["n"] == len(values)
+            for name, p in wanted.items():
+                assert found[k][name] == pytest.approx(interpolated(values, p)), (k, name)
+
+
+def test_levels_of_a_variable_are_not_brought_to_one_task(spark):
+    df = spark.range(40_000).selectExpr("string(id % 20000) AS many", "if(id % 3 = 0, 'a', 'b') AS g", "string(id % 2) AS two")
+    whole = describe.categorical_summary(df, ["many", "two"])
+    found = {(r["variable"], r["level"]): r["percent"] for r in whole.collect()}
+    assert len(found) == 20_002 and found["two", "1"] == 50 and found["many", "7"] == pytest.approx(0.005)
+    assert "Window" not in whole._jdf.queryExecution().executedPlan().toString()
+    grouped = describe.categorical_summary(df, ["many", "two"], "g")
+    rows = grouped.where("variable = 'many'").collect()
+    assert sum(r["n"] for r in rows) == 40_000 and len({r["pvalue"] for r in rows}) == 1
+    # windows are over totals of groups, so their input is dealt by variable from sums per variable and group
+    plan = grouped._jdf.queryExecution().optimizedPlan().toString()
+    for window in plan.split("Window [")[1:]:
+        assert "level" not in window.split("\n")[0]

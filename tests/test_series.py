@@ -108,3 +108,27 @@ def test_levels_are_ordered_as_numbers_where_they_are(spark):
         ("s", 0): ["10", "9"], ("s", 1): ["x"],
         ("f", 0): ["1.5", "10.0"],
     }
+
+
+def test_whiskers_and_outliers(spark):
+    rows = [("a", i, float(v)) for i in (1, 2) for v in [*range(1, 10), 30 * i, -20, -20]] + [("a", None, 5.0), ("b", 1, None), (None, 1, float("nan")), (None, 1, 2.0)]
+    df = spark.createDataFrame(rows, "g string, x int, y double")
+    found = {(r["Subgroup"], r["x"]): r for r in series.box_whiskers(df, "y", "x", "g").collect()}
+    assert set(found) == {("a", 1), ("a", 2), ("a", None), ("Null", 1)}
+    for i in (1, 2):
+        box = found["a", i]
+        assert (box["lower_whisker"], box["upper_whisker"], box["n_outliers"], box["low"], box["high"]) == (1, 9, 3, -20, 30 * i)
+    assert found["a", None]["n_outliers"] == 0 and found["Null", 1]["upper_whisker"] == 2
+    points = sorted(tuple(r) for r in series.box_outliers(df, "y", "x", "g").collect())
+    assert points == [("a", 1, -20.0, 2), ("a", 1, 30.0, 1), ("a", 2, -20.0, 2), ("a", 2, 60.0, 1)]
+    wide = series.box_whiskers(df, "y", "x", "g", fence=100.0)
+    assert {r["n_outliers"] for r in wide.collect()} == {0}
+
+
+def test_histogram_reads_nothing_early(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 4.0), ("b", 2.5), ("b", None)], "g string, x double")
+    spark.sparkContext.setJobGroup("histogram", "histogram")
+    made = series.histogram_bins(df, "x", "g", 3)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("histogram")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(tuple(r) for r in made.collect()) == [("a", 1, 1.0, 2.0, 1), ("a", 3, 3.0, 4.0, 1), ("b", 2, 2.0, 3.0, 1)]
