@@ -8,8 +8,10 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from cohortrates.llm import decontaminate, license_scan, simhash
+from cohortrates.llm.common import settled
 
 from .conftest import prose
 
@@ -162,6 +164,80 @@ def test_edited_copies_are_found_as_by_full_alignment(spark):
     assert {(r.doc_id, r.item_id): r.score for r in found} == want
 
 
+def hashed_words(texts: dict) -> dict:
+    return {i: np.array([decontaminate.word_hash(w) for w in decontaminate.words_of(t)], dtype=np.uint64) for i, t in texts.items()}
+
+
+def test_recall_against_alignment_without_seeds(spark):
+    """Copies with 15 to 40 % of the words edited, and with every third word replaced, among texts of the same words."""
+    items = {i: prose(7000 + i, 12 + i % 45) for i in range(90)}
+    rng = random.Random(3)
+    texts = {}
+    for i, item in items.items():
+        words, share = item.split(), (0.15, 0.25, 0.33, 0.4)[i % 4]
+        for k, copy in enumerate(
+            [edited(item, i, share), " ".join("other" if rng.random() < share else w for w in words), " ".join("other" if j % 3 == i % 3 else w for j, w in enumerate(words))]
+        ):
+            texts[1000 * k + i] = f"{prose(8000 + 3 * i + k, 40)} {copy} {prose(9000 + 3 * i + k, 40)}"
+    texts |= {5000 + i: prose(100 + i, 120) for i in range(60)}
+    theirs, own = hashed_words(texts), hashed_words(items)
+    want = set()
+    for i, j in ((i, j) for i in theirs for j in own):
+        if np.isin(own[j], theirs[i]).mean() >= 0.5 and decontaminate.align(theirs[i], own[j])[0] >= len(own[j]):
+            want.add((i, j))
+    assert len(want) > 180 and sum(i >= 2000 for i, _ in want) > 60
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()}
+    assert found <= want and len(found) >= 0.95 * len(want)
+
+
+def stages_of(spark, docs, items):
+    """Passages, units and seeds as ``contaminated`` makes them."""
+    own = decontaminate.item_words(items)
+    units = settled(own.groupBy("a", "b").agg(F.first("words").alias("words")).select(F.monotonically_increasing_id().alias("unit"), "words", F.size("words").alias("n")), "test-units")
+    grams = settled(decontaminate.unit_seeds(units), "test-seeds")
+    seeds = settled(grams.join(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("items")), "gram"), "test-counts")
+    found = decontaminate.passages(docs, units, seeds).withColumn("passage", F.monotonically_increasing_id())
+    return settled(found, "test-passages"), units, seeds
+
+
+def test_pairs_grow_in_proportion_where_items_begin_alike(spark):
+    """Every text holds the words that all items begin with, and every tenth one the end of one more item."""
+    begin = "which of the following statements about the subject is"
+    made = {}
+    for n in (100, 200):
+        ends = [" ".join(f"end{(i * 31 + k) % 5000}" for k in range(12)) for i in range(4 * n)]
+        items = spark.createDataFrame([(i, f"{begin} {ends[i]}") for i in range(n)], "item_id long, text string")
+        docs = spark.createDataFrame([(i, f"{prose(600 + i, 20)} {begin} {ends[i // 10] if i % 10 == 0 else prose(300 + i, 20)}") for i in range(4 * n)], "doc_id long, text string")
+        found, units, seeds = stages_of(spark, docs, items)
+        assert found.count() == 4 * n
+        made[n] = decontaminate.candidates(found, units, seeds).count()
+    assert 40 <= made[100] <= 200 and made[200] <= 2.5 * made[100]
+
+
+def test_items_that_differ_in_little_are_told_apart_by_longer_seeds(spark):
+    """Each item shares all seeds of its first words with all others; copies are verbatim or edited behind them."""
+    begin = " ".join(f"shared{k}" for k in range(30))
+    items = {i: f"{begin} only{i} tail{i} end{i}" for i in range(100)}
+    texts = {i: f"{prose(i, 10)} {items[i]} {prose(50 + i, 10)}" for i in range(0, 100, 9)}
+    texts |= {500: f"{begin} and so on", 501: f"{prose(1, 20)} shared3 shared4 shared5 {prose(2, 20)}"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    frame = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    found = decontaminate.contaminated(docs, frame).collect()
+    exact = {(r.doc_id, r.item_id) for r in found if r.similarity == 1}
+    assert exact == {(i, i) for i in range(0, 100, 9)}
+    long_seeds = decontaminate.lengthened(*stages_of(spark, docs, frame)[1:])
+    assert long_seeds.groupBy("unit").count().count() == 100 and long_seeds.agg(F.max("size")).first()[0] <= 33
+
+
+def test_very_long_items_and_texts(spark):
+    item = " ".join(f"w{k}" for k in range(3000))
+    data = [(1, f"{prose(1, 50)} {item} {prose(2, 50)}"), (2, " ".join(f"w{k}" for k in range(0, 3000, 2))), (3, prose(3, 60_000)), (4, "w1 w2 w3 w4")]
+    items = spark.createDataFrame([(1, item), (2, "w1 w2 w3 w4")], "item_id long, text string")
+    found = decontaminate.contaminated(spark.createDataFrame(data, "doc_id long, text string"), items).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(1, 1), (1, 2), (4, 2)]
+
+
 def test_frequent_copies_keep_their_seeds(spark):
     """A passage in every document is as frequent as any of its n-grams, and is found in all."""
     data = [(i, f"{prose(i, 30)} the rain in spain stays mainly in the plain today {prose(i + 500, 30)}") for i in range(60)]
