@@ -9,7 +9,6 @@ from ..functions.columns import strata_label
 from ..functions.limits import byar_lower, byar_upper
 from ..operators import rates
 from ..operators.grid import Study
-from ..sources.tables import merge_results
 from . import oracle, views
 from .settings import (
     CONDITIONS,
@@ -55,10 +54,21 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def crude_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Results of one run per condition put together; equal to one run over all of them."""
-    cohort = views.cohort(spark, sf_dir)
-    parts = [rates.analyse(cohort, [c], ["SEX"], PREV) for c in CONDITIONS]
-    return rounded(merge_results(parts))
+    """Results of an earlier extract brought up to date; equal to one run over the present one.
+
+    The earlier extract did not know ``condition_a`` of some persons, and knew ``condition_b`` of nobody. Signed rows of
+    these persons, and cells of the further condition, are merged into its cells.
+    """
+    cohort = views.cohort(spark, sf_dir).select("PATIENT_ID", "INDEX_DATE", "END_DATE", "SEX", *CONDITIONS)
+    changed = F.col("PATIENT_ID") % 10 == 3
+    earlier = cohort.withColumn("condition_a", F.when(~changed, F.col("condition_a")))
+    both = F.array(F.struct(F.lit(1).alias("sign"), F.col("condition_a").alias("a")), F.struct(F.lit(-1).alias("sign"), F.lit(None).cast("date").alias("a")))
+    signed = cohort.where(changed).select("INDEX_DATE", "END_DATE", "SEX", F.inline(both)).withColumnRenamed("a", "condition_a")
+    first, later = CONDITIONS
+    cells = rates.rate_cells(earlier, [first], ["SEX"], [PREV])
+    more = rates.rate_cells(signed, [first], ["SEX"], [PREV], sign="sign")
+    further = rates.condition_cells(rates.rate_cells(cohort, [later], ["SEX"], [PREV]))
+    return rounded(rates.crude_rates(rates.merge_cells(cells, more, further), PREV, CONDITIONS, ["SEX"]))
 
 
 #: More conditions than one expansion lists.

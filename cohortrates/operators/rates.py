@@ -22,6 +22,7 @@ projections, each of which compiles to a method small enough for the JVM to opti
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -206,9 +207,13 @@ def rate_cells(
     studies: Sequence[Study],
     index_date: str = "INDEX_DATE",
     end_date: str = "END_DATE",
+    sign: str | None = None,
 ) -> DataFrame:
     """Sums of changes by measure, condition, finest stratum, kind and period, in one pass.
 
+    With ``sign``, a column of 1 and -1, rows count for or against: a person's outdated row and the new one make
+    cells that ``merge_cells`` adds to those of all persons.
+
     ``cohort`` has one row per person with typed dates. The rows with a null ``Condition`` hold the
     population that all conditions share. Both unpivots are expansions inside generated code: they
     build no arrays and no objects per row.
@@ -224,15 +229,16 @@ def rate_cells(
         *[f"coalesce(string({quoted(n)}), '{NO_STRATUM}') AS {k}" for n, k in zip(names, keys, strict=True)],
         f"date({quoted(index_date)}) AS index_date",
         f"date({quoted(end_date)}) AS end_date",
+        *([f"int({quoted(sign)}) AS row_sign"] if sign else []),
         *[("date'1970-01-01'" if code == PERSON else f"date({quoted(c)})") + f" AS `{code}`" for code, c in codes.items()],
-    ).selectExpr(*keys, *[f"`{code}`" for code in codes], *[c for s in spells for c in s.person_columns()])
+    ).selectExpr(*keys, *(["row_sign"] if sign else []), *[f"`{code}`" for code in codes], *[c for s in spells for c in s.person_columns()])
     rows = _dates_listed(persons, list(codes))
     changes = [c for s in spells for c in s.changes()]
     wide = rows.selectExpr("*", *[c for s in spells for c in s.event_columns()]).selectExpr(
         *keys,
         "Condition",
         *[
-            f"int({sql}) AS {what}_{i}"
+            f"int({sql}){' * row_sign' if sign and what != 'period' else ''} AS {what}_{i}"
             for i, (_, _, *parts) in enumerate(changes)
             for what, sql in zip(("period", "amount", "days"), parts, strict=True)
         ],
@@ -257,6 +263,22 @@ def rate_cells(
     )
 
 
+def merge_cells(cells: DataFrame, *more: DataFrame) -> DataFrame:
+    """The cells of all persons after changes: all are sums, so they add up.
+
+    ``more`` are cells of signed rows, of persons who came later, or, by ``condition_cells``, of further conditions.
+    Cells that changes bring to nothing go, as if they had never been. Persons are not read again.
+    """
+    every = reduce(lambda a, b: a.unionByName(b), more, cells)
+    keys = [named(c) for c in cells.columns if c not in ("amount", "days")]
+    return every.groupBy(*keys).agg(F.sum("amount").alias("amount"), F.sum("days").alias("days")).where("amount <> 0 OR days <> 0")
+
+
+def condition_cells(cells: DataFrame) -> DataFrame:
+    """Cells without those of the population, which another table of the same persons has already."""
+    return cells.where("Condition IS NOT NULL")
+
+
 def crude_rates(
     cells: DataFrame,
     study: Study | Sequence[Study],

@@ -30,16 +30,30 @@ PUBLISH = "Publish/"
 SHORT = {INCIDENCE: "inc", PREVALENCE: "prev"}
 
 
+#: The order of rows in result files for people.
+RESULT_ORDER = ("Condition", "Group", "Subgroup", "Date")
+
+
 def _write(df: DataFrame, path: str, drop=()) -> None:
     """``path``.parquet, and ``path``.csv read back from it, so that nothing is computed twice."""
     tables.write_parquet(df, f"{path}.parquet")
-    tables.write_csv(df.sparkSession.read.parquet(f"{path}.parquet").drop(*drop), f"{path}.csv")
+    tables.write_csv(df.sparkSession.read.parquet(f"{path}.parquet").drop(*drop), f"{path}.csv", RESULT_ORDER)
+
 
+def _cleaned(spark: SparkSession, path: str, aside: bool = False) -> DataFrame:
+    """The extract with formatted nulls and names; text files become columnar once, here.
 
-def _cleaned(spark: SparkSession, path: str) -> DataFrame:
-    """The extract with formatted nulls and names; text files become columnar once, here."""
-    df = cleaning.strip_codelist_suffix(cleaning.empty_to_null(tables.scan(spark, path)))
-    if not path.endswith(".csv"):
+    Malformed rows of a text file fail the stage, or with ``aside`` go to a file of their own.
+    """
+    is_text = path.endswith(".csv")
+    if is_text and aside:
+        found = tables.read_csv(spark, path)
+        tables.write_csv(found.malformed, f"{path.removesuffix('.csv')}_malformed.csv", ["file", "row"])
+        df = found.rows
+    else:
+        df = tables.scan(spark, path)
+    df = cleaning.strip_codelist_suffix(cleaning.empty_to_null(df))
+    if not is_text:
         return df
     target = f"{path.removesuffix('.csv')}_formNulls.parquet"
     tables.write_parquet(df, target)
@@ -49,12 +63,12 @@ def _cleaned(spark: SparkSession, path: str) -> DataFrame:
 def process(spark: SparkSession, config: Config) -> DataFrame:
     """Clean, link, merge and recode the extracts into one cohort table."""
     options, root = config["processing"], config["dir_data"]
-    fmt = config.get("date_fmt", "%Y-%m-%d")
+    fmt, aside = config.get("date_fmt", "%Y-%m-%d"), bool(options.get("malformed_aside"))
     if options.get("filename"):
-        cohort = _cleaned(spark, f"{root}{options['filename']}")
+        cohort = _cleaned(spark, f"{root}{options['filename']}", aside)
     else:
-        a = _cleaned(spark, f"{root}{options['filename_gold']}")
-        b = _cleaned(spark, f"{root}{options['filename_aurum']}")
+        a = _cleaned(spark, f"{root}{options['filename_gold']}", aside)
+        b = _cleaned(spark, f"{root}{options['filename_aurum']}", aside)
         practices = maps.read_practice_map(
             spark, f"{root}{options['map_file_AtoB']}", sep=options.get("map_delim_AtoB", "\t")
         )

@@ -146,6 +146,53 @@ def test_one_to_one(spark):
         linkage.link_one_to_one(cohort.where("id = 1").union(cohort), records, "id", "key").collect()
 
 
+def test_columns_go_by_the_header_of_their_file(spark, tmp_path):
+    folder = tmp_path / "many files"
+    folder.mkdir()
+    (folder / "1.csv").write_text("x,y\n1,2\n3,\n")
+    (folder / "2.csv").write_text('y,x\n20,10\n"4,0",30\n')
+    (folder / "3.csv").write_text("")
+    found = tables.read_csv(spark, str(folder))
+    assert found.rows.columns == ["x", "y"] and found.malformed.count() == 0
+    assert rows(found.rows) == rows(tables.scan_csv(spark, str(folder))) == [("1", "2"), ("10", "20"), ("3", None), ("30", "4,0")]
+    assert rows(tables.scan_csv(spark, str(folder), ["y"])) == [("2",), ("20",), ("4,0",), (None,)]
+    (folder / "4.csv").write_text("x,z\n1,2\n")
+    with pytest.raises(ValueError, match="other files have"):
+        tables.read_csv(spark, str(folder))
+
+
+def test_malformed_rows_are_put_aside_or_fail(spark, tmp_path):
+    source = tmp_path / "in.csv"
+    source.write_text("x,y,z\n1,2,3\n4,5\n6,7,8,9\n10,11,12\n")
+    found = tables.read_csv(spark, str(source))
+    assert rows(found.rows) == [("1", "2", "3"), ("10", "11", "12")]
+    assert [r.row for r in found.malformed.orderBy("row").collect()] == ["4,5", "6,7,8,9"]
+    assert found.malformed.select("file").distinct().first()[0].endswith("in.csv")
+    assert rows(found.rows.select("x")) == [("1",), ("10",)] and found.rows.count() == 2
+    for columns in (None, ["x"]):
+        with pytest.raises(Exception, match="malformed row in .*in.csv"):
+            tables.scan_csv(spark, str(source), columns).collect()
+
+
+def test_a_result_is_one_file_in_order(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id % 7 AS a", "concat('x, ', id) AS b", "if(id % 2 = 0, null, '') AS c").repartition(5)
+    path = tmp_path / "out dir" / "result.csv"
+    tables.write_csv(df, str(path), ["a", "b"])
+    lines = path.read_text().splitlines()
+    assert lines[0] == "a,b,c" and len(lines) == 1001 and path.is_file()
+    assert lines[1:] == [f'{a},"{b}",' + ('""' if c == "" else "") for a, b, c in sorted((r.a, r.b, r.c) for r in df.collect())]
+    assert [p.name for p in path.parent.iterdir() if not p.name.endswith(".crc")] == ["result.csv"]
+    with pytest.raises(Exception, match="no such thing"):
+        tables.write_csv(df.selectExpr("a", "string(raise_error('no such thing')) AS b"), str(path))
+    assert path.read_text().splitlines() == lines  # the older file is left, and nothing beside it
+    assert [p.name for p in path.parent.iterdir() if not p.name.endswith(".crc")] == ["result.csv"]
+    tables.write_csv(df.limit(0), str(path))
+    assert path.read_text() == "a,b,c\n"
+    (tmp_path / "folder.csv").mkdir()
+    with pytest.raises(FileExistsError):
+        tables.write_csv(df, str(tmp_path / "folder.csv"))
+
+
 def ran(df) -> str:
     """The plan that ran."""
     df.collect()

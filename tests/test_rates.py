@@ -8,7 +8,7 @@ import pytest
 
 from cohortrates.functions.limits import exact_limits
 from cohortrates.operators.grid import INCIDENCE, PREVALENCE, Study, StudyGrid
-from cohortrates.operators.rates import analyse, cohort_long, crude_rates, rate_cells, strata_lists
+from cohortrates.operators.rates import analyse, cohort_long, condition_cells, crude_rates, merge_cells, rate_cells, strata_lists
 
 SCHEMA = "INDEX_DATE date, END_DATE date, a date, b date, sex string, band string"
 YEARLY = StudyGrid.between(date(2001, 1, 1), date(2004, 12, 31))
@@ -229,3 +229,34 @@ def test_cohort_long(spark):
         for c, e in (("a", D(2001, 1, 1)), ("b", None))
         for g, s in (("Overall", ""), ("sex", "F"), ("sex, band", "F, null"))
     }
+
+
+@pytest.mark.parametrize("measure", [INCIDENCE, PREVALENCE])
+def test_changed_cells_are_those_of_a_full_run(spark, measure):
+    """Persons who come, go and are corrected, and a condition added later; sums over a cross still equal its parts."""
+    study, strata = Study(measure, MONTHLY), ["band", ["sex", "band"]]
+    before, after = some_people(300, 5), some_people(300, 5)
+    rng = random.Random(8)
+    gone, corrected, come = before[:20] + [p for p in before if p["band"] == "x"], range(40, 90), some_people(60, 6)
+    for i in corrected:
+        after[i] = {**after[i], "a": after[i]["END_DATE"], "sex": rng.choice("FMI"), "band": "new"}
+    now = [p for k, p in enumerate(after) if k >= 20 and not (p["band"] == "x" and p in gone)] + come
+    signed = [(*p.values(), -1) for p in gone] + [(*p.values(), 1) for p in come]
+    kept = [k for k in corrected if before[k] not in gone]
+    now = [p for k, p in enumerate(after) if before[k] not in gone] + come
+    signed += [(*before[k].values(), -1) for k in kept] + [(*after[k].values(), 1) for k in kept]
+    signed = [r for r in signed]
+    frame = spark.createDataFrame([tuple(p.values()) for p in before], SCHEMA)
+    changes = spark.createDataFrame(signed, SCHEMA + ", which int")
+    full = spark.createDataFrame([tuple(p.values()) for p in now], SCHEMA)
+    cells = rate_cells(frame, ["a"], strata, [study])
+    first = merge_cells(cells, rate_cells(changes, ["a"], strata, [study], sign="which"))
+    merged = merge_cells(first, condition_cells(rate_cells(full, ["b"], strata, [study])))
+    rows = {(r["Condition"], r["Group"], r["Subgroup"], r["Date"]): tuple(r) for r in crude_rates(merged, study, ["a", "b"], strata).collect()}
+    wanted = {(r["Condition"], r["Group"], r["Subgroup"], r["Date"]): tuple(r) for r in analyse(full, ["a", "b"], strata, study).collect()}
+    assert rows == wanted and any(k[2] == "new" for k in rows)
+    numerator = list(crude_rates(merged, study, ["a"], strata).columns).index("Numerator")
+    for (condition, group, label, day), row in rows.items():
+        if group == "band":
+            parts = [r[numerator] for (c, g, s, d), r in rows.items() if (c, g, d) == (condition, "sex, band", day) and s.split(", ")[1] == label]
+            assert parts and sum(parts) == row[numerator]
