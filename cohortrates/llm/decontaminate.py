@@ -135,6 +135,13 @@ def _marked(marks: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
     return (marks[places >> 3] >> (places & 7)) & 1 == 1
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    """A column of lists of unsigned numbers, as signed ones."""
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    values = np.concatenate([*arrays, np.zeros(0, dtype=np.uint64)]).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+
+
 def item_words(items: DataFrame) -> DataFrame:
     """item_id, its word hashes, and ``a``, ``b``, the key of its words in order. Items without words are left out."""
 
@@ -180,7 +187,8 @@ def passages(docs: DataFrame, units: DataFrame, seeds: DataFrame, similarity: fl
     """The parts of texts around seeds, as far as a copy of an item of that length can reach.
 
     One row per passage: doc_id, ``t`` (tells texts of one id apart), ``at`` (its first word's number), its
-    word hashes, and its seeds that some item has. The maps may let others through; the join does not.
+    word hashes, 0 for words of no item, and its seeds that some item has. The maps may let others through; the
+    join does not.
     """
     lengths = units.agg(F.max("n"), F.min("n")).first()
     longest, shortest = lengths[0] or 0, lengths[1] or 3
@@ -205,7 +213,7 @@ def passages(docs: DataFrame, units: DataFrame, seeds: DataFrame, similarity: fl
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Known()
         for batch in batches:
-            out: dict[str, list] = {"row": [], "at": [], "words": [], "grams": []}
+            out: dict[str, list] = {"row": [], "at": [], "words": [], "grams": []}  # the last two: an array a passage
             for row, text in enumerate(batch.column(2)):
                 split = words_of(text.as_py())
                 hashes = np.fromiter(map(known.__getitem__, split), np.uint64, len(split))
@@ -237,13 +245,11 @@ def passages(docs: DataFrame, units: DataFrame, seeds: DataFrame, similarity: fl
                     low, high = int(lows[part].min()), int(highs[part].max())
                     out["row"].append(row)
                     out["at"].append(low)
-                    out["words"].append([h or word_hash(w) for w, h in zip(split[low:high], hashes[low:high].tolist(), strict=True)])
-                    out["grams"].append(np.unique(grams[part]).view(np.int64).tolist())
-            kind = pa.list_(pa.int64())
+                    out["words"].append(hashes[low:high])
+                    out["grams"].append(np.unique(grams[part]))
             rows = pa.array(out["row"], pa.int64())
-            signed = [np.array(w, dtype=np.uint64).view(np.int64).tolist() for w in out["words"]]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(out["at"], pa.int64()), pa.array(signed, kind), pa.array(out["grams"], kind)],
+                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(out["at"], pa.int64()), _lists(out["words"]), _lists(out["grams"])],
                 ["doc_id", "t", "at", "words", "grams"],
             )
 
