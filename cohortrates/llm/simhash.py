@@ -3,7 +3,9 @@
 A fingerprint belongs to a shard of the tree by its Hamming distances to vantage points. At a vantage
 point of radius r, fingerprints up to r + bits away go to the near side and those beyond r to the far
 side, so a pair within ``bits`` meets in a shard even where it lies astride a boundary: by the triangle
-inequality the far one of the pair is at most ``bits`` beyond the radius. Inside a shard the same rule
+inequality the far one of the pair is at most ``bits`` beyond the radius. The first tree is built from a sample
+of all fingerprints; a shard that is still too large gets a tree of its own from a sample of it, round by round over the
+cluster, so shards do not grow with the corpus. Inside a shard the same rule
 splits on until what is left is compared outright. A shard returns a star per class it sees, never
 all pairs; classes that reach over shards are joined by star contraction over the edges.
 """
@@ -11,6 +13,7 @@ all pairs; classes that reach over shards are joined by star contraction over th
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,6 +33,12 @@ SAMPLE = 8192
 #: Fingerprints a shard should hold; the tree stops splitting earlier where the sample gets too thin.
 SHARD = 8192
 
+#: A shard of more than this many times SHARD is split again; its sample is as large as the first one.
+OVER = 4
+
+#: Fingerprints of a shard that one task routes.
+ROUTED = 1 << 20
+
 #: Blocks of this size are compared pair by pair.
 BLOCK = 1024
 
@@ -160,8 +169,71 @@ def classes(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return np.array([root(i) for i in range(len(points))], dtype=np.int64)
 
 
-def links(nodes: DataFrame, bits: int = BITS, sample: int = SAMPLE, shard: int = SHARD) -> DataFrame:
-    """Edges ``u`` > ``v`` between distinct fingerprints (column ``fp``) that connect exactly the linked ones."""
+def _packed(nodes: list[tuple[int, int, int, int]]) -> bytes:
+    return b"".join(np.uint64(c).tobytes() + np.array(n, dtype=np.int64).tobytes() for c, *n in nodes)
+
+
+def _unpacked(tree: bytes) -> list[tuple[int, int, int, int]]:
+    whole = np.frombuffer(tree, dtype=np.int64).reshape(-1, 4)
+    return list(zip(whole[:, 0].view(np.uint64).tolist(), *whole[:, 1:].T.tolist(), strict=True))
+
+
+def _again(points: DataFrame, large: DataFrame, bits: int, sample: int, shard: int) -> tuple[DataFrame, DataFrame]:
+    """The points of the large shards (``shard``, ``n``) dealt to smaller ones by a tree each, and those that no tree splits.
+
+    Samples and trees are bounded per shard. A tree travels to the tasks that have the shard's points ahead of
+    them, so a task holds one tree and one batch; a shard of very many points goes to several tasks.
+    """
+    held = points.join(large, "shard")
+    drawn = held.where(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) <= F.lit(float(sample) * (1 << 30)) / F.col("n"))
+
+    def grown(group: pa.Table) -> pa.Table:
+        own = group.column("fp").to_numpy().view(np.uint64)
+        nodes = build_tree(np.sort(own), group.column("n")[0].as_py(), bits, shard)
+        return group.slice(0, 1).select(["shard", "n"]).append_column("tree", pa.array([_packed(nodes)], pa.binary()))
+
+    trees = settled(drawn.groupBy("shard").applyInArrow(grown, "shard long, n long, tree binary"), "shard-trees")
+    tasks = F.ceil(F.col("n") / ROUTED)
+    splits = trees.where("octet_length(tree) > 0")
+    ahead = splits.select("shard", F.explode(F.sequence(F.lit(0).cast("long"), tasks - 1)).alias("task"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("fp"), "tree")
+    behind = held.join(splits.select("shard"), "shard", "left_semi").select(
+        "shard", F.pmod(F.xxhash64("fp"), tasks).alias("task"), F.lit(1).alias("kind"), "fp", F.lit(None).cast("binary").alias("tree")
+    )
+    kinds = np.dtype([("shard", np.int64), ("place", np.int64)])
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree: list = []
+        for batch in batches:
+            first = np.flatnonzero(batch.column(2).to_numpy() == 0)
+            for begin, end in zip([0, *first], [*first, batch.num_rows], strict=True):
+                part = batch.slice(begin, end - begin)
+                if part.num_rows and part.column(2)[0].as_py() == 0:
+                    tree, part = _unpacked(part.column(4)[0].as_py()), part.slice(1)
+                if part.num_rows:
+                    own, fps = part.column(0)[0].as_py(), part.column(3).to_numpy().view(np.uint64)
+                    for place, found in _route(fps, tree, bits):
+                        # a shard's name is the hash of its parent's and its place there
+                        name = xxhash.xxh64_intdigest(np.array([(own, place)], dtype=kinds).tobytes()) >> 1
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), name, dtype=np.int64)), pa.array(found.view(np.int64))], ["shard", "fp"])
+
+    dealt = ahead.unionByName(behind).repartition("shard", "task").sortWithinPartitions("shard", "task", "kind")
+    whole = held.join(trees.where("octet_length(tree) = 0").select("shard"), "shard", "left_semi")
+    return settled(dealt.mapInArrow(route, "shard long, fp long"), "shards"), whole
+
+
+def _blockwise(whole: DataFrame, shard: int) -> DataFrame:
+    """Points of shards that no tree splits, dealt to pairs of blocks: each two points meet, and no task holds more than two blocks."""
+    blocks = F.ceil(F.col("n") / shard)
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    paired = whole.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64(F.lit("block"), "fp"), F.col("blocks"))).select("shard", "fp", "own", other)
+    return paired.select(F.xxhash64("shard", F.least("own", "other"), F.greatest("own", "other")).alias("shard"), "fp")
+
+
+def sharded(nodes: DataFrame, bits: int = BITS, sample: int = SAMPLE, shard: int = SHARD) -> DataFrame:
+    """``shard`` and ``fp``: every two fingerprints within ``bits`` are in some shard together.
+
+    No shard has more than OVER times ``shard`` fingerprints, however many there are.
+    """
     total = nodes.count()
     picked = nodes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()
     tree = build_tree(np.array([r.fp for r in picked], dtype=np.int64).view(np.uint64), total, bits, shard)
@@ -172,14 +244,28 @@ def links(nodes: DataFrame, bits: int = BITS, sample: int = SAMPLE, shard: int =
             for place, part in _route(points, tree, bits):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), place)), pa.array(part.view(np.int64))], ["shard", "fp"])
 
+    points = settled(nodes.select("fp").mapInArrow(route, "shard long, fp long"), "shards")
+    done: list[DataFrame] = []
+    while True:
+        sizes = points.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
+        large = settled(sizes.where(F.col("n") > OVER * shard), "large-shards")
+        if large.isEmpty():
+            return reduce(DataFrame.unionByName, done, points)
+        done.append(points.join(large.select("shard"), "shard", "left_anti"))
+        points, whole = _again(points, large, bits, sample, shard)
+        done.append(_blockwise(whole, shard))
+
+
+def links(nodes: DataFrame, bits: int = BITS, sample: int = SAMPLE, shard: int = SHARD) -> DataFrame:
+    """Edges ``u`` > ``v`` between distinct fingerprints (column ``fp``) that connect exactly the linked ones."""
+
     def star(group: pa.Table) -> pa.Table:
         points = np.sort(group.column("fp").to_numpy()).view(np.uint64)
         first = classes(points, bits)
         other = first != np.arange(len(points))
         return pa.table({"u": points[other].view(np.int64), "v": points[first[other]].view(np.int64)})
 
-    routed = nodes.select("fp").mapInArrow(route, "shard long, fp long")
-    return routed.groupBy("shard").applyInArrow(star, "u long, v long")
+    return sharded(nodes, bits, sample, shard).groupBy("shard").applyInArrow(star, "u long, v long")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -71,6 +71,28 @@ def test_tree_loses_no_pair_over_boundaries(spark):
     assert all(root.get(f, f) == min(g) for g in groups.values() for f in g)
 
 
+def test_shards_are_bounded_whatever_the_number_of_fingerprints(spark):
+    """From a small sample, with a third of all fingerprints in one ball that no vantage point splits."""
+    rng = np.random.default_rng(2)
+    bits = np.uint64(1) << rng.integers(0, 64, (8000, 3), dtype=np.uint64)
+    ball = np.uint64(0x0123456789ABCDEF) ^ bits[:, 0] ^ bits[:, 1] ^ bits[:, 2]
+    points = np.unique(np.concatenate([ball, rng.integers(0, 1 << 64, 14_000, dtype=np.uint64, endpoint=False)]))
+    points = np.unique(np.concatenate([points, points[::7] ^ np.uint64(6)]))
+    nodes = spark.createDataFrame([(f,) for f in points.view(np.int64).tolist()], "fp long").repartition(4)
+    most, shard = simhash.OVER * 200, 200
+    dealt = settled(simhash.sharded(nodes, 2, sample=256, shard=shard), "test-shards")
+    sizes = [r["count"] for r in dealt.groupBy("shard").count().collect()]
+    assert max(sizes) <= most and dealt.select("fp").distinct().count() == len(points)
+    edges = simhash.links(nodes, 2, sample=256, shard=shard)
+    root = {r.u: r.root for r in simhash.components(edges).collect()}
+    first = simhash.classes(points)
+    signed = points.view(np.int64)
+    least: dict[int, int] = {}
+    for f, c in zip(signed.tolist(), first.tolist(), strict=True):
+        least[c] = min(f, least.get(c, f))
+    assert all(root.get(f, f) == least[c] for f, c in zip(signed.tolist(), first.tolist(), strict=True))
+
+
 def test_dense_shard_is_compared_whole():
     rng = random.Random(5)
     centre = rng.getrandbits(64)
