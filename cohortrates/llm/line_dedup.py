@@ -1,10 +1,12 @@
 """Removal of lines that many documents share, with levelled sorted runs of line hashes.
 
 A line's key is the line without white space at its ends and with A-Z lower-cased; runs hold 128-bit
-hashes of keys with the number of documents that hold them. A batch of documents is first anti-joined
-with the keys already known to be shared, so that these are not counted again, and the rest of it
-becomes a new run. A full level is merged into one run of the next, where keys that have reached the
-threshold move to the shared runs. Runs are sorted by key, so merging and joining read them in order.
+hashes of keys with the number of documents that hold them. Runs are bucketed and sorted by key, all in the same
+number of buckets, so that a batch is dealt by key once, when it is counted, and meets the runs where they lie. A batch
+is anti-joined with the keys already known to be shared, and joined with the runs: keys that reach the threshold with
+what the runs have are shared from now on, the others become a new run. A full level is merged into one run of the next.
+
+Batches double in size, so their number grows with the logarithm of the input.
 
 Only DataFrame functions are used.
 """
@@ -12,13 +14,14 @@ Only DataFrame functions are used.
 from __future__ import annotations
 
 import string
+import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from .common import SPACE, SPACE_CHARS, let, settled, shared_folder, sheltered, text_key, text_of
+from .common import SPACE, SPACE_CHARS, let, shared_folder, sheltered, text_key, text_of
 
 #: A key found in so many documents is boilerplate.
 MIN_DOCUMENTS = 10
@@ -29,7 +32,10 @@ MIN_CHARS = 1
 #: Runs of one level that are merged into a run of the next.
 FANOUT = 2
 
-RUN = "a long, b long, n long"
+#: Documents of the first batch, about; each later one is twice as large.
+FIRST_BATCH = 1 << 14
+
+MANIFEST = "level int, place int, name string, buckets int"
 KEY = ["a", "b"]
 
 
@@ -92,63 +98,101 @@ class LineRuns:
     folder: str
     min_documents: int = MIN_DOCUMENTS
     fanout: int = FANOUT
+    buckets: int = 0
     levels: dict[int, list[str]] = field(default_factory=dict)
     shared: list[str] = field(default_factory=list)
     version: int = 0
 
+    def __post_init__(self) -> None:
+        # the partitions of a counted batch, so that these are buckets as they come
+        self.buckets = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
     @classmethod
     def load(cls, spark: SparkSession, folder: str, **options) -> LineRuns:
-        """The runs as the last complete change left them, or none."""
-        runs = cls(spark, folder, **options)
-        try:
-            rows = spark.read.parquet(f"{folder}/manifest").collect()
-        except AnalysisException:
-            return runs
-        runs.version = max((r.v for r in rows), default=0)
-        for r in sorted((r for r in rows if r.v == runs.version), key=lambda r: r.place):
+        """The runs as the last complete change left them, or none if there never was one.
+
+        A version whose write did not end is passed over; one that ended and cannot be read is an error.
+        """
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/manifest")
+        system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        names = [s.getPath() for s in system.listStatus(path)] if system.exists(path) else []
+        ended = [p for p in names if system.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+        if not ended:
+            return cls(spark, folder, **options)
+        version = max(int(p.getName().removeprefix("v=")) for p in ended)
+        rows = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest/v={version}").collect()  # a row per run
+        if not rows:
+            raise ValueError(f"version {version} of the manifest in {folder} is empty")
+        runs = cls(spark, folder, **{**options, "buckets": rows[0].buckets})
+        runs.version = version
+        for r in sorted((r for r in rows if r.name is not None), key=lambda r: r.place):
             (runs.shared if r.level < 0 else runs.levels.setdefault(r.level, [])).append(r.name)
         return runs
 
     def _save(self) -> None:
         self.version += 1
-        named = [(lv, i, n) for lv, names in [(-1, self.shared), *self.levels.items()] for i, n in enumerate(names)]
-        rows = self.spark.createDataFrame(named, "level int, place int, name string").coalesce(1)
+        named = [(lv, i, n, self.buckets) for lv, names in [(-1, self.shared), *self.levels.items()] for i, n in enumerate(names)]
+        rows = self.spark.createDataFrame(named or [(0, 0, None, self.buckets)], MANIFEST).coalesce(1)
         rows.write.parquet(f"{self.folder}/manifest/v={self.version}")
 
     def _read(self, names: list[str]) -> DataFrame:
+        """Folders as the partitions of one table whose buckets the planner knows: rows of a key are in one bucket of all."""
         if not names:
-            return self.spark.createDataFrame([], RUN)
-        return self.spark.read.schema(RUN).parquet(*[f"{self.folder}/{n}" for n in names])
+            return self.spark.createDataFrame([], "a long, b long, n long")
+        table = f"line_runs_{uuid.uuid4().hex}"
+        self.spark.sql(
+            f"CREATE TABLE {table} (a BIGINT, b BIGINT, n BIGINT, run STRING) USING parquet PARTITIONED BY (run) "
+            f"CLUSTERED BY (a, b) SORTED BY (a, b) INTO {self.buckets} BUCKETS LOCATION '{self.folder}/{table}'"
+        )
+        parts = " ".join(f"PARTITION (run = '{name}') LOCATION '{self.folder}/{name}'" for name in names)
+        self.spark.sql(f"ALTER TABLE {table} ADD {parts}")
+        return self.spark.table(table).drop("run")
+
+    def _held(self, names: list[str]) -> DataFrame:
+        """The counts of some runs, added up. Keys that became shared with their batch have theirs below zero."""
+        return self._read(names).where("n > 0").groupBy(*KEY).agg(F.sum("n").alias("n"))
+
+    def _shared(self) -> DataFrame:
+        return self._read(self.shared).where("n < 0").select(*KEY)
 
     def _write(self, df: DataFrame) -> str:
-        name = shared_folder(self.spark, "run").rsplit("/", 1)[1]
-        df.sortWithinPartitions(*KEY).write.parquet(f"{self.folder}/{name}")
+        name = f"run-{uuid.uuid4().hex}"
+        made = df.select("a", "b", F.col("n").cast("long").alias("n"))
+        table = f"line_run_{uuid.uuid4().hex}"
+        made.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", f"{self.folder}/{name}").saveAsTable(table)
+        self.spark.sql(f"DROP TABLE {table}")  # the files stay: the table is external
         return name
 
-    def _all(self) -> list[str]:
-        return [n for names in self.levels.values() for n in names]
+    def counted(self, lines: DataFrame) -> DataFrame:
+        """Documents of a batch per key that is not known to be shared, and with those of all runs as ``total``."""
+        found = lines.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
+        if self.shared:
+            found = found.join(self._shared(), KEY, "left_anti")
+        names = [name for level in self.levels.values() for name in level]
+        if not names:
+            return found.withColumn("total", F.col("n"))
+        held = self._held(names).withColumnRenamed("n", "held")
+        return found.join(held, KEY, "left").select(*KEY, "n", (F.col("n") + F.coalesce("held", F.lit(0).cast("long"))).alias("total"))
 
     def add(self, lines: DataFrame) -> None:
-        """Count one batch, given as ``a`` and ``b`` of each key of each document, as a new run."""
-        counts = lines.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
-        if self.shared:
-            counts = counts.join(self._read(self.shared), KEY, "left_anti")
-        self.levels.setdefault(0, []).append(self._write(counts))
+        """Count one batch, given as ``a`` and ``b`` of each key of each document, against the runs and as a new run."""
+        reached = F.col("total") >= self.min_documents
+        name = self._write(self.counted(lines).withColumn("n", F.when(reached, -F.col("n")).otherwise(F.col("n"))))
+        self.shared.append(name)
+        self.levels.setdefault(0, []).append(name)
         level = 0
         while len(self.levels.get(level, [])) >= self.fanout:
-            merged = settled(self._read(self.levels[level]).groupBy(*KEY).agg(F.sum("n").alias("n")), "merge")
-            enough = F.col("n") >= self.min_documents
-            self.shared.append(self._write(merged.where(enough)))
+            one = self._write(self._held(self.levels[level]))
             self.levels[level] = []
-            self.levels.setdefault(level + 1, []).append(self._write(merged.where(~enough)))
+            self.levels.setdefault(level + 1, []).append(one)
             level += 1
+        if len(self.shared) > 2 * self.fanout:  # no key is in two of them
+            self.shared = [self._write(self._shared().withColumn("n", F.lit(-1)))]
         self._save()
 
     def shared_keys(self) -> DataFrame:
         """Keys found in at least ``min_documents`` documents of all batches."""
-        counted = self._read(self._all()).groupBy(*KEY).agg(F.sum("n").alias("n"))
-        reached = counted.where(F.col("n") >= self.min_documents).select(*KEY)
-        return reached.union(self._read(self.shared).select(*KEY)).distinct()
+        return self._shared()
 
 
 def drop_lines(docs: DataFrame, lines: DataFrame, shared: DataFrame) -> DataFrame:
@@ -175,14 +219,33 @@ def kept_text() -> Column:
     return F.array_join(F.transform("_kept", lambda i: F.get("_lines", i)), "\n")
 
 
-def shared_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_chars: int = MIN_CHARS, batches: int = 3) -> tuple[DataFrame, DataFrame]:
-    """The hashed lines of all documents and the shared keys, found by adding the documents in batches."""
+def batch_shares(documents: int, first: int = FIRST_BATCH) -> list[float]:
+    """Where batches end, as shares of all documents, if each is twice as large as the one before."""
+    ends, size, total = [], first, 0
+    while total < documents:
+        total += size
+        ends.append(total)
+        size *= 2
+    return [min(1.0, e / documents) for e in ends]
+
+
+def shared_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_chars: int = MIN_CHARS, first: int = FIRST_BATCH) -> tuple[DataFrame, DataFrame]:
+    """The hashed lines of all documents and the shared keys, found by adding the documents in batches.
+
+    A document's batch is by a hash of its row, and lines are kept by batch, so that each batch reads its own alone.
+    """
     spark = docs.sparkSession
-    lines = settled(hashed_lines(docs, min_chars), "hashed-lines")
+    ends = batch_shares(docs.count(), first)
+    place = F.pmod(F.xxhash64("row"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    batch = F.coalesce(*[F.when(place < e, i) for i, e in enumerate(ends[:-1])], F.lit(max(0, len(ends) - 1)))
+    folder = shared_folder(spark, "hashed-lines")
+    hashed = hashed_lines(docs, min_chars).withColumn("batch", batch)
+    hashed.write.option("compression", "zstd").partitionBy("batch").parquet(folder)
+    lines = spark.read.schema(hashed.schema).parquet(folder)
     runs = LineRuns(spark, shared_folder(spark, "line-runs"), min_documents)
-    for batch in range(batches):
-        runs.add(lines.where(F.col("first") & (F.pmod(F.col("row"), F.lit(batches)) == batch)))
-    return lines, settled(runs.shared_keys(), "shared-lines")
+    for i in range(len(ends)):
+        runs.add(lines.where((F.col("batch") == i) & F.col("first")))
+    return lines, runs.shared_keys()
 
 
 def dedup_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_chars: int = MIN_CHARS) -> DataFrame:

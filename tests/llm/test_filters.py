@@ -7,6 +7,7 @@ import re
 import string
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -105,6 +106,52 @@ def test_runs_compact_and_survive_a_restart(spark):
     assert {tuple(r) for r in again.shared_keys().collect()} == {(1, 1), (2, 2)}
 
 
+def test_batches_meet_runs_where_they_lie(spark):
+    """One exchange deals the batch; shared keys, runs and merges need none."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        runs = line_dedup.LineRuns(spark, shared_folder(spark, "test-runs"), min_documents=4, fanout=3)
+        for i in range(5):
+            batch = spark.range(300).selectExpr(f"id % 90 + {20 * i} AS a", "id % 90 AS b")
+            counted = runs.counted(batch)
+            counted.collect()
+            plan = counted._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+            assert plan.count("Exchange") == 1 and plan.count("SortMergeJoin") == (2 if i else 0)
+            runs.add(batch)
+        assert sum(map(len, runs.levels.values())) > 2
+        merged = runs._held([n for names in runs.levels.values() for n in names])
+        assert merged.count() > 0 and "Exchange hashpartitioning" not in merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_damaged_manifest_is_an_error_and_an_unfinished_one_is_not_read(spark):
+    folder = shared_folder(spark, "test-runs")
+    assert line_dedup.LineRuns.load(spark, folder).version == 0
+    runs = line_dedup.LineRuns(spark, folder, min_documents=2)
+    runs.add(spark.createDataFrame([(1, 1)], "a long, b long"))
+    runs.add(spark.createDataFrame([(1, 1)], "a long, b long"))
+    (Path(folder) / "manifest" / "v=2" / "_SUCCESS").unlink()
+    before = line_dedup.LineRuns.load(spark, folder, min_documents=2)
+    assert before.version == 1 and before.shared_keys().count() == 0
+    for part in (Path(folder) / "manifest" / "v=1").glob("*part-*"):
+        part.write_bytes(b"no table at all") if part.suffix == ".parquet" else part.unlink()
+    with pytest.raises(Exception, match="parquet|Parquet|magic"):
+        line_dedup.LineRuns.load(spark, folder)
+
+
+def test_batches_double():
+    assert line_dedup.batch_shares(0) == [] and line_dedup.batch_shares(5, 8) == [1.0]
+    assert line_dedup.batch_shares(100, 10) == [0.1, 0.3, 0.7, 1.0]
+
+
+def test_line_dedup_in_many_batches(docs, rows):
+    lines, shared = line_dedup.shared_lines(docs, 3, 1, first=5)
+    assert lines.select("batch").distinct().count() > 3
+    found = Counter(k for _, t in rows for k in {plain_key(x) for x in (t or "").split("\n")} if k)
+    assert shared.count() == sum(n >= 3 for n in found.values()) == shared.distinct().count()
+
+
 def junk(i: int) -> str:
     kinds = [lambda t: t.replace(" ", "### "), lambda t: t.upper().replace(" ", "!! "), lambda t: t.replace(" ", " | "), lambda t: f"{t.split()[0]} " * 90]
     return kinds[i % 4](prose(i, 80))
