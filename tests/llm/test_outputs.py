@@ -27,6 +27,8 @@ from cohortrates.llm.html_labels import LABELLED
 from cohortrates.llm.tokens import BYTES, WORDS, Encoder, encoder, vocabulary
 
 from .conftest import prose
+from .test_copies import plain_alignment, plain_classes, plain_fingerprint
+from .test_filters import plain_dedup
 
 VOCABULARIES = [("byte_bpe_50k.json", BYTES), ("word_bpe_49k.json", WORDS)]
 
@@ -112,7 +114,15 @@ def test_token_files_take_no_rows(no_docs):
 
 def check_packed(pieces: list, ids: list[tuple], window: int) -> None:
     """``pieces`` as pack returns them; ``ids`` the id bytes of each document."""
-    left = Counter((i, len(b) // 4, zlib.crc32(b)) for i, b in ids)
+    left = Counter((p.doc_id, p.doc_tokens, p.start, p.length, p.ids_crc32) for p in pieces)
+    for i, b in ids:  # each document's ids lie in a chain of pieces, which no other document uses
+        at, n = 0, len(b) // 4
+        while at < n:
+            ends = [k for k in left if k[:3] == (i, n, at) and left[k] and k[4] == zlib.crc32(b[4 * at : 4 * (at + k[3])])]
+            assert ends, (i, at)
+            left[ends[0]] -= 1
+            at += ends[0][3]
+    assert not +left
     assert sum(p.length for p in pieces) == sum(len(b) // 4 for _, b in ids)
     by_window: dict[int, list] = {}
     for p in pieces:
@@ -123,7 +133,6 @@ def check_packed(pieces: list, ids: list[tuple], window: int) -> None:
             assert p.offset == place and p.length > 0
             place += p.length
         assert place == window or (place < window and place & (place - 1) == 0)
-    assert left
 
 
 def test_packing_of_documents(docs, rows, encoders):
@@ -293,23 +302,31 @@ def test_archives_take_no_rows(spark):
 
 
 def test_pipeline_stages(spark, docs, rows, tmp_path):
-    """Each stage against what its operator decides on the rows that the stage before it kept."""
+    """Each stage against a plain version on the rows that the stage before it kept; planted copies go, clean texts stay."""
     folder = str(tmp_path / "tables")
     labels = [(i, int(i < 200), 0) for i in range(230)]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
-    spark.createDataFrame([(1, prose(500 + 4, 30)), (2, prose(1, 40))], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    items = [(1, prose(500 + 4, 30)), (2, prose(1, 40)), (3, " ".join("odd" if k % 5 == 4 else w for k, w in enumerate(prose(20, 40).split())))]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     docs.write.parquet(f"{folder}/documents.parquet")
     kept = [spark.read.parquet(f"{folder}/documents.parquet")]
     for name, stage in corpus_pipeline.STAGES:
         kept.append(settled(stage(spark, kept[-1], folder), name))
     assert all(k.schema.names == docs.schema.names for k in kept[:-1])
+    pairs = [[(r.doc_id, r.text) for r in k.select("doc_id", "text").collect()] for k in kept[:-1]]
     good = quality_classifier.score_documents(kept[0], spark.read.parquet(f"{folder}/labels.parquet")).where("predicted = 1")
-    assert Counter(kept[1].select("doc_id").collect()) == Counter(good.select("doc_id").collect())
-    digests = Counter((r.doc_id, r.kept_sha256) for r in line_dedup.dedup_digest(kept[1]).collect())
-    assert Counter((r.doc_id, hashlib.sha256(r.text.encode()).hexdigest()) for r in kept[2].collect()) == digests
-    assert kept[3].count() == simhash.grouped(kept[2]).select("root").distinct().count()
-    found = {r.doc_id for r in decontaminate.contaminated(kept[3], spark.read.parquet(f"{folder}/benchmark.parquet")).collect()}
-    assert {1, 4} & found == found and {r.doc_id for r in kept[4].collect()} == {r.doc_id for r in kept[3].collect()} - found
+    assert Counter(i for i, _ in pairs[1]) == Counter(r.doc_id for r in good.collect())
+    assert {*range(40), *range(100, 112), *range(120, 126)} <= {i for i, _ in pairs[1]}
+    assert Counter(pairs[2]) == Counter((i, t) for i, _, _, t in plain_dedup(pairs[1], line_dedup.MIN_DOCUMENTS))
+    prints = {plain_fingerprint(t) for _, t in pairs[2]}
+    label = plain_classes(sorted(prints), 2)
+    classes = Counter(label[plain_fingerprint(t)] for _, t in pairs[2])
+    assert Counter(label[plain_fingerprint(t)] for _, t in pairs[3]) == Counter(classes.keys()) and max(classes.values()) >= 12
+    assert sum(100 <= (i or 0) < 112 for i, _ in pairs[3]) == 1 and Counter(pairs[3]) <= Counter(pairs[2])
+    words = {j: [decontaminate.word_hash(w) for w in decontaminate.words_of(t)] for j, t in items}
+    copies = {i for i, t in pairs[3] if any(plain_alignment([decontaminate.word_hash(w) for w in decontaminate.words_of(t[:2000])], own) >= len(own) for own in words.values())}
+    assert {1, 4, 20} <= copies and {i for i, _ in pairs[3]} - copies >= {2, 3, 5, 6, 7}
+    assert Counter(pairs[4]) == Counter(p for p in pairs[3] if p[0] not in copies)
     assert {r.doc_id for r in kept[5].collect()} == {r.doc_id for r in kept[4].collect()}
     whole = corpus_pipeline.run(spark, folder)
     assert whole.select("doc_id", "ids_crc32", "start", "length").count() == kept[5].count()
