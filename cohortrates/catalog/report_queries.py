@@ -70,6 +70,12 @@ def panel_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(series.panel_limits(charted(spark, sf_dir), INC.measure))
 
 
+def split_panel_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prevalence by practice in panels of a few practices each, with one axis per condition."""
+    crude = rates.analyse(views.cohort(spark, sf_dir), CONDITIONS, ["PRACTICE_ID"], PREV, overall=False)
+    return rounded(series.split_panels(crude, PREV.measure, PANEL_SIZE))
+
+
 def error_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     crude = rates.analyse(views.cohort(spark, sf_dir), CONDITIONS, [["PRACTICE_ID", "SEX"], "SEX"], PREV)
     return rounded(series.error_bars(crude, PREV.measure))
@@ -286,6 +292,14 @@ LIMIT_SQL = oracle.with_views(
     **(chart_ctes() | limit_ctes(INC.measure, "charted")),
 )
 
+SPLIT_SQL = oracle.with_views(
+    'select "Condition", "Group", panel, levels, points, round(y_min, 6) as y_min, round(y_min + span, 6) as y_max, round(span / 50, 6) as tick '
+    'from parts join limits using ("Condition", "Group")',
+    **(oracle.crude_ctes(PREV, ["PRACTICE_ID"]) | {"shown": f"select * from crude where {PREV.measure} is not null and \"Group\" <> 'Overall'"} | limit_ctes(PREV.measure, "shown")),
+    places="select Subgroup, cast((dense_rank() over (order by Subgroup) - 1) // %d as int) as panel from (select distinct Subgroup from shown)" % PANEL_SIZE,
+    parts='select "Condition", "Group", panel, count(distinct Subgroup) as levels, count(*) as points from shown join places using (Subgroup) group by all',
+)
+
 ERROR_SQL = oracle.with_views(
     'select "Condition", "Group", Subgroup, "Date", round(Prevalence, 6) as Prevalence, '
     "round(least(coalesce(Upper_CI, y_min + span), y_min + span) - Prevalence, 6) as error_up, "
@@ -372,6 +386,7 @@ QUERIES = {
     "table1_formatted_grouped": (_grouped(table1_formatted), formatted_sql(GROUP_BY)),
     "report_series": (report_series, SERIES_SQL),
     "panel_limits": (panel_limits, LIMIT_SQL),
+    "split_panel_limits": (split_panel_limits, SPLIT_SQL),
     "error_bars": (error_bars, ERROR_SQL),
     "histogram_bins": (histogram_bins, HISTOGRAM_SQL),
     "box_summary": (box_summary, BOX_SQL),

@@ -209,3 +209,15 @@ def level_panels(
     return shown.selectExpr(
         *[quoted(k) for k in panel], "level", f"{place} AS place", f"int(({place} - 1) div {max_levels}) AS panel"
     )
+
+
+def split_panels(results: DataFrame, measure: str, max_levels: int, panel: Sequence[str] = PANEL) -> DataFrame:
+    """The panels that charts with many levels are split into: their points, and the one axis that all parts of a chart share."""
+    points = drop_missing(results, measure)
+    levels = level_panels(points, max_levels)
+    # a level may be shown as a number: either way it is told by group and shown text
+    whole, number = "string(try_cast(Subgroup AS bigint))", "string(try_cast(Subgroup AS double))"
+    listed = points.select(*panel, F.explode(F.expr(f"array_distinct(array_compact(array(Subgroup, {whole}, {number})))")).alias("level"))
+    parts = listed.join(levels.select("Group", "level", "panel"), ["Group", "level"])
+    counted = parts.groupBy(*panel, "panel").agg(F.countDistinct("level").alias("levels"), F.count(F.lit(1)).alias("points"))
+    return counted.join(panel_limits(results, measure, panel), list(panel))

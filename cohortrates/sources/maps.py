@@ -23,15 +23,15 @@ def latest_per_key(pairs: DataFrame, key: str, order: str) -> DataFrame:
 def read_pairs(spark: SparkSession, path: str, key_at: int, value_at: int, sep: str) -> DataFrame:
     """Two columns of a headed file by position, with the place of each row in the file.
 
-    Empty fields stay empty text. Rows are placed by the offset of their file block and their order
-    within it, so the order is that of the file however Spark splits it.
+    Empty fields stay empty text. Rows are placed by the path of their file, the offset of their file block and their
+    order within it, so the order is that of the file, or of a folder's files by name, however Spark splits them.
     """
     raw = spark.read.csv(path, header=True, inferSchema=False, sep=sep)
     key, value = raw.columns[key_at], raw.columns[value_at]
     return raw.select(
         F.coalesce(named(key), F.lit("")).alias("key"),
         F.coalesce(named(value), F.lit("")).alias("value"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("row")).alias("place"),
+        F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("row")).alias("place"),
     )
 
 
