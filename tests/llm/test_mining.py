@@ -253,7 +253,7 @@ def test_negatives_are_those_of_a_plain_version(spark, rows, block, chunk):
 
 
 def test_large_components_are_counted_in_whole_numbers(spark):
-    rows = [(i, i % 2, [1000.0 * (i % 7), 99_999.0 - i, 3.0]) for i in range(60)]
+    rows = [(i, i % 2, [(99_999.0 - i) * (1 - i % 10 / 12)] * 16) for i in range(60)]
     frame = spark.createDataFrame([(*r, 0, 0) for r in rows], KIND)
     index = hard_negatives.Index.build(frame)
     assert index.exact == np.int64
