@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from functools import reduce
 
 import numpy as np
@@ -196,11 +196,12 @@ class Chunk:
 
 def search(blocks: DataFrame, chunk: Chunk, extra: Callable[[np.ndarray, np.ndarray], dict[str, np.ndarray]], schema: str) -> DataFrame:
     """For each window of each anchor, the best rows of each task: ``extra``'s columns, ``other`` and ``score``."""
-    held = blocks.sparkSession.sparkContext.broadcast(chunk)
+    # plain values: the class goes with the function, by value
+    held = blocks.sparkSession.sparkContext.broadcast(tuple(getattr(chunk, f.name) for f in fields(chunk)))
     names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look: Chunk = held.value
+        look = Chunk(*held.value)
         shape = (*look.floor.shape, look.best)
         scores, others = np.full(shape, LOW), np.full(shape, HIGH)
         floor = look.floor.copy()
